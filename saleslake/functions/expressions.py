@@ -26,19 +26,35 @@ def truth(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def any_of(conditions: Sequence[Column]) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def codes_where(pairs: Sequence[tuple[Column, str]]) -> Column:
-    """The codes whose condition holds, in the given order. Rows without any skip the array work."""
-    single = [F.when(c, F.array(F.lit(code))).otherwise(no_codes()) for c, code in pairs]
+NO_CODES_SQL = f"CAST(array() AS {CODES})"
+
+
+def any_sql(conditions: Sequence[str]) -> str:
+    """True when one of the conditions holds; never NULL."""
+    parts = " OR ".join(f"({c})" for c in conditions)
+    return f"coalesce({parts}, false)" if parts else "false"
+
+
+def codes_sql(pairs: Sequence[tuple[str, str]]) -> str:
+    """SQL of the codes whose condition holds, in the given order.
+
+    Rows without any violation, nearly all of them, skip the array work.
+    """
+    single = [f"CASE WHEN {c} THEN array({sql_text(code)}) ELSE {NO_CODES_SQL} END" for c, code in pairs]
     if len(single) < 2:
-        return single[0] if single else no_codes()
-    return F.when(any_of([c for c, _ in pairs]), F.concat(*single)).otherwise(no_codes())
+        return single[0] if single else NO_CODES_SQL
+    some = any_sql([c for c, _ in pairs])
+    return f"CASE WHEN {some} THEN concat({', '.join(single)}) ELSE {NO_CODES_SQL} END"
+
+
+def codes_where(pairs: Sequence[tuple[str, str]]) -> Column:
+    """The codes whose SQL condition holds; a condition that is NULL does not hold."""
+    return F.expr(codes_sql(pairs))
 
 
 def merge_codes(*arrays: Column) -> Column:
@@ -48,21 +64,21 @@ def merge_codes(*arrays: Column) -> Column:
 
 def null_codes(table: str, fields: Sequence[str], module: str) -> Column:
     """One code per NULL field. The empty string is a value, not NULL."""
-    return codes_where([(F.col(f).isNull(), quality_code(module, table, f)) for f in fields])
+    return codes_where([(f"{f} IS NULL", quality_code(module, table, f)) for f in fields])
 
 
-def outside(column: str, allowed: Sequence[str]) -> Column:
-    """Non-null and not one of a short literal list; exact match, nothing trimmed or folded."""
-    return truth(F.col(column).isNotNull() & ~F.col(column).isin(list(allowed)))
+def outside(column: str, allowed: Sequence[str]) -> str:
+    """Condition: non-null and not in a short literal list; exact match, nothing trimmed or folded."""
+    return f"{column} IS NOT NULL AND {column} NOT IN ({', '.join(map(sql_text, allowed))})"
 
 
 def domain_codes(table: str, column: str, allowed: Sequence[str], module: str) -> Column:
     return codes_where([(outside(column, allowed), quality_code(module, table, f"{column}_domain"))])
 
 
-def orphan(column: str, parent_key: str) -> Column:
-    """A non-null foreign key for which the lookup found no parent."""
-    return F.col(column).isNotNull() & F.col(parent_key).isNull()
+def orphan(column: str, parent_key: str) -> str:
+    """Condition: a non-null foreign key for which the lookup found no parent."""
+    return f"{column} IS NOT NULL AND {parent_key} IS NULL"
 
 
 def orphan_codes(table: str, column: str, parent_key: str, module: str) -> Column:

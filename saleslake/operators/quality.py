@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from saleslake.errors import QualityError
-from saleslake.functions.expressions import any_of, codes_where, merge_codes, no_codes, row_digest
+from saleslake.functions.expressions import NO_CODES_SQL, any_sql, codes_sql, row_digest
 from saleslake.operators import rules as R
 from saleslake.operators.canonical import canonical
 from saleslake.operators.lookup import MAX_BROADCAST_ROWS, is_duplicated, lookup
@@ -115,31 +115,30 @@ def apply_modules(
 
     kept = list(df.columns)
     wide = _with_helpers(df, table, modules, spec, customers, products, max_broadcast_rows)
-    added: dict[str, Column] = {}
+    added: dict[str, str] = {}
     for module, rules in ruleset.items():
         codes, ok = CODES_COLUMN[module], PASS_COLUMN[module]
-        pairs = [(rule.violated(), rule.code) for rule in rules]
+        found = codes_sql([(rule.violated, rule.code) for rule in rules])
         if codes in kept:
-            added[codes] = merge_codes(F.col(codes), codes_where(pairs))
-            added[ok] = F.size(added[codes]) == 0
+            added[codes] = f"array_distinct(concat(coalesce({codes}, {NO_CODES_SQL}), {found}))"
+            added[ok] = f"size({added[codes]}) = 0"
         else:
-            added[codes] = codes_where(pairs)
-            added[ok] = ~any_of([condition for condition, _ in pairs])
-    untouched = [F.col(c) for c in kept if c not in added]
-    return wide.select(*untouched, *[column.alias(name) for name, column in added.items()])
+            added[codes] = found
+            added[ok] = f"NOT {any_sql([rule.violated for rule in rules])}"
+    untouched = [f"`{c}`" for c in kept if c not in added]
+    return wide.selectExpr(*untouched, *[f"{value} AS {name}" for name, value in added.items()])
 
 
 def combine(df: DataFrame) -> DataFrame:
     """All codes in module order and the verdict: FAIL exactly when there is a code."""
     require_row_id(df)
     require_columns(df, list(CODES_COLUMN.values()), "combining quality modules")
-    failed = any_of([~F.col(PASS_COLUMN[m]) for m in MODULES])
-    codes = merge_codes(*[F.col(CODES_COLUMN[m]) for m in MODULES])
-    return df.withColumns(
-        {
-            ALL_CODES: F.when(failed, codes).otherwise(no_codes()),
-            RESULT: F.when(failed, F.lit(FAIL)).otherwise(F.lit(PASS)),
-        }
+    failed = any_sql([f"NOT {PASS_COLUMN[m]}" for m in MODULES])
+    codes = ", ".join(f"coalesce({CODES_COLUMN[m]}, {NO_CODES_SQL})" for m in MODULES)
+    return df.selectExpr(
+        *[f"`{c}`" for c in df.columns if c not in (ALL_CODES, RESULT)],
+        f"CASE WHEN {failed} THEN array_distinct(concat({codes})) ELSE {NO_CODES_SQL} END AS {ALL_CODES}",
+        f"CASE WHEN {failed} THEN '{FAIL}' ELSE '{PASS}' END AS {RESULT}",
     )
 
 

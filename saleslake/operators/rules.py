@@ -1,20 +1,17 @@
 """The row rules, as one declarative list per table.
 
-A rule is a code and a condition that is true for a violation and never NULL. Each kind of failure
-has one owner: a NULL key is completeness, another NULL typed value is type, a non-null key without
+A rule is a code and a SQL condition that is true for a violation. Each kind of failure has one
+owner: a NULL key is completeness, another NULL typed value is type, a non-null key without
 parent is referential integrity, and business rules skip rows whose operands are NULL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, functions as F
-
 from saleslake.errors import ContractError
-from saleslake.functions.expressions import MONEY, line_total, orphan, outside, quality_code, truth
+from saleslake.functions.expressions import MONEY, orphan, outside, quality_code
 from saleslake.sources.contracts import CONTRACTS, EntityContract
 
 COMPLETENESS = "completeness"
@@ -51,10 +48,12 @@ class QualitySpec:
 
 @dataclass(frozen=True)
 class Rule:
+    """A named violation: a SQL condition over the row; NULL means not violated."""
+
     module: str
     table: str
     name: str
-    violated: Callable[[], Column]
+    violated: str
     columns: tuple[str, ...]
 
     @property
@@ -62,60 +61,34 @@ class Rule:
         return quality_code(self.module, self.table, self.name)
 
 
-def _is_null(column: str) -> Callable[[], Column]:
-    return lambda: F.col(column).isNull()
-
-
-def _negative(column: str) -> Callable[[], Column]:
-    return lambda: truth(F.col(column) < 0)
-
-
-def _business(table: str, as_of: date) -> list[tuple[str, Callable[[], Column], tuple[str, ...]]]:
+def _business(table: str, as_of: date) -> list[tuple[str, str, tuple[str, ...]]]:
+    """name, condition, source columns; comparisons with NULL operands do not fire."""
     if table == "customers":
         return [
-            ("signup_not_future", lambda: truth(F.col("signup_date") > F.lit(as_of)), ("signup_date",)),
-            ("lifetime_value_non_negative", _negative("lifetime_value"), ("lifetime_value",)),
+            ("signup_not_future", f"signup_date > DATE'{as_of}'", ("signup_date",)),
+            ("lifetime_value_non_negative", "lifetime_value < 0", ("lifetime_value",)),
         ]
     if table == "products":
         return [
-            ("price_non_negative", _negative("price"), ("price",)),
-            ("cost_non_negative", _negative("cost"), ("cost",)),
-            ("stock_non_negative", _negative("stock_quantity"), ("stock_quantity",)),
-            ("reorder_non_negative", _negative("reorder_level"), ("reorder_level",)),
+            ("price_non_negative", "price < 0", ("price",)),
+            ("cost_non_negative", "cost < 0", ("cost",)),
+            ("stock_non_negative", "stock_quantity < 0", ("stock_quantity",)),
+            ("reorder_non_negative", "reorder_level < 0", ("reorder_level",)),
         ]
-    status, paid = "order_status", "payment_date"
+    paid = ("order_status", "payment_date")
     return [
-        ("quantity_positive", lambda: truth(F.col("quantity") <= 0), ("quantity",)),
-        ("unit_price_non_negative", _negative("unit_price"), ("unit_price",)),
-        ("total_amount_non_negative", _negative("total_amount"), ("total_amount",)),
+        ("quantity_positive", "quantity <= 0", ("quantity",)),
+        ("unit_price_non_negative", "unit_price < 0", ("unit_price",)),
+        ("total_amount_non_negative", "total_amount < 0", ("total_amount",)),
         (
             "amount_equals_qty_price",
-            lambda: truth(
-                F.abs(F.col("total_amount") - line_total(F.col("quantity"), F.col("unit_price")))
-                > F.lit(TOLERANCE).cast(MONEY)
-            ),
+            f"abs(total_amount - CAST(quantity AS {MONEY}) * unit_price) > {TOLERANCE}",
             ("quantity", "unit_price", "total_amount"),
         ),
-        (
-            "completed_has_payment",
-            lambda: truth((F.col(status) == "Completed") & F.col(paid).isNull()),
-            (status, paid),
-        ),
-        (
-            "cancelled_without_payment",
-            lambda: truth((F.col(status) == "Cancelled") & F.col(paid).isNotNull()),
-            (status, paid),
-        ),
-        (
-            "payment_on_or_after_order",
-            lambda: truth(F.col(paid) < F.col("order_date")),
-            (paid, "order_date"),
-        ),
-        (
-            "order_not_before_signup",
-            lambda: truth(F.col("order_date") < F.col(CUSTOMER_SIGNUP)),
-            ("customer_id", "order_date"),
-        ),
+        ("completed_has_payment", "order_status = 'Completed' AND payment_date IS NULL", paid),
+        ("cancelled_without_payment", "order_status = 'Cancelled' AND payment_date IS NOT NULL", paid),
+        ("payment_on_or_after_order", "payment_date < order_date", ("payment_date", "order_date")),
+        ("order_not_before_signup", f"order_date < {CUSTOMER_SIGNUP}", ("customer_id", "order_date")),
     ]
 
 
@@ -123,20 +96,20 @@ def rules_for(table: str, module: str, spec: QualitySpec) -> list[Rule]:
     """The rules of one module on one table, in the order their codes are reported."""
     contract = spec.contract(table)
     if module == COMPLETENESS:
-        return [Rule(module, table, c, _is_null(c), (c,)) for c in contract.required]
+        return [Rule(module, table, c, f"{c} IS NULL", (c,)) for c in contract.required]
     if module == UNIQUENESS:
         key = contract.key
-        return [Rule(module, table, key, lambda: F.col(DUPLICATED), (key,))]
+        return [Rule(module, table, key, DUPLICATED, (key,))]
     if module == TYPE:
         domains = [
-            Rule(module, table, f"{c}_domain", lambda c=c, allowed=allowed: outside(c, allowed), (c,))
+            Rule(module, table, f"{c}_domain", outside(c, allowed), (c,))
             for c, allowed in contract.domains
         ]
-        nulls = [Rule(module, table, c, _is_null(c), (c,)) for c in contract.typed_null_fields()]
+        nulls = [Rule(module, table, c, f"{c} IS NULL", (c,)) for c in contract.typed_null_fields()]
         return domains + nulls
     if module == RI:
         return [
-            Rule(module, table, f"{c}_orphan", lambda c=c: orphan(c, PARENT_KEYS[c]), (c,))
+            Rule(module, table, f"{c}_orphan", orphan(c, PARENT_KEYS[c]), (c,))
             for c, _ in contract.parents
         ]
     if module == BUSINESS:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from saleslake.functions.expressions import MONEY
 from saleslake.operators.quality import flag
@@ -26,8 +27,15 @@ SPEC = QualitySpec(
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is inferred once per path, which saves a job per later read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _every(column: str, step: int, offset: int) -> Column:
