@@ -46,11 +46,23 @@ def source_files(spark: SparkSession, path: str) -> DataFrame:
         raise IngestError(f"source {path} was not found or cannot be listed") from error
 
 
-def check_source(spark: SparkSession, path: str) -> None:
-    """The source has to exist and hold at least one byte."""
-    size = source_files(spark, path).agg(F.sum("length").alias("bytes")).first()["bytes"]
-    if not size:
+def check_source(spark: SparkSession, path: str) -> str:
+    """The source has to exist and hold at least one byte; returns its (first) file."""
+    found = source_files(spark, path).agg(F.sum("length").alias("bytes"), F.min("path").alias("file")).first()
+    if not found["bytes"]:
         raise IngestError(f"source {path} is empty; an empty table will not be written")
+    return found["file"]
+
+
+def first_bytes(spark: SparkSession, file: str, count: int) -> bytes:
+    """The first bytes of a file on any file system Spark can read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        found = [stream.read() for _ in range(count)]
+    finally:
+        stream.close()
+    return bytes(b for b in found if b >= 0)
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -58,9 +70,9 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 
     Spark drops the mark while reading lines, so the first three bytes are looked at separately.
     """
-    check_source(spark, path)
+    file = check_source(spark, path)
     names = spark.read.options(header="true", inferSchema="false").csv(path).columns
-    if names and spark.sparkContext.binaryRecords(path, len(BOM)).take(1) == [BOM]:
+    if names and first_bytes(spark, file, len(BOM)) == BOM:
         names[0] = "\ufeff" + names[0]
     return names
 
