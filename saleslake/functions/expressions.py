@@ -85,15 +85,19 @@ def orphan_codes(table: str, column: str, parent_key: str, module: str) -> Colum
     return codes_where([(orphan(column, parent_key), quality_code(module, table, f"{column}_orphan"))])
 
 
-def money_average(total: Column, count: Column) -> Column:
+def money_average(total: str, count: str) -> Column:
     """Total over count, exact, half-up to cents; NULL for a count of zero."""
-    return (total.cast(MONEY) / F.nullif(count, F.lit(0)).cast(MONEY)).cast(MONEY)
+    return F.expr(f"CAST(CAST({total} AS {MONEY}) / CAST(nullif({count}, 0) AS {MONEY}) AS {MONEY})")
 
 
-def ratio(part: Column, whole: Column) -> Column:
+def ratio_sql(part: str, whole: str) -> str:
     """Share as DECIMAL(7,4), ties to even; an empty population gives 0.0000."""
-    share = part.cast("decimal(20,0)") / F.nullif(whole, F.lit(0)).cast("decimal(20,0)")
-    return F.coalesce(F.bround(share, 4), F.lit(0)).cast(RATIO)
+    share = f"CAST({part} AS decimal(20,0)) / CAST(nullif({whole}, 0) AS decimal(20,0))"
+    return f"CAST(coalesce(bround({share}, 4), 0) AS {RATIO})"
+
+
+def ratio(part: str, whole: str) -> Column:
+    return F.expr(ratio_sql(part, whole))
 
 
 def line_total(quantity: Column, price: Column) -> Column:

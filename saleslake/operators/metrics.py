@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saleslake.functions.expressions import ratio
+from saleslake.functions.expressions import ratio_sql, sql_text
 from saleslake.operators.quality import CODES_COLUMN, FAIL, PASS_COLUMN, RESULT
 from saleslake.operators.rules import MODULES, UNIQUENESS, QualitySpec, rules_for
 
@@ -80,33 +80,39 @@ def with_rates(counts: DataFrame) -> DataFrame:
 
     A failure count outside 0..total is an error, not a metric.
     """
-    total, failed = F.col("total_evaluated"), F.col("fail_count")
-    sound = (failed >= 0) & (failed <= total)
-    complaint = F.concat_ws(" ", F.lit("inconsistent counts for"), "table_name", "check_name")
-    checked = F.when(sound, failed).otherwise(F.raise_error(complaint).cast("bigint"))
-    return counts.withColumn("fail_count", checked).select(
+    complaint = "concat_ws(' ', 'inconsistent counts for', table_name, check_name)"
+    checked = counts.withColumn(
+        "fail_count",
+        F.expr(
+            "CASE WHEN fail_count BETWEEN 0 AND total_evaluated THEN fail_count "
+            f"ELSE CAST(raise_error({complaint}) AS bigint) END"
+        ),
+    )
+    passed = "total_evaluated - fail_count"
+    return checked.selectExpr(
         "table_name",
         "check_name",
         "total_evaluated",
-        (total - failed).alias("pass_count"),
+        f"{passed} AS pass_count",
         "fail_count",
-        ratio(total - failed, total).alias("pass_pct"),
-        ratio(failed, total).alias("fail_pct"),
+        f"{ratio_sql(passed, 'total_evaluated')} AS pass_pct",
+        f"{ratio_sql('fail_count', 'total_evaluated')} AS fail_pct",
         "population_kind",
     )
 
 
 def _failure_counters(
     table: str, modules: Sequence[str], spec: QualitySpec, outcome: bool
-) -> list[tuple[str, str, Column]]:
+) -> list[tuple[str, str, str]]:
+    """check name, population and SQL condition of a failing row."""
     counters = []
     for module in modules:
-        counters.append((module, PHYSICAL_ROW, F.count_if(~F.col(PASS_COLUMN[module]))))
+        counters.append((module, PHYSICAL_ROW, f"NOT {PASS_COLUMN[module]}"))
         for rule in rules_for(table, module, spec):
-            has_code = F.array_contains(CODES_COLUMN[module], rule.code)
-            counters.append((rule.code, PHYSICAL_ROW, F.count_if(has_code)))
+            has_code = f"array_contains({CODES_COLUMN[module]}, {sql_text(rule.code)})"
+            counters.append((rule.code, PHYSICAL_ROW, has_code))
     if outcome:
-        counters.append((RESULT, TABLE_OUTCOME, F.count_if(F.col(RESULT) == FAIL)))
+        counters.append((RESULT, TABLE_OUTCOME, f"{RESULT} = '{FAIL}'"))
     return counters
 
 
@@ -121,22 +127,15 @@ def row_metrics(
     """Module, rule and outcome metrics: one scan, one aggregate, then one row per check."""
     counters = _failure_counters(table, modules, spec or QualitySpec(), outcome)
     wide = flagged.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[counter.alias(f"f{i}") for i, (_, _, counter) in enumerate(counters)],
+        F.expr("count(1) AS total"),
+        *[F.expr(f"count_if({failing}) AS f{i}") for i, (_, _, failing) in enumerate(counters)],
     )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(check).alias("check_name"),
-                F.col("total").alias("total_evaluated"),
-                F.col(f"f{i}").alias("fail_count"),
-                F.lit(kind).alias("population_kind"),
-            )
-            for i, (check, kind, _) in enumerate(counters)
-        ]
+    entries = ", ".join(
+        f"struct({sql_text(table)} AS table_name, {sql_text(check)} AS check_name, total AS total_evaluated, "
+        f"f{i} AS fail_count, '{kind}' AS population_kind)"
+        for i, (check, kind, _) in enumerate(counters)
     )
-    return with_rates(wide.select(F.inline(entries)))
+    return with_rates(wide.selectExpr(f"inline(array({entries}))"))
 
 
 def key_metrics(flagged: DataFrame, table: str, spec: QualitySpec | None = None) -> DataFrame:
@@ -146,18 +145,18 @@ def key_metrics(flagged: DataFrame, table: str, spec: QualitySpec | None = None)
     """
     key = (spec or QualitySpec()).contract(table).key
     per_key = (
-        flagged.where(F.col(key).isNotNull())
+        flagged.where(f"{key} IS NOT NULL")
         .groupBy(key)
-        .agg(F.max(~F.col(PASS_COLUMN[UNIQUENESS])).alias("failed"))
+        .agg(F.expr(f"max(NOT {PASS_COLUMN[UNIQUENESS]}) AS failed"))
     )
     counts = per_key.agg(
-        F.count(F.lit(1)).alias("total_evaluated"), F.count_if("failed").alias("fail_count")
-    ).select(
-        F.lit(table).alias("table_name"),
-        F.lit(f"{UNIQUENESS}:{table}.{key}.duplicate_keys").alias("check_name"),
+        F.expr("count(1) AS total_evaluated"), F.expr("count_if(failed) AS fail_count")
+    ).selectExpr(
+        f"{sql_text(table)} AS table_name",
+        f"{sql_text(f'{UNIQUENESS}:{table}.{key}.duplicate_keys')} AS check_name",
         "total_evaluated",
         "fail_count",
-        F.lit(DISTINCT_KEY).alias("population_kind"),
+        f"'{DISTINCT_KEY}' AS population_kind",
     )
     return with_rates(counts)
 

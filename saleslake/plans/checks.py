@@ -13,7 +13,7 @@ from saleslake.operators.lookup import orphan_counts
 from saleslake.operators.metrics import PHYSICAL_ROW, TABLE_OUTCOME
 from saleslake.operators.quality import ALL_CODES, FAIL, PASS, RESULT
 from saleslake.operators.rules import RI
-from saleslake.functions.expressions import quality_code
+from saleslake.functions.expressions import quality_code, sql_text
 from saleslake.plans import serving
 from saleslake.plans.gold import SEGMENTS, qualifying
 from saleslake.sources import lake
@@ -67,15 +67,20 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def one_row(values: Mapping[str, DataFrame]) -> DataFrame:
-    """Single-valued frames side by side in one row, without joining them."""
+def one_row(*frames: DataFrame) -> DataFrame:
+    """The columns of several one-row frames side by side in one row, without joining them."""
+    names = [c for df in frames for c in df.columns]
     long = union(
         [
-            df.select(F.lit(name).alias("name"), F.col(df.columns[0]).cast("decimal(38,2)").alias("value"))
-            for name, df in values.items()
+            df.selectExpr(
+                "inline(array("
+                + ", ".join(f"struct('{c}' AS name, CAST({c} AS decimal(38,2)) AS value)" for c in df.columns)
+                + "))"
+            )
+            for df in frames
         ]
     )
-    return long.agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in values])
+    return long.agg(*[F.expr(f"coalesce(max(CASE WHEN name = '{n}' THEN value END), 0) AS {n}") for n in names])
 
 
 def final_result(checks: DataFrame) -> DataFrame:
@@ -237,39 +242,56 @@ def orphan_checks(raw: Mapping[str, DataFrame], metrics: DataFrame) -> DataFrame
     return union(frames)
 
 
+def _measures(df: DataFrame, **measures: str) -> DataFrame:
+    """One row of named SQL aggregates."""
+    return df.agg(*[F.expr(f"{text} AS {name}") for name, text in measures.items()])
+
+
+def same_values(row: DataFrame, pairs: list[tuple[str, str, str]]) -> DataFrame:
+    """Checks named (name, expected, actual) over the columns (or literals) of a one-row frame."""
+    return from_row(row, [(n, F.expr(f"CAST({a} AS decimal(38,2))"), F.expr(f"CAST({b} AS decimal(38,2))")) for n, a, b in pairs])
+
+
 def gold_checks(orders: DataFrame, gold: Mapping[str, DataFrame]) -> DataFrame:
-    """Eligible orders and revenue against the sums of the aggregates, and the segment buckets."""
-    eligible = qualifying(orders)
-    revenue = {t: df.agg(F.sum("total_revenue")) for t, df in gold.items()}
+    """Eligible orders and revenue against the sums of the aggregates, and the segment buckets.
+
+    Every table is read once.
+    """
+    segments = ", ".join(f"'{s}'" for s, _ in SEGMENTS)
     row = one_row(
-        {
-            "eligible_revenue": eligible.agg(F.coalesce(F.sum("total_amount"), F.lit(0))),
-            "eligible_orders": eligible.agg(F.count(F.lit(1))),
-            **{f"{t}_revenue": df for t, df in revenue.items()},
-            "product_orders": gold["sales_by_product"].agg(F.sum("total_orders")),
-            "customer_orders": gold["revenue_by_customer"].agg(F.sum("total_orders")),
-            "customers": gold["revenue_by_customer"].agg(F.count(F.lit(1))),
-            "segmented": gold["customer_segmentation"].agg(F.sum("customer_count")),
-            "segments": gold["customer_segmentation"].agg(F.count_distinct("segment_type")),
-            "known_segments": gold["customer_segmentation"].agg(
-                F.count_if(F.col("segment_type").isin([s for s, _ in SEGMENTS]))
-            ),
-        }
-    ).na.fill(0)
-    c = F.col
-    return from_row(
+        _measures(qualifying(orders), eligible_revenue="sum(total_amount)", eligible_orders="count(1)"),
+        _measures(
+            gold["sales_by_product"], product_revenue="sum(total_revenue)", product_orders="sum(total_orders)"
+        ),
+        _measures(
+            gold["revenue_by_customer"],
+            customer_revenue="sum(total_revenue)",
+            customer_orders="sum(total_orders)",
+            customers="count(1)",
+        ),
+        _measures(gold["daily_trends"], daily_revenue="sum(total_revenue)"),
+        _measures(gold["weekly_trends"], weekly_revenue="sum(total_revenue)"),
+        _measures(
+            gold["customer_segmentation"],
+            segment_revenue="sum(total_revenue)",
+            segmented="sum(customer_count)",
+            segments="count(1)",
+            known_segments=f"count_if(segment_type IN ({segments}))",
+        ),
+    )
+    return same_values(
         row,
         [
-            ("gold.product_revenue", c("eligible_revenue"), c("sales_by_product_revenue")),
-            ("gold.customer_revenue", c("sales_by_product_revenue"), c("revenue_by_customer_revenue")),
-            ("gold.daily_revenue", c("eligible_revenue"), c("daily_trends_revenue")),
-            ("gold.weekly_revenue", c("eligible_revenue"), c("weekly_trends_revenue")),
-            ("gold.segment_revenue", c("revenue_by_customer_revenue"), c("customer_segmentation_revenue")),
-            ("gold.product_orders", c("eligible_orders"), c("product_orders")),
-            ("gold.customer_orders", c("eligible_orders"), c("customer_orders")),
-            ("gold.segmented_customers", c("customers"), c("segmented")),
-            ("gold.segments", F.lit(len(SEGMENTS)).cast("decimal(38,2)"), c("segments")),
-            ("gold.known_segments", F.lit(len(SEGMENTS)).cast("decimal(38,2)"), c("known_segments")),
+            ("gold.product_revenue", "eligible_revenue", "product_revenue"),
+            ("gold.customer_revenue", "product_revenue", "customer_revenue"),
+            ("gold.daily_revenue", "eligible_revenue", "daily_revenue"),
+            ("gold.weekly_revenue", "eligible_revenue", "weekly_revenue"),
+            ("gold.segment_revenue", "customer_revenue", "segment_revenue"),
+            ("gold.product_orders", "eligible_orders", "product_orders"),
+            ("gold.customer_orders", "eligible_orders", "customer_orders"),
+            ("gold.segmented_customers", "customers", "segmented"),
+            ("gold.segments", str(len(SEGMENTS)), "segments"),
+            ("gold.known_segments", str(len(SEGMENTS)), "known_segments"),
         ],
     )
 
@@ -305,32 +327,34 @@ def serving_checks(gold: Mapping[str, DataFrame], segments: tuple[str, ...], cat
         )
     ]
     chosen = serving.equals_or_any(F.col("category"), category)
+    values = ", ".join(sql_text(s) for s in segments)
     row = one_row(
-        {
-            "customers": customers.agg(F.count(F.lit(1))),
-            "distribution": serving.revenue_distribution(customers).agg(F.count(F.lit(1))),
-            "binned": serving.revenue_histogram(customers).agg(F.sum("customers")),
-            "segments": serving.segment_counts(gold["customer_segmentation"]).agg(F.count(F.lit(1))),
-            "in_category": sales.agg(F.least(F.count_if(chosen), n)),
-            "top_in_category": serving.top_products(sales, category).where(chosen).agg(F.count(F.lit(1))),
-            "domain_values": serving.filter_values(customers, "customer_segment").agg(
-                F.count_if(F.col("customer_segment").isin(list(segments)))
-            ),
-            "slice": customers.agg(F.count_if(F.col("customer_segment") == segments[0])),
-            "sliced": serving.revenue_distribution(customers, segments[0]).agg(F.count(F.lit(1))),
-        }
-    ).na.fill(0)
-    c = F.col
+        _measures(
+            customers,
+            customers="count(1)",
+            slice=f"count_if(customer_segment = {sql_text(segments[0])})",
+        ),
+        _measures(serving.revenue_distribution(customers), distribution="count(1)"),
+        _measures(serving.revenue_distribution(customers, segments[0]), sliced="count(1)"),
+        _measures(serving.revenue_histogram(customers), binned="sum(customers)"),
+        _measures(serving.segment_counts(gold["customer_segmentation"]), segments="count(1)"),
+        sales.agg(F.least(F.count_if(chosen), n).alias("in_category")),
+        _measures(serving.top_products(sales, category).where(chosen), top_in_category="count(1)"),
+        _measures(
+            serving.filter_values(customers, "customer_segment"),
+            domain_values=f"count_if(customer_segment IN ({values}))",
+        ),
+    )
     frames.append(
-        from_row(
+        same_values(
             row,
             [
-                ("serving.distribution.population", c("customers"), c("distribution")),
-                ("serving.histogram.population", c("customers"), c("binned")),
-                ("serving.segments.rows", F.lit(len(SEGMENTS)).cast("decimal(38,2)"), c("segments")),
-                ("serving.category_before_limit", c("in_category"), c("top_in_category")),
-                ("serving.segment_values", F.lit(len(segments)).cast("decimal(38,2)"), c("domain_values")),
-                ("serving.segment_slice", c("slice"), c("sliced")),
+                ("serving.distribution.population", "customers", "distribution"),
+                ("serving.histogram.population", "customers", "binned"),
+                ("serving.segments.rows", str(len(SEGMENTS)), "segments"),
+                ("serving.category_before_limit", "in_category", "top_in_category"),
+                ("serving.segment_values", str(len(segments)), "domain_values"),
+                ("serving.segment_slice", "slice", "sliced"),
             ],
         )
     )

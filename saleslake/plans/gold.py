@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from saleslake.functions.expressions import MONEY, money_average, week_start
 from saleslake.operators.canonical import canonical, densify
@@ -27,10 +27,8 @@ TABLES = (
 
 def qualifying(orders: DataFrame, *keys: str) -> DataFrame:
     """Completed orders that passed every check, with the named keys present."""
-    kept = orders.where((F.col("order_status") == "Completed") & (F.col(RESULT) == PASS))
-    for key in keys:
-        kept = kept.where(F.col(key).isNotNull())
-    return kept
+    present = [f"{key} IS NOT NULL" for key in keys]
+    return orders.where(" AND ".join(["order_status = 'Completed'", f"{RESULT} = '{PASS}'", *present]))
 
 
 def order_totals(orders: DataFrame, key: str) -> DataFrame:
@@ -41,8 +39,8 @@ def order_totals(orders: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _average():
-    return money_average(F.col("total_revenue"), F.col("total_orders")).alias("avg_order_value")
+def _average() -> Column:
+    return money_average("total_revenue", "total_orders").alias("avg_order_value")
 
 
 def sales_by_product(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -59,8 +57,8 @@ def _customer_totals(orders: DataFrame, customers: DataFrame, attributes: Sequen
     return known.join(totals, "customer_id", "left").select(
         "customer_id",
         *attributes,
-        F.coalesce("total_orders", F.lit(0)).cast("bigint").alias("total_orders"),
-        F.coalesce("total_revenue", F.lit(0)).cast(MONEY).alias("total_revenue"),
+        F.expr("coalesce(total_orders, 0) AS total_orders"),
+        F.expr(f"CAST(coalesce(total_revenue, 0) AS {MONEY}) AS total_revenue"),
     )
 
 
@@ -84,13 +82,11 @@ def weekly_trends(orders: DataFrame) -> DataFrame:
     return totals.select(*totals.columns, _average())
 
 
-def segment_of(orders, revenue):
+def segment_of(orders: str, revenue: str) -> Column:
     """Segment of a customer: no order, then revenue, then number of orders."""
-    return (
-        F.when(orders == 0, "Inactive")
-        .when(revenue >= F.lit(HIGH_VALUE_FROM).cast(MONEY), "High-Value")
-        .when(orders >= 2, "Repeat")
-        .otherwise("One-Time")
+    return F.expr(
+        f"CASE WHEN {orders} = 0 THEN 'Inactive' WHEN {revenue} >= {HIGH_VALUE_FROM} THEN 'High-Value' "
+        f"WHEN {orders} >= 2 THEN 'Repeat' ELSE 'One-Time' END"
     )
 
 
@@ -101,23 +97,23 @@ def segment_domain(spark: SparkSession) -> DataFrame:
 def customer_segmentation(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Always one row per segment, ordered by priority."""
     labelled = _customer_totals(orders, customers, []).select(
-        segment_of(F.col("total_orders"), F.col("total_revenue")).alias("segment_type"),
+        segment_of("total_orders", "total_revenue").alias("segment_type"),
         "total_revenue",
     )
     per_segment = labelled.groupBy("segment_type").agg(
         F.count(F.lit(1)).alias("customers"), F.sum("total_revenue").alias("revenue")
     )
-    count = F.coalesce("customers", F.lit(0)).cast("bigint")
-    revenue = F.coalesce("revenue", F.lit(0)).cast(MONEY)
-    return (
-        densify(segment_domain(orders.sparkSession), per_segment, "segment_type")
-        .orderBy("segment_priority")
-        .select(
-            "segment_type",
-            count.alias("customer_count"),
-            money_average(revenue, count).alias("avg_revenue"),
-            revenue.alias("total_revenue"),
-        )
+    dense = densify(segment_domain(orders.sparkSession), per_segment, "segment_type").selectExpr(
+        "segment_type",
+        "segment_priority",
+        "coalesce(customers, 0) AS customer_count",
+        f"CAST(coalesce(revenue, 0) AS {MONEY}) AS total_revenue",
+    )
+    return dense.orderBy("segment_priority").select(
+        "segment_type",
+        "customer_count",
+        money_average("total_revenue", "customer_count").alias("avg_revenue"),
+        "total_revenue",
     )
 
 

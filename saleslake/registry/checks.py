@@ -135,7 +135,7 @@ UNION ALL SELECT 'silver.metrics.orders.absent', '0', NULL
 
 @query("v_silver_checks", oracle.query(f"SELECT *, {_STATUS} FROM ({_SILVER_SQL})", _ENTITY_ROWS))
 def _(spark, d):
-    flagged = {t: td.silver(spark, d, t) for t in CONTRACTS}
+    flagged = td.flagged(spark, d)
     measured = metrics.silver_metrics(spark, flagged, td.SPEC)
     # one expectation that fails on these tables, one that holds, one for a metric that does not exist
     expected = {("orders", "completeness"): 300, ("orders", "type"): 0, ("orders", "absent"): 0}

@@ -262,13 +262,9 @@ for _module in rules.MODULES:
     _register_module(_module)
 
 
-def _flagged(spark, d):
-    return {t: td.silver(spark, d, t) for t in CONTRACTS}
-
-
 @query("q_metrics", oracle.query(oracle.metrics()))
 def _(spark, d):
-    return metrics.silver_metrics(spark, _flagged(spark, d), td.SPEC).drop("expected_fail_count")
+    return metrics.silver_metrics(spark, td.flagged(spark, d), td.SPEC).drop("expected_fail_count")
 
 
 _EXPECTED = ", ".join(
@@ -285,7 +281,7 @@ _EXPECTED = ", ".join(
     ),
 )
 def _(spark, d):
-    measured = metrics.silver_metrics(spark, _flagged(spark, d), td.SPEC)
+    measured = metrics.silver_metrics(spark, td.flagged(spark, d), td.SPEC)
     return measured.select("table_name", "check_name", "fail_count", "expected_fail_count")
 
 
@@ -298,7 +294,7 @@ _RESULTS = " UNION ALL ".join(
 
 @query("q_table_results", oracle.query(_RESULTS))
 def _(spark, d):
-    return metrics.table_results(metrics.silver_metrics(spark, _flagged(spark, d), td.SPEC))
+    return metrics.table_results(metrics.silver_metrics(spark, td.flagged(spark, d), td.SPEC))
 
 
 @query("q_silver_build", oracle.query(_RESULTS))

@@ -151,7 +151,7 @@ def _(spark, d):
 def _(spark, d):
     return _revenue(spark, d).select(
         "customer_id",
-        gold.segment_of(F.col("total_orders"), F.col("total_revenue")).alias("segment_type"),
+        gold.segment_of("total_orders", "total_revenue").alias("segment_type"),
     )
 
 
@@ -409,7 +409,7 @@ def _(spark, d):
 )
 def _(spark, d):
     totals = gold.order_totals(td.orders(spark, d), "product_id")
-    average = E.money_average(F.col("total_revenue"), F.col("total_orders"))
+    average = E.money_average("total_revenue", "total_orders")
     return totals.select("product_id", average.alias("avg_order_value"))
 
 
@@ -531,7 +531,7 @@ def _(spark, d):
         "by_customer": gold.revenue_by_customer(orders, td.customers(spark, d)),
         "by_day": gold.daily_trends(orders),
     }
-    row = checks.one_row({n: df.agg(F.sum("total_revenue")) for n, df in frames.items()})
+    row = checks.one_row(*[df.agg(F.sum("total_revenue").alias(n)) for n, df in frames.items()])
     return row.select(*[F.col(c).cast(E.MONEY).alias(c) for c in frames])
 
 

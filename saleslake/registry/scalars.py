@@ -122,7 +122,7 @@ def _(spark, d):
     totals = td.table(spark, d, "orders").groupBy("o_custkey").agg(
         ROW_COUNT("n"), F.sum(F.col("o_totalprice").cast(E.MONEY)).alias("total")
     )
-    return totals.select("o_custkey", E.money_average(F.col("total"), F.col("n")).alias("average"))
+    return totals.select("o_custkey", E.money_average("total", "n").alias("average"))
 
 
 @query(
@@ -134,7 +134,7 @@ def _(spark, d):
     counts = td.table(spark, d, "lineitem").groupBy("l_suppkey").agg(
         ROW_COUNT("n"), F.count_if(F.col("l_returnflag") == "R").alias("f")
     )
-    return counts.select("l_suppkey", E.ratio(F.col("f"), F.col("n")).alias("returned"))
+    return counts.select("l_suppkey", E.ratio("f", "n").alias("returned"))
 
 
 @query(

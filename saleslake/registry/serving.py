@@ -8,7 +8,6 @@ from saleslake.plans import checks, gold, serving
 from saleslake.registry import oracle
 from saleslake.registry.catalog import Catalog, scratch
 from saleslake.sources import lake, testdata as td
-from saleslake.sources.contracts import CONTRACTS
 from saleslake.sources.lake import LakeConfig
 
 catalog = Catalog()
@@ -66,8 +65,8 @@ def _(spark, d):
     place = scratch(spark, "gold")
     mark = place[-8:]
     config = LakeConfig(silver=f"flagged_{mark}", gold=f"business_{mark}", location=place)
-    for table in CONTRACTS:
-        lake.overwrite_table(spark, td.silver(spark, d, table), config, "silver", table)
+    for table, frame in td.flagged(spark, d).items():
+        lake.overwrite_table(spark, frame, config, "silver", table)
     gold.build_gold(spark, config)
     counts = [
         lake.read_table(spark, config, "gold", t)

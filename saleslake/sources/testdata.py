@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from saleslake.functions.expressions import MONEY
@@ -38,90 +38,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def _every(column: str, step: int, offset: int) -> Column:
-    """Rows that carry one kind of planted defect."""
-    return F.col(column) % step == offset
-
-
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation")
-    copies = F.when(_every("c_custkey", 89, 1), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = (
-        table(spark, sf_dir, "customer")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("copy", F.explode(copies))
-    )
-    email = F.when(
-        ~_every("c_custkey", 97, 0), F.concat(F.lower("c_name"), F.lit("@example.com"))
-    )
-    return rows.select(
-        F.col("c_custkey").cast("int").alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
-        email.alias("email"),
-        F.col("n_name").alias("country"),
-        F.date_add(F.lit(date(1995, 1, 1)), (F.col("c_custkey") % 900).cast("int")).alias("signup_date"),
-        F.col("c_mktsegment").alias("customer_segment"),
-        F.col("c_acctbal").cast(MONEY).alias("lifetime_value"),
-        (F.col("c_custkey") * 2 + F.col("copy")).alias(ROW_ID),
+    rows = table(spark, sf_dir, "customer").join(nations, F.expr("c_nationkey = n_nationkey"))
+    # some customers are there twice
+    twice = rows.selectExpr("*", "explode(CASE WHEN c_custkey % 89 = 1 THEN array(0, 1) ELSE array(0) END) AS copy")
+    return twice.selectExpr(
+        "CAST(c_custkey AS int) AS customer_id",
+        "c_name AS customer_name",
+        "CASE WHEN c_custkey % 97 <> 0 THEN concat(lower(c_name), '@example.com') END AS email",
+        "n_name AS country",
+        "date_add(DATE'1995-01-01', CAST(c_custkey % 900 AS int)) AS signup_date",
+        "c_mktsegment AS customer_segment",
+        f"CAST(c_acctbal AS {MONEY}) AS lifetime_value",
+        f"c_custkey * 2 + copy AS {ROW_ID}",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the id is given at the scan, so that a recomputed task gives the same rows the same ids
     lines = table(spark, sf_dir, "lineitem").withColumn(ROW_ID, F.monotonically_increasing_id())
-    heads = table(spark, sf_dir, "orders")
+    # both sides of this join grow with the data, so it is a shuffle join at every scale
+    heads = table(spark, sf_dir, "orders").hint("merge")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    price = F.col("p_retailprice").cast(MONEY)
-    ordered = F.col("o_orderdate").cast("date")
-    surcharge = F.when(_every("l_orderkey", 113, 5), F.lit("0.02")).otherwise(F.lit("0.00")).cast(MONEY)
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "Completed")
-        .when(F.col("o_orderstatus") == "P", "Pending")
-        .when(F.col("o_orderstatus") == "O", "Cancelled")
-    )
-    paid = F.when(
-        (F.col("o_orderstatus") == "F") & ~_every("l_orderkey", 131, 7),
-        F.when(_every("l_orderkey", 137, 8), F.date_sub(ordered, 1)).otherwise(
-            F.greatest("l_shipdate", "o_orderdate").cast("date")
-        ),
-    ).when((F.col("o_orderstatus") == "O") & _every("l_orderkey", 139, 9), ordered)
-    return (
-        lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("int").alias("order_id"),
-            F.when(_every("o_orderkey", 101, 0), None)
-            .when(_every("o_orderkey", 103, 1), F.col("o_orderkey") + ORPHANS_FROM)
-            .otherwise(F.col("o_custkey"))
-            .cast("int")
-            .alias("customer_id"),
-            ordered.alias("order_date"),
-            F.when(_every("l_orderkey", 107, 2), None)
-            .when(_every("l_orderkey", 109, 3), F.col("l_partkey") + ORPHANS_FROM)
-            .otherwise(F.col("l_partkey"))
-            .cast("int")
-            .alias("product_id"),
-            F.when(_every("l_orderkey", 127, 6), 0).otherwise(F.col("l_quantity")).cast("int").alias("quantity"),
-            price.alias("unit_price"),
-            (F.col("l_quantity").cast(MONEY) * price + surcharge).cast(MONEY).alias("total_amount"),
-            status.alias("order_status"),
-            paid.alias("payment_date"),
-            ROW_ID,
-        )
+    joined = lines.join(heads, F.expr("l_orderkey = o_orderkey")).join(parts, F.expr("l_partkey = p_partkey"))
+    surcharge = f"CAST(CASE WHEN l_orderkey % 113 = 5 THEN '0.02' ELSE '0.00' END AS {MONEY})"
+    return joined.selectExpr(
+        "CAST(l_orderkey * 10 + l_linenumber AS int) AS order_id",
+        f"CAST(CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 1 THEN o_orderkey + {ORPHANS_FROM} "
+        "ELSE o_custkey END AS int) AS customer_id",
+        "CAST(o_orderdate AS date) AS order_date",
+        f"CAST(CASE WHEN l_orderkey % 107 = 2 THEN NULL WHEN l_orderkey % 109 = 3 THEN l_partkey + {ORPHANS_FROM} "
+        "ELSE l_partkey END AS int) AS product_id",
+        "CAST(CASE WHEN l_orderkey % 127 = 6 THEN 0 ELSE l_quantity END AS int) AS quantity",
+        f"CAST(p_retailprice AS {MONEY}) AS unit_price",
+        f"CAST(CAST(l_quantity AS {MONEY}) * CAST(p_retailprice AS {MONEY}) + {surcharge} AS {MONEY}) AS total_amount",
+        "CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'P' THEN 'Pending' WHEN 'O' THEN 'Cancelled' END AS order_status",
+        "CASE WHEN o_orderstatus = 'F' AND l_orderkey % 131 <> 7 THEN "
+        "CASE WHEN l_orderkey % 137 = 8 THEN date_sub(CAST(o_orderdate AS date), 1) "
+        "ELSE CAST(greatest(l_shipdate, o_orderdate) AS date) END "
+        "WHEN o_orderstatus = 'O' AND l_orderkey % 139 = 9 THEN CAST(o_orderdate AS date) END AS payment_date",
+        ROW_ID,
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("p_retailprice").cast(MONEY)
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        price.alias("price"),
-        (price * F.lit("0.60").cast("decimal(3,2)")).cast(MONEY).alias("cost"),
-        F.when(_every("p_partkey", 41, 3), -F.col("p_size")).otherwise(F.col("p_size")).cast("int").alias("stock_quantity"),
-        (F.col("p_size") % 7).cast("int").alias("reorder_level"),
-        F.col("p_partkey").alias(ROW_ID),
+    price = f"CAST(p_retailprice AS {MONEY})"
+    return table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS int) AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        f"{price} AS price",
+        f"CAST({price} * 0.60 AS {MONEY}) AS cost",
+        "CAST(CASE WHEN p_partkey % 41 = 3 THEN -p_size ELSE p_size END AS int) AS stock_quantity",
+        "CAST(p_size % 7 AS int) AS reorder_level",
+        f"p_partkey AS {ROW_ID}",
     )
 
 
@@ -133,13 +104,16 @@ def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def silver(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame:
+def silver(
+    spark: SparkSession, sf_dir: str, table_name: str, tables: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """One flagged entity."""
+    tables = tables or raw(spark, sf_dir)
+    parents = {t: tables[t] for t in ("customers", "products")} if table_name == "orders" else {}
+    return flag(tables[table_name], table_name, spec=SPEC, **parents)
+
+
+def flagged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All flagged entities."""
     tables = raw(spark, sf_dir)
-    return flag(
-        tables[table_name],
-        table_name,
-        spec=SPEC,
-        customers=tables["customers"],
-        products=tables["products"],
-    )
+    return {t: silver(spark, sf_dir, t, tables) for t in tables}
