@@ -141,16 +141,19 @@ def row_metrics(
 def key_metrics(flagged: DataFrame, table: str, spec: QualitySpec | None = None) -> DataFrame:
     """Distinct non-null keys and those of them that are duplicated.
 
-    Grouping by key once serves both distinct counts; two count_distinct would double every row.
+    A row that passes uniqueness has a key of its own, so such rows are only counted: they form one
+    group per task, and nothing but the duplicated keys is shuffled.
     """
     key = (spec or QualitySpec()).contract(table).key
-    per_key = (
+    groups = (
         flagged.where(f"{key} IS NOT NULL")
-        .groupBy(key)
-        .agg(F.expr(f"max(NOT {PASS_COLUMN[UNIQUENESS]}) AS failed"))
+        .groupBy(F.expr(f"CASE WHEN NOT {PASS_COLUMN[UNIQUENESS]} THEN {key} END AS duplicated_key"))
+        .agg(F.expr("count(1) AS n"))
     )
-    counts = per_key.agg(
-        F.expr("count(1) AS total_evaluated"), F.expr("count_if(failed) AS fail_count")
+    single = "coalesce(sum(CASE WHEN duplicated_key IS NULL THEN n END), 0)"
+    counts = groups.agg(
+        F.expr(f"{single} + count(duplicated_key) AS total_evaluated"),
+        F.expr("count(duplicated_key) AS fail_count"),
     ).selectExpr(
         f"{sql_text(table)} AS table_name",
         f"{sql_text(f'{UNIQUENESS}:{table}.{key}.duplicate_keys')} AS check_name",

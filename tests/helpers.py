@@ -1,10 +1,9 @@
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from saleslake.operators.quality import flag
 from saleslake.operators.rules import QualitySpec
 from saleslake.sources.contracts import CONTRACTS, ROW_ID
@@ -25,14 +24,22 @@ def flag_all(raw, spec=None, **options):
     return {t: flag(raw[t], t, spec=spec or QualitySpec(), **parents, **options) for t in raw}
 
 
+def _rows(flagged):
+    return flagged if isinstance(flagged, list) else flagged.collect()
+
+
 def code_counts(flagged):
-    """code -> rows that carry it."""
-    rows = flagged.select(F.explode("failed_checks").alias("code")).groupBy("code").count().collect()
-    return {r["code"]: r["count"] for r in rows}
+    """code -> rows that carry it; takes a frame or its collected rows."""
+    return dict(Counter(code for r in _rows(flagged) for code in r["failed_checks"]))
 
 
 def fails(flagged):
-    return flagged.where("quality_check_result = 'FAIL'").count()
+    return sum(r["quality_check_result"] == "FAIL" for r in _rows(flagged))
+
+
+def failed_orders(rows):
+    """order id -> codes of the failing orders."""
+    return {r["order_id"]: r["failed_checks"] for r in rows if r["failed_checks"]}
 
 
 def customers(spark, *rows):
