@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from saleslake.operators.lookup import checkpoint_folder
 
@@ -34,3 +34,7 @@ class Catalog:
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder."""
     return f"{checkpoint_folder(spark).rstrip('/')}/saleslake-{purpose}-{uuid.uuid4().hex}"
+
+
+def row_count(name: str) -> Column:
+    return F.count(F.lit(1)).alias(name)

@@ -8,14 +8,13 @@ from saleslake.functions import expressions as E
 from saleslake.operators import lookup, metrics, quality, rules
 from saleslake.plans import silver
 from saleslake.registry import oracle
-from saleslake.registry.catalog import Catalog, scratch
+from saleslake.registry.catalog import Catalog, row_count, scratch
 from saleslake.sources import lake, testdata as td
 from saleslake.sources.contracts import CONTRACTS
 from saleslake.sources.lake import LakeConfig
 
 catalog = Catalog()
 query = catalog.query
-ROW_COUNT = F.count(F.lit(1)).alias
 
 # Defects the test views do not have, planted per rule on part of the rows; all rows stay.
 # code -> column, Spark expression, DuckDB expression (both over the raw view).
@@ -106,7 +105,7 @@ def _register_rule(table: str, module: str, code: str, condition: str) -> None:
             products=tables["products"],
         )
         hit = flagged.where(F.array_contains(quality.CODES_COLUMN[module], code))
-        return hit.groupBy(F.col(shown).cast("bigint").alias("record")).agg(ROW_COUNT("n_rows"))
+        return hit.groupBy(F.col(shown).cast("bigint").alias("record")).agg(row_count("n_rows"))
 
 
 for _table, _modules in oracle.RULES.items():
@@ -143,7 +142,7 @@ def _(spark, d):
 )
 def _(spark, d):
     codes = E.null_codes("orders", CONTRACTS["orders"].required, rules.COMPLETENESS)
-    return td.orders(spark, d).select("order_id", codes.alias("c")).groupBy("order_id", _joined("c")).agg(ROW_COUNT("n_rows"))
+    return td.orders(spark, d).select("order_id", codes.alias("c")).groupBy("order_id", _joined("c")).agg(row_count("n_rows"))
 
 
 @query(
@@ -177,7 +176,7 @@ def _(spark, d):
         other_rows=customers.count(),
     )
     codes = E.orphan_codes("orders", "customer_id", rules.CUSTOMER_KEY, rules.RI)
-    return joined.groupBy("customer_id", F.array_join(codes, ",").alias("codes")).agg(ROW_COUNT("n_rows"))
+    return joined.groupBy("customer_id", F.array_join(codes, ",").alias("codes")).agg(row_count("n_rows"))
 
 
 @query(
@@ -189,7 +188,7 @@ def _(spark, d):
 )
 def _(spark, d):
     flagged = quality.apply_modules(td.customers(spark, d), "customers", [rules.UNIQUENESS])
-    return flagged.groupBy("customer_id", _joined("uniqueness_failed_checks")).agg(ROW_COUNT("n_rows"))
+    return flagged.groupBy("customer_id", _joined("uniqueness_failed_checks")).agg(row_count("n_rows"))
 
 
 @query(
@@ -245,7 +244,7 @@ def _register_flag(table: str) -> None:
         flagged = td.silver(spark, d, table)
         codes = F.array_join("failed_checks", ",").alias("codes")
         keys = [key, *quality.PASS_COLUMN.values(), codes, "quality_check_result"]
-        return flagged.groupBy(*keys).agg(ROW_COUNT("n_rows"))
+        return flagged.groupBy(*keys).agg(row_count("n_rows"))
 
 
 for _table in CONTRACTS:

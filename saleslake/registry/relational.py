@@ -11,13 +11,12 @@ from saleslake.functions import expressions as E
 from saleslake.operators import canonical, compare, lookup, metrics, quality, rules
 from saleslake.plans import checks, gold, serving
 from saleslake.registry import oracle
-from saleslake.registry.catalog import Catalog
+from saleslake.registry.catalog import Catalog, row_count
 from saleslake.sources import testdata as td
 from saleslake.sources.contracts import ORDERS, ROW_ID
 
 catalog = Catalog()
 query = catalog.query
-ROW_COUNT = F.count(F.lit(1)).alias
 
 
 def _sales(spark: SparkSession, d: str) -> DataFrame:
@@ -85,7 +84,7 @@ def _(spark, d):
         except QualityError:
             accepted = False
         frames.append(
-            df.agg(ROW_COUNT("n_rows")).select(
+            df.agg(row_count("n_rows")).select(
                 F.lit(name).alias("variant"), F.lit(accepted).alias("accepted"), "n_rows"
             )
         )
@@ -179,7 +178,7 @@ def _(spark, d):
     return (
         td.orders(spark, d)
         .groupBy("quantity", F.nullif("quantity", F.lit(0)).alias("divisor"))
-        .agg(ROW_COUNT("n_rows"))
+        .agg(row_count("n_rows"))
     )
 
 
@@ -208,7 +207,7 @@ def _(spark, d):
 )
 def _(spark, d):
     kept = gold.qualifying(td.silver(spark, d, "orders"), "product_id")
-    return kept.agg(ROW_COUNT("orders"), F.sum("total_amount").cast(E.MONEY).alias("revenue"))
+    return kept.agg(row_count("orders"), F.sum("total_amount").cast(E.MONEY).alias("revenue"))
 
 
 @query(
@@ -243,7 +242,7 @@ def _(spark, d):
 )
 def _(spark, d):
     flagged = td.silver(spark, d, "orders").where(~F.col("business_logic_pass"))
-    return flagged.groupBy("order_id").agg(ROW_COUNT("n_rows"))
+    return flagged.groupBy("order_id").agg(row_count("n_rows"))
 
 
 # --- joins ----------------------------------------------------------------------------------
@@ -264,7 +263,7 @@ def _existence(spark: SparkSession, d: str, limit: int) -> DataFrame:
         max_broadcast_rows=limit,
     )
     known = F.col(rules.CUSTOMER_KEY).isNotNull().alias("known")
-    return joined.groupBy("customer_id", known).agg(ROW_COUNT("n_rows"))
+    return joined.groupBy("customer_id", known).agg(row_count("n_rows"))
 
 
 @query("j_existence", _EXISTENCE)
@@ -295,7 +294,7 @@ def _(spark, d):
     )
     signup = F.col(rules.CUSTOMER_SIGNUP)
     return joined.groupBy("order_status", signup.isNull().alias("without_signup")).agg(
-        ROW_COUNT("n_rows"), F.min(signup).alias("first_signup"), F.max(signup).alias("last_signup")
+        row_count("n_rows"), F.min(signup).alias("first_signup"), F.max(signup).alias("last_signup")
     )
 
 
@@ -307,7 +306,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    counts = td.orders(spark, d).groupBy("product_id").agg(ROW_COUNT("n_rows"))
+    counts = td.orders(spark, d).groupBy("product_id").agg(row_count("n_rows"))
     names = canonical.canonical(td.products(spark, d), "product_id", ["category"])
     return counts.join(names, "product_id").select("product_id", "category", "n_rows")
 
@@ -321,7 +320,7 @@ def _(spark, d):
 )
 def _(spark, d):
     known = canonical.canonical(td.customers(spark, d), "customer_id", [])
-    counts = td.orders(spark, d).groupBy("customer_id").agg(ROW_COUNT("n"))
+    counts = td.orders(spark, d).groupBy("customer_id").agg(row_count("n"))
     return known.join(counts, "customer_id", "left").select(
         "customer_id", F.coalesce("n", F.lit(0)).alias("n_rows")
     )
@@ -337,7 +336,7 @@ def _(spark, d):
 )
 def _(spark, d):
     domain = spark.createDataFrame([("Pending",), ("Completed",), ("Cancelled",), ("Returned",)], "order_status string")
-    counts = td.orders(spark, d).groupBy("order_status").agg(ROW_COUNT("n"))
+    counts = td.orders(spark, d).groupBy("order_status").agg(row_count("n"))
     return canonical.densify(domain, counts, "order_status").select(
         "order_status", F.coalesce("n", F.lit(0)).alias("n_rows")
     )
@@ -364,7 +363,7 @@ def _(spark, d):
 )
 def _(spark, d):
     orders = td.orders(spark, d)
-    counts = orders.groupBy("order_id").agg(ROW_COUNT("n_rows"))
+    counts = orders.groupBy("order_id").agg(row_count("n_rows"))
     return counts.join(lookup.duplicated_keys(orders, "order_id"), "order_id", "left_semi")
 
 
@@ -424,7 +423,7 @@ def _(spark, d):
     known = canonical.canonical(td.customers(spark, d), "customer_id", ["country"])
     totals = gold.order_totals(gold.qualifying(td.silver(spark, d, "orders"), "customer_id"), "customer_id")
     joined = known.join(totals, "customer_id", "left")
-    return joined.groupBy("country").agg(ROW_COUNT("customers"), F.count("total_orders").alias("with_orders"))
+    return joined.groupBy("country").agg(row_count("customers"), F.count("total_orders").alias("with_orders"))
 
 
 @query(
@@ -437,7 +436,7 @@ def _(spark, d):
 def _(spark, d):
     flagged = quality.apply_modules(td.orders(spark, d), "orders", [rules.COMPLETENESS])
     ok = F.col("completeness_pass")
-    return flagged.agg(ROW_COUNT("total"), F.count_if(ok).alias("passed"), F.count_if(~ok).alias("failed"))
+    return flagged.agg(row_count("total"), F.count_if(ok).alias("passed"), F.count_if(~ok).alias("failed"))
 
 
 @query(
@@ -474,7 +473,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    return td.silver(spark, d, "orders").groupBy("quality_check_result").agg(ROW_COUNT("n_rows"))
+    return td.silver(spark, d, "orders").groupBy("quality_check_result").agg(row_count("n_rows"))
 
 
 @query(
@@ -500,7 +499,7 @@ def _(spark, d):
         td.orders(spark, d)
         .where(F.col("product_id").isNotNull())
         .groupBy("product_id")
-        .agg(ROW_COUNT("total_evaluated"), F.count_if(F.col("order_status") == "Cancelled").alias("fail_count"))
+        .agg(row_count("total_evaluated"), F.count_if(F.col("order_status") == "Cancelled").alias("fail_count"))
     )
     rated = metrics.with_rates(
         counts.select(
@@ -564,7 +563,7 @@ def _(spark, d):
 )
 def _(spark, d):
     bins = E.bin_floor(F.col("unit_price"), 30).alias("bin_start")
-    return td.orders(spark, d).groupBy(bins).agg(ROW_COUNT("orders"))
+    return td.orders(spark, d).groupBy(bins).agg(row_count("orders"))
 
 
 @query("a_distinct", oracle.query("SELECT DISTINCT country, customer_segment FROM raw_customers"))
@@ -580,20 +579,20 @@ _KEY_COUNT = oracle.query("SELECT order_id, duplicated, count(*) AS n_rows FROM
 @query("w_key_count", _KEY_COUNT)
 def _(spark, d):
     marked = lookup.is_duplicated(td.orders(spark, d), "order_id", "duplicated")
-    return marked.groupBy("order_id", "duplicated").agg(ROW_COUNT("n_rows"))
+    return marked.groupBy("order_id", "duplicated").agg(row_count("n_rows"))
 
 
 @query("w_key_count_salted", _KEY_COUNT)
 def _(spark, d):
     marked = lookup.is_duplicated(td.orders(spark, d), "order_id", "duplicated", max_broadcast_rows=0)
-    return marked.groupBy("order_id", "duplicated").agg(ROW_COUNT("n_rows"))
+    return marked.groupBy("order_id", "duplicated").agg(row_count("n_rows"))
 
 
 @query("w_key_count_window", _KEY_COUNT)
 def _(spark, d):
     many = F.col("order_id").isNotNull() & (lookup.occurrences("order_id") > 1)
     marked = td.orders(spark, d).select("order_id", many.alias("duplicated"))
-    return marked.groupBy("order_id", "duplicated").agg(ROW_COUNT("n_rows"))
+    return marked.groupBy("order_id", "duplicated").agg(row_count("n_rows"))
 
 
 _CANONICAL = oracle.query("SELECT customer_id, customer_name, signup_date FROM first_customers")
@@ -741,7 +740,7 @@ def _(spark, d):
 )
 def _(spark, d):
     frames = [df.select(F.lit(t).alias("entity")) for t, df in td.raw(spark, d).items()]
-    return checks.union(frames).groupBy("entity").agg(ROW_COUNT("n_rows"))
+    return checks.union(frames).groupBy("entity").agg(row_count("n_rows"))
 
 
 @query(
@@ -757,5 +756,5 @@ def _(spark, d):
     return (
         flagged.where(F.size("c") > 0)
         .groupBy("order_id", F.array_join(F.array_sort("c"), ",").alias("codes"))
-        .agg(ROW_COUNT("n_rows"))
+        .agg(row_count("n_rows"))
     )

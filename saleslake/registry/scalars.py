@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 from saleslake.functions import expressions as E
 from saleslake.operators import quality, rules
 from saleslake.registry import oracle
-from saleslake.registry.catalog import Catalog
+from saleslake.registry.catalog import Catalog, row_count
 from saleslake.sources import testdata as td
 from saleslake.sources.contracts import ROW_ID
 from saleslake.sources.ingest import with_row_id
 
 catalog = Catalog()
 query = catalog.query
-ROW_COUNT = F.count(F.lit(1)).alias
 
 
 def _codes(spark, d):
@@ -35,7 +34,7 @@ _UNNESTED = "(SELECT order_id, unnest(failed_checks) AS code FROM silver_orders)
     oracle.query(f"SELECT code, count(*) AS n_rows FROM {_UNNESTED} WHERE starts_with(code, 'ri:') GROUP BY 1"),
 )
 def _(spark, d):
-    return _codes(spark, d).where(F.col("code").startswith("ri:")).groupBy("code").agg(ROW_COUNT("n_rows"))
+    return _codes(spark, d).where(F.col("code").startswith("ri:")).groupBy("code").agg(row_count("n_rows"))
 
 
 @query(
@@ -43,7 +42,7 @@ def _(spark, d):
     oracle.query(f"SELECT code, count(*) AS n_rows FROM {_UNNESTED} WHERE contains(code, 'orphan') GROUP BY 1"),
 )
 def _(spark, d):
-    return _codes(spark, d).where(F.col("code").contains("orphan")).groupBy("code").agg(ROW_COUNT("n_rows"))
+    return _codes(spark, d).where(F.col("code").contains("orphan")).groupBy("code").agg(row_count("n_rows"))
 
 
 @query(
@@ -52,7 +51,7 @@ def _(spark, d):
 )
 def _(spark, d):
     code = F.concat("o_orderstatus", F.lit(":"), F.concat_ws(".", F.lit("orders"), "o_orderpriority"))
-    return td.table(spark, d, "orders").groupBy(code.alias("code")).agg(ROW_COUNT("n_rows"))
+    return td.table(spark, d, "orders").groupBy(code.alias("code")).agg(row_count("n_rows"))
 
 
 @query(
@@ -63,7 +62,7 @@ def _(spark, d):
 def _(spark, d):
     day = F.col("o_orderdate").cast("date")
     keys = [day.alias("order_date"), E.week_start(day).alias("week_start")]
-    return td.table(spark, d, "orders").groupBy(*keys).agg(ROW_COUNT("n_rows"))
+    return td.table(spark, d, "orders").groupBy(*keys).agg(row_count("n_rows"))
 
 
 @query("f_civil_date", "SELECT event_id, CAST(ts AS DATE) AS event_date FROM events")
@@ -98,7 +97,7 @@ def _(spark, d):
 def _(spark, d):
     expected = E.line_total(F.col("quantity"), F.col("unit_price"))
     deviation = F.abs(F.col("total_amount") - expected).cast(E.MONEY)
-    return td.orders(spark, d).groupBy(deviation.alias("deviation")).agg(ROW_COUNT("n_rows"))
+    return td.orders(spark, d).groupBy(deviation.alias("deviation")).agg(row_count("n_rows"))
 
 
 @query(
@@ -120,7 +119,7 @@ def _(spark, d):
 )
 def _(spark, d):
     totals = td.table(spark, d, "orders").groupBy("o_custkey").agg(
-        ROW_COUNT("n"), F.sum(F.col("o_totalprice").cast(E.MONEY)).alias("total")
+        row_count("n"), F.sum(F.col("o_totalprice").cast(E.MONEY)).alias("total")
     )
     return totals.select("o_custkey", E.money_average("total", "n").alias("average"))
 
@@ -132,7 +131,7 @@ def _(spark, d):
 )
 def _(spark, d):
     counts = td.table(spark, d, "lineitem").groupBy("l_suppkey").agg(
-        ROW_COUNT("n"), F.count_if(F.col("l_returnflag") == "R").alias("f")
+        row_count("n"), F.count_if(F.col("l_returnflag") == "R").alias("f")
     )
     return counts.select("l_suppkey", E.ratio("f", "n").alias("returned"))
 
@@ -144,7 +143,7 @@ def _(spark, d):
 )
 def _(spark, d):
     bins = E.bin_floor(F.col("c_acctbal").cast(E.MONEY), 30)
-    return td.table(spark, d, "customer").groupBy(bins.alias("bin_start")).agg(ROW_COUNT("n_rows"))
+    return td.table(spark, d, "customer").groupBy(bins.alias("bin_start")).agg(row_count("n_rows"))
 
 
 @query(
@@ -163,7 +162,7 @@ def _(spark, d):
 def _(spark, d):
     empty = td.table(spark, d, "customer").select(E.no_codes().alias("codes"))
     return empty.groupBy(F.expr("typeof(codes)").alias("kind"), F.size("codes").cast("bigint").alias("elements")).agg(
-        ROW_COUNT("n_rows")
+        row_count("n_rows")
     )
 
 
@@ -176,7 +175,7 @@ def _(spark, d):
 )
 def _(spark, d):
     codes = F.concat("completeness_failed_checks", "type_failed_checks", F.array(F.lit("end")))
-    return _local(spark, d).groupBy("order_id", F.array_join(codes, "|").alias("codes")).agg(ROW_COUNT("n_rows"))
+    return _local(spark, d).groupBy("order_id", F.array_join(codes, "|").alias("codes")).agg(row_count("n_rows"))
 
 
 @query(
@@ -194,7 +193,7 @@ def _(spark, d):
 )
 def _(spark, d):
     size = F.size("failed_checks").cast("bigint").alias("codes")
-    return td.silver(spark, d, "orders").groupBy(size).agg(ROW_COUNT("n_rows"))
+    return td.silver(spark, d, "orders").groupBy(size).agg(row_count("n_rows"))
 
 
 @query(
@@ -206,12 +205,12 @@ def _(spark, d):
 )
 def _(spark, d):
     early = F.array_contains("failed_checks", "business:orders.order_not_before_signup")
-    return td.silver(spark, d, "orders").groupBy(early.alias("early")).agg(ROW_COUNT("n_rows"))
+    return td.silver(spark, d, "orders").groupBy(early.alias("early")).agg(row_count("n_rows"))
 
 
 @query("f_explode", oracle.query(f"SELECT code, count(*) AS n_rows FROM {_UNNESTED} GROUP BY 1"))
 def _(spark, d):
-    return _codes(spark, d).groupBy("code").agg(ROW_COUNT("n_rows"))
+    return _codes(spark, d).groupBy("code").agg(row_count("n_rows"))
 
 
 @query("f_null_default", oracle.query("SELECT customer_id, coalesce(email, customer_name) AS contact FROM raw_customers"))
@@ -249,10 +248,10 @@ def _(spark, d):
 )
 def _(spark, d):
     same = F.col("payment_date").eqNullSafe(F.col("order_date"))
-    return td.orders(spark, d).groupBy(same.alias("same_day")).agg(ROW_COUNT("n_rows"))
+    return td.orders(spark, d).groupBy(same.alias("same_day")).agg(row_count("n_rows"))
 
 
 @query("f_row_id", "SELECT count(*) AS n_rows, count(*) AS ids FROM lineitem")
 def _(spark, d):
-    per_id = with_row_id(td.table(spark, d, "lineitem")).groupBy(ROW_ID).agg(ROW_COUNT("n"))
+    per_id = with_row_id(td.table(spark, d, "lineitem")).groupBy(ROW_ID).agg(row_count("n"))
     return per_id.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("ids"))

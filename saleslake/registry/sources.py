@@ -9,15 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from saleslake.errors import IngestError
 from saleslake.plans import checks
 from saleslake.registry import oracle
-from saleslake.registry.catalog import Catalog, scratch
+from saleslake.registry.catalog import Catalog, row_count, scratch
 from saleslake.sources import ingest, lake, testdata as td
 from saleslake.sources.contracts import AUDIT_TABLE, CONTRACTS, CUSTOMERS, ORDERS, PRODUCTS, ROW_ID
 from saleslake.sources.lake import LakeConfig
 
 catalog = Catalog()
 query = catalog.query
-ROW_COUNT = F.count(F.lit(1)).alias
-RUN_AT = datetime(2026, 1, 1, tzinfo=timezone.utc)
+RUN_AT = datetime(2026, 1, 1, 12, tzinfo=timezone.utc)
 
 
 def export(df: DataFrame, path: str) -> str:
@@ -28,7 +27,7 @@ def export(df: DataFrame, path: str) -> str:
 
 def export_entity(spark: SparkSession, d: str, folder: str, table: str) -> None:
     contract = CONTRACTS[table]
-    export(td.raw(spark, d)[table].select(*contract.names), f"{folder}/{contract.filename}")
+    export(td.VIEWS[table](spark, d).select(*contract.names), f"{folder}/{contract.filename}")
 
 
 def export_all(spark: SparkSession, d: str, place: str) -> str:
@@ -50,7 +49,7 @@ def lake_with(spark: SparkSession, d: str, purpose: str, *tables: str) -> LakeCo
 def _outcome(spark: SparkSession, variant: str, attempt) -> DataFrame:
     """variant, accepted, n_rows of an attempt that returns a frame or raises."""
     try:
-        counted = attempt().agg(ROW_COUNT("n_rows"))
+        counted = attempt().agg(row_count("n_rows"))
         return counted.select(F.lit(variant).alias("variant"), F.lit(True).alias("accepted"), "n_rows")
     except IngestError:
         return spark.createDataFrame([(variant, False, 0)], "variant string, accepted boolean, n_rows bigint")
@@ -82,7 +81,7 @@ def _(spark, d):
         }
     )
     path = export(broken, scratch(spark, "scan"))
-    return ingest.read_source(spark, path, ORDERS).groupBy(*ORDERS.names).agg(ROW_COUNT("n_rows"))
+    return ingest.read_source(spark, path, ORDERS).groupBy(*ORDERS.names).agg(row_count("n_rows"))
 
 
 @query("s_header_check", _variants("contract raw_products", "reordered", "renamed", "missing", "extra"))
@@ -177,7 +176,7 @@ def _(spark, d):
 @query("s_row_id", oracle.query("SELECT count(*) AS n_rows, count(*) AS ids FROM raw_orders"))
 def _(spark, d):
     orders = ingest.with_row_id(td.orders(spark, d).drop(ROW_ID))
-    per_id = orders.groupBy(ROW_ID).agg(ROW_COUNT("n"))
+    per_id = orders.groupBy(ROW_ID).agg(row_count("n"))
     return per_id.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("ids"))
 
 
@@ -198,7 +197,7 @@ def _(spark, d):
     config = lake_with(spark, d, "reconcile", "orders")
     landed = ingest.ingest_entity(spark, config, "orders")
     written = lake.read_table(spark, config, "bronze", "orders")
-    return written.agg(F.lit(landed.rows).cast("bigint").alias("rows_read"), ROW_COUNT("rows_written"))
+    return written.agg(F.lit(landed.rows).cast("bigint").alias("rows_read"), row_count("rows_written"))
 
 
 def _audit(spark: SparkSession, config: LakeConfig) -> DataFrame:
@@ -272,7 +271,7 @@ def _(spark, d):
 def _(spark, d):
     config = lake_with(spark, d, "tables")
     lake.overwrite_table(spark, td.products(spark, d), config, "silver", "products")
-    return lake.read_table(spark, config, "silver", "products").groupBy("category").agg(ROW_COUNT("n_rows"))
+    return lake.read_table(spark, config, "silver", "products").groupBy("category").agg(row_count("n_rows"))
 
 
 @query(
@@ -284,7 +283,7 @@ def _(spark, d):
     for _ in range(2):
         name = lake.ensure_schema(spark, config, "bronze")
     lake.overwrite_table(spark, td.products(spark, d), config, "bronze", "products")
-    rows = lake.read_table(spark, config, "bronze", "products").agg(ROW_COUNT("n_rows"))
+    rows = lake.read_table(spark, config, "bronze", "products").agg(row_count("n_rows"))
     return rows.select(F.lit(spark.catalog.databaseExists(name)).alias("existed"), "n_rows")
 
 
@@ -298,7 +297,7 @@ def _(spark, d):
 )
 def _(spark, d):
     domain = lake.relation(spark, [(s,) for s in (*td.SEGMENTS, "PREMIUM")], "segment string")
-    counts = td.customers(spark, d).groupBy(F.col("customer_segment").alias("segment")).agg(ROW_COUNT("n"))
+    counts = td.customers(spark, d).groupBy(F.col("customer_segment").alias("segment")).agg(row_count("n"))
     return domain.join(counts, "segment", "left").select("segment", F.coalesce("n", F.lit(0)).alias("customers"))
 
 

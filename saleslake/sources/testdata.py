@@ -96,21 +96,24 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+VIEWS = {"customers": customers, "orders": orders, "products": products}
+
+
 def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "customers": customers(spark, sf_dir),
-        "orders": orders(spark, sf_dir),
-        "products": products(spark, sf_dir),
-    }
+    return {name: view(spark, sf_dir) for name, view in VIEWS.items()}
 
 
 def silver(
     spark: SparkSession, sf_dir: str, table_name: str, tables: dict[str, DataFrame] | None = None
 ) -> DataFrame:
     """One flagged entity."""
+    if table_name != "orders":
+        df = tables[table_name] if tables else VIEWS[table_name](spark, sf_dir)
+        return flag(df, table_name, spec=SPEC)
     tables = tables or raw(spark, sf_dir)
-    parents = {t: tables[t] for t in ("customers", "products")} if table_name == "orders" else {}
-    return flag(tables[table_name], table_name, spec=SPEC, **parents)
+    return flag(
+        tables["orders"], "orders", spec=SPEC, customers=tables["customers"], products=tables["products"]
+    )
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
