@@ -8,8 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from saleslake.operators.lookup import orphan_counts
-
 
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows whose multiplicity differs, with the surplus on each side.
@@ -42,63 +40,58 @@ def _entries(wide: DataFrame) -> DataFrame:
     return wide.select(F.inline(F.array(*pairs)))
 
 
-def _prefixed(wide: DataFrame, prefix: str) -> DataFrame:
-    return _entries(wide).withColumn("check_name", F.concat(F.lit(prefix + "."), "check_name"))
-
-
-def _duplicates(df: DataFrame, key: str) -> DataFrame:
-    per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    more = F.col("n") > 1
-    return per_key.agg(
-        F.count_if(more).alias("duplicate_keys"),
-        F.coalesce(F.sum(F.when(more, F.col("n"))), F.lit(0)).alias("duplicate_rows"),
-    )
+# Profile entries as SQL over one row per (kind, key) with its references, parents and flags.
+_CUSTOMER, _ORDER, _PRODUCT = "kind = 'customer'", "kind = 'order'", "kind = 'product'"
+_PROFILE = {
+    "customers.rows": f"sum(CASE WHEN {_CUSTOMER} THEN parents END)",
+    "customers.null_email": "sum(null_emails)",
+    "customers.future_signups": "sum(futures)",
+    "customers.future_and_null_email": "sum(future_null_emails)",
+    "customers.future_and_duplicate": f"count_if({_CUSTOMER} AND id IS NOT NULL AND parents > 1 AND futures > 0)",
+    "customers.duplicate_keys": f"count_if({_CUSTOMER} AND id IS NOT NULL AND parents > 1)",
+    "customers.duplicate_rows": f"sum(CASE WHEN {_CUSTOMER} AND id IS NOT NULL AND parents > 1 THEN parents END)",
+    "orders.rows": f"sum(CASE WHEN {_ORDER} THEN refs END)",
+    "orders.null_customer_id": f"sum(CASE WHEN {_CUSTOMER} AND id IS NULL THEN refs END)",
+    "orders.null_product_id": f"sum(CASE WHEN {_PRODUCT} AND id IS NULL THEN refs END)",
+    "orders.duplicate_keys": f"count_if({_ORDER} AND id IS NOT NULL AND refs > 1)",
+    "orders.duplicate_rows": f"sum(CASE WHEN {_ORDER} AND id IS NOT NULL AND refs > 1 THEN refs END)",
+    "orders.orphan_customer_id": f"sum(CASE WHEN {_CUSTOMER} AND id IS NOT NULL AND parents = 0 THEN refs END)",
+    "orders.orphan_product_id": f"sum(CASE WHEN {_PRODUCT} AND id IS NOT NULL AND parents = 0 THEN refs END)",
+    "products.rows": f"sum(CASE WHEN {_PRODUCT} THEN parents END)",
+}
 
 
 def profile(customers: DataFrame, orders: DataFrame, products: DataFrame, as_of: date) -> DataFrame:
-    """check_name, rows: row counts, NULLs, duplicates, orphans, future dates, issue instances."""
-
-    def orphans(key: str, parents: DataFrame, name: str) -> DataFrame:
-        found = orphan_counts(orders, key, parents, key)
-        return found.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias(name))
+    """check_name, rows: row counts, NULLs, duplicates, orphans, future dates.
 
-    future = F.coalesce(F.col("signup_date") > F.lit(as_of), F.lit(False))
-    per_customer = (
-        customers.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(future).alias("future"))
-    )
-    frames = [
-        _prefixed(
-            customers.agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.count_if(F.col("email").isNull()).alias("null_email"),
-                F.count_if(future).alias("future_signups"),
-                F.count_if(future & F.col("email").isNull()).alias("future_and_null_email"),
-            ),
-            "customers",
-        ),
-        _prefixed(
-            per_customer.agg(
-                F.count_if((F.col("n") > 1) & F.col("future")).alias("future_and_duplicate")
-            ),
-            "customers",
-        ),
-        _prefixed(
-            orders.agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.count_if(F.col("customer_id").isNull()).alias("null_customer_id"),
-                F.count_if(F.col("product_id").isNull()).alias("null_product_id"),
-            ),
-            "orders",
+    Every table is read once and nothing is joined: orders refer to keys, customers and products
+    are keys, and one grouping by (kind, key) that combines map-side brings both together.
+    """
+    future = f"coalesce(signup_date > DATE'{as_of}', false)"
+    none = ["0 AS future", "0 AS null_email", "0 AS future_null_email"]
+    keys = [
+        orders.selectExpr(
+            "inline(array(struct('order' AS kind, order_id AS id), struct('customer' AS kind, customer_id AS id), "
+            "struct('product' AS kind, product_id AS id)))"
+        ).selectExpr("kind", "id", "1 AS ref", "0 AS parent", *none),
+        customers.selectExpr(
+            "'customer' AS kind",
+            "customer_id AS id",
+            "0 AS ref",
+            "1 AS parent",
+            f"CAST({future} AS int) AS future",
+            "CAST(email IS NULL AS int) AS null_email",
+            f"CAST({future} AND email IS NULL AS int) AS future_null_email",
         ),
-        _prefixed(products.agg(F.count(F.lit(1)).alias("rows")), "products"),
-        _prefixed(_duplicates(customers, "customer_id"), "customers"),
-        _prefixed(_duplicates(orders, "order_id"), "orders"),
-        _prefixed(orphans("customer_id", customers, "orphan_customer_id"), "orders"),
-        _prefixed(orphans("product_id", products, "orphan_product_id"), "orders"),
+        products.selectExpr("'product' AS kind", "product_id AS id", "0 AS ref", "1 AS parent", *none),
     ]
-    return reduce(DataFrame.unionByName, frames)
+    sums = ("ref", "parent", "future", "null_email", "future_null_email")
+    per_key = (
+        reduce(DataFrame.unionAll, keys).groupBy("kind", "id").agg(*[F.sum(c).alias(f"{c}s") for c in sums])
+    )
+    wide = per_key.agg(*[F.expr(f"coalesce({text}, 0) AS `{name}`") for name, text in _PROFILE.items()])
+    pairs = ", ".join(f"struct('{name}' AS check_name, `{name}` AS rows)" for name in _PROFILE)
+    return wide.selectExpr(f"inline(array({pairs}))")
 
 
 # The profile entries that add up to the mandatory issue instances.

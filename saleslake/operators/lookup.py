@@ -36,10 +36,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small intermediate result, in the shared folder."""
+def cut_lineage(df: DataFrame) -> tuple[DataFrame, int]:
+    """Reliable checkpoint of a small intermediate result in the shared folder, and its rows."""
     checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    kept = df.checkpoint(eager=False)
+    return kept, kept.count()  # the count writes the checkpoint as well
 
 
 def duplicated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -82,7 +83,7 @@ def lookup(
     if other_rows <= max_broadcast_rows:
         return df.join(F.broadcast(other), F.col(key) == F.col(other_key), "left")
 
-    heavy = cut_lineage(heavy_keys(df, key, df.count(), counts))
+    heavy, _ = cut_lineage(heavy_keys(df, key, df.count(), counts))
     spread = F.xxhash64(row_id)
     salted = df.join(F.broadcast(heavy), F.col(key) == F.col("_heavy_key"), "left").withColumn(
         "_salt",
@@ -120,9 +121,9 @@ def is_duplicated(df: DataFrame, key: str, name: str, **options) -> DataFrame:
     Counting per key combines map-side, so no task ever holds all copies of a key. The duplicated
     keys are checkpointed once and their number decides how they are attached.
     """
-    copies = cut_lineage(duplicated_keys(df, key))
+    copies, known = cut_lineage(duplicated_keys(df, key))
     marks = copies.select(F.col(key).alias("_dup_key"))
-    marked = lookup(df, marks, key, "_dup_key", other_rows=copies.count(), counts=copies, **options)
+    marked = lookup(df, marks, key, "_dup_key", other_rows=known, counts=copies, **options)
     return marked.withColumn(name, F.col("_dup_key").isNotNull()).drop("_dup_key")
 
 

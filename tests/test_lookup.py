@@ -105,3 +105,11 @@ def test_multiset_difference_counts_copies(spark):
     right = spark.createDataFrame([(1, None), (2, "b"), (2, "b")], "a int, b string")
     found = {(r["a"], r["b"]): (r["only_left"], r["only_right"]) for r in compare.multiset_difference(left, right).collect()}
     assert found == {(1, None): (1, 0), (2, "b"): (0, 1), (3, "c"): (1, 0)}
+
+
+def test_cut_lineage_reads_the_reliable_checkpoint(spark):
+    kept, rows = lookup.cut_lineage(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
+    assert rows == 10
+    lineage = kept._jdf.queryExecution().toRdd().toDebugString()
+    assert "ReliableCheckpointRDD" in lineage and "ShuffledRowRDD" not in lineage
+    assert sorted(r["k"] for r in kept.collect()) == list(range(10))
