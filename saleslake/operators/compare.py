@@ -106,6 +106,27 @@ ISSUE_CHECKS = (
 )
 
 
+# The profile of the seed-42 sales data set.
+SEED_42_PROFILE = {
+    "customers.rows": 10_010,
+    "customers.null_email": 50,
+    "customers.duplicate_keys": 10,
+    "customers.duplicate_rows": 20,
+    "customers.future_signups": 30,
+    "customers.future_and_null_email": 0,
+    "customers.future_and_duplicate": 0,
+    "orders.rows": 100_020,
+    "orders.null_customer_id": 100,
+    "orders.null_product_id": 200,
+    "orders.duplicate_keys": 20,
+    "orders.duplicate_rows": 40,
+    "orders.orphan_customer_id": 50,
+    "orders.orphan_product_id": 30,
+    "products.rows": 500,
+    "issue_instances": 460,
+}
+
+
 def issue_instances(profiled: DataFrame) -> DataFrame:
     """One row: the total of the mandatory issue classes."""
     wanted = profiled.where(F.col("check_name").isin(*ISSUE_CHECKS))

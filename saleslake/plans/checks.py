@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from saleslake.operators.compare import profile
+from saleslake.operators.compare import issue_instances, profile
 from saleslake.operators.lookup import orphan_counts
 from saleslake.operators.metrics import PHYSICAL_ROW, TABLE_OUTCOME
 from saleslake.operators.quality import ALL_CODES, FAIL, PASS, RESULT
@@ -103,6 +103,14 @@ def preserved(before: DataFrame, after: DataFrame, layer: str) -> DataFrame:
     return compared(pair, name, F.col("b.rows"), F.col("a.rows"))
 
 
+def source_checks(profiled: DataFrame, expected: Mapping[str, int]) -> DataFrame:
+    """The profile of the sources, and its total of issue instances, against known numbers."""
+    wanted = profiled.sparkSession.createDataFrame(list(expected.items()), "check_name string, wanted bigint")
+    total = issue_instances(profiled).selectExpr("'issue_instances' AS check_name", "issue_instances AS rows")
+    pair = wanted.join(profiled.unionByName(total), "check_name", "left")
+    return compared(pair, F.concat(F.lit("source."), "check_name"), F.col("wanted"), F.col("rows"))
+
+
 def row_ids_unique(df: DataFrame, name: str) -> DataFrame:
     """As many row ids as rows; grouped by id, so the distinct count needs no single task."""
     per_id = df.groupBy(ROW_ID).agg(F.count(F.lit(1)).alias("n"))

@@ -76,6 +76,22 @@ def _shown(frame):
 _STATUS = "CASE WHEN expected IS NOT DISTINCT FROM actual THEN 'PASS' ELSE 'FAIL' END AS status"
 
 
+_WANTED = ", ".join(f"('{check}', {count})" for check, count in compare.SEED_42_PROFILE.items())
+
+
+@query(
+    "v_source_checks",
+    oracle.query(
+        f"SELECT *, {_STATUS} FROM (SELECT concat('source.', w.c) AS check_name, CAST(w.n AS VARCHAR) AS expected, "
+        f"CAST(p.n_rows AS VARCHAR) AS actual FROM (VALUES {_WANTED}) w(c, n) LEFT JOIN ({PROFILE_SQL} UNION ALL "
+        f"SELECT 'issue_instances', CAST(sum(n_rows) AS BIGINT) FROM ({PROFILE_SQL}) WHERE check_name IN ({_ISSUES})) p "
+        "ON p.check_name = w.c)"
+    ),
+)
+def _(spark, d):
+    return _shown(checks.source_checks(_profile(spark, d), compare.SEED_42_PROFILE))
+
+
 @query(
     "v_defects_preserved",
     oracle.query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -22,6 +23,8 @@ from saleslake.sources.contracts import (
 )
 from saleslake.sources.lake import LakeConfig
 
+LOG = logging.getLogger(__name__)
+
 SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 ERROR_TEXT_LIMIT = 2000
@@ -179,7 +182,7 @@ def ingest_entity(
             audit(spark, config, ingest_id=ingest_id, source=source, table=table, rows=rows,
                   at=at, status=FAILED, error=error_text(error))
         except Exception:  # the original problem matters more than its audit row
-            pass
+            LOG.exception("no audit row for the failed ingest of %s", table)
         raise
     audit(spark, config, ingest_id=ingest_id, source=source, table=table, rows=rows, at=at,
           status=SUCCESS)

@@ -149,7 +149,8 @@ def test_fingerprints(spark, fixtures, tmp_path):
 def test_layers_end_to_end(spark, fixtures, config):
     full = LakeConfig(f"{fixtures}/gold", bronze=config.bronze, silver=config.silver, gold=config.gold)
     expected = {("orders", "uniqueness:orders.order_id"): 2, ("orders", "type"): 0, ("customers", "completeness"): 1}
-    found = staged.run(spark, full, expected=expected)
+    numbers = {"orders.rows": 26, "customers.duplicate_rows": 2, "orders.orphan_product_id": 1, "issue_instances": 7}
+    found = staged.run(spark, full, expected=expected, expected_profile=numbers)
     failed = found.where("status = 'FAIL'").select("check_name", "expected", "actual").collect()
     assert failed == []
     assert found.count() > 60
