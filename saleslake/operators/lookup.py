@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from saleslake.errors import QualityError
 from saleslake.sources.contracts import ROW_ID
@@ -129,6 +129,4 @@ def is_duplicated(df: DataFrame, key: str, name: str, **options) -> DataFrame:
 
 def occurrences(key: str) -> Column:
     """The window form of the same count; sorts and buffers all copies of a key in one task."""
-    from pyspark.sql import Window
-
     return F.count(F.lit(1)).over(Window.partitionBy(key))
