@@ -21,8 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back.
+def written(df: DataFrame, purpose: str, *by: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder, in a folder per value of ``by``, and read back.
 
     This cuts the lineage: whatever executor is lost later, the rows are read again and not computed
     again. The files stay in ``<shared folder>/saleslake-llm/<application>`` until that is removed.
@@ -30,7 +30,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     run = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/saleslake-llm/{run}/{purpose}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
