@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.llm import mixing, quality_rules, sql, substring_dedup, suffix_dedup
+from saleslake.llm import mixing, quality_rules, simhash, sql, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,7 +36,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
-_ALL = (op4_quality_rules, op5_substring_dedup, op9_source_mixing, op10_suffix_dedup)
+_ALL = (op4_quality_rules, op5_substring_dedup, op7_simhash, op9_source_mixing, op10_suffix_dedup)
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {
     "op4_quality_rules": sql.QUALITY.format(docs="documents"),
