@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.llm import mixing, quality_rules, simhash, sql, substring_dedup, suffix_dedup
+from saleslake.llm import bpe, mixing, quality_rules, simhash, sql, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.verdict(docs).select(
@@ -36,7 +41,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
-_ALL = (op4_quality_rules, op5_substring_dedup, op7_simhash, op9_source_mixing, op10_suffix_dedup)
+_ALL = (op2_bpe, op4_quality_rules, op5_substring_dedup, op7_simhash, op9_source_mixing, op10_suffix_dedup)
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {
     "op4_quality_rules": sql.QUALITY.format(docs="documents"),
