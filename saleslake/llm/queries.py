@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.llm import bpe, mixing, quality_rules, simhash, sql, substring_dedup, suffix_dedup
+from saleslake.llm import bpe, html, mixing, quality_rules, simhash, sql, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
-_ALL = (op2_bpe, op4_quality_rules, op5_substring_dedup, op7_simhash, op9_source_mixing, op10_suffix_dedup)
+_ALL = (op2_bpe, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash, op9_source_mixing, op10_suffix_dedup)
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {
     "op4_quality_rules": sql.QUALITY.format(docs="documents"),
