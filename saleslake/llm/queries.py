@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers as tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saleslake.llm import bpe, html, mixing, quality_rules, simhash, sql, substring_dedup, suffix_dedup
+from saleslake.llm import bpe, html, mixing, neighbours, quality_rules, simhash, sql, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.verdict(docs).select(
@@ -45,7 +49,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
-_ALL = (op2_bpe, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash, op9_source_mixing, op10_suffix_dedup)
+_ALL = (op2_bpe, op3_neighbours, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash, op9_source_mixing, op10_suffix_dedup)
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {
     "op4_quality_rules": sql.QUALITY.format(docs="documents"),
