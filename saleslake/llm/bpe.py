@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -40,6 +41,11 @@ _RUN = re.compile(f"[^{_BLANK}]+")
 _SPACE = re.compile(f"[{_BLANK}]")
 #: Separators that str.split() cuts at, but the pattern doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
+#: Letters that lower-casing and composing treat alike everywhere, then points.
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+)([.,;:?!]*)").fullmatch
+#: The visible characters that byte-level vocabularies use for bytes: the others follow from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 class Codec:
@@ -64,23 +70,94 @@ class Codec:
         self._names = {i: name for name, i in names.items()}
         self._ids: dict[str, str] = {}
         self._tokens: dict[str, str] = {}
+        self._array: dict[str, bytes] = {}
+        self._words: dict[str, list[int]] = {}
+        self._numbers = {i: str(i) for i in self._names}
+        # Simple words need no normaliser if that is the usual one: lower case, byte-level letters.
+        probe = "Abc \u00c0\u00ff\u0141 ab.,"
+        self._is_plain = [
+            x for w in ("abc", "\u00e0\u00ff\u0142", "ab") for x in self._word(w)
+        ] + self._encode_runs([".,"])[0] == self.tokenizer.encode(probe, add_special_tokens=False).ids
+
+    def _encode_runs(self, runs: list[str]) -> list[list[int]]:
+        """The ids of each run: all are encoded as one text and told apart by their offsets."""
+        ends = np.cumsum([len(r) + 1 for r in runs])
+        found = self.tokenizer.encode(" ".join(runs), add_special_tokens=False)
+        start = np.array([a for a, _ in found.offsets], np.int64)
+        cuts = np.searchsorted(start, ends).tolist()
+        ids = found.ids
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _word(self, word: str) -> list[int]:
+        """The ids of a lower-case word of simple letters: normalised already, one pre-token."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return [t.id for t in self.model.tokenize(word)]
+
+    def _learn(self, runs: list[str], known: dict) -> None:
+        """Remember what ``runs`` become. A word and the points after it are pre-tokens of their own."""
+        unknown = set(runs).difference(known)
+        if not unknown:
+            return
+        if len(known) + len(unknown) > REMEMBERED:
+            for table in (self._ids, self._tokens, self._array):
+                table.clear()
+            unknown = set(runs)
+        words, rest, encode = self._words, [], self._word
+        for run in unknown:
+            simple = _SIMPLE(run) if self._is_plain else None
+            if simple is None:
+                rest.append(run)
+                continue
+            word, tail = simple.groups()
+            word = word.lower()
+            ids = words.get(word)
+            if ids is None:
+                if len(words) > REMEMBERED:
+                    words.clear()
+                ids = words[word] = encode(word)
+            if tail:
+                more = words.get(tail)
+                if more is None:
+                    more = words[tail] = self._encode_runs([tail])[0]
+                ids = ids + more
+            self._keep(run, ids, known)
+        if rest:
+            for run, ids in zip(rest, self._encode_runs(rest), strict=True):
+                self._keep(run, ids, known)
+
+    def _keep(self, run: str, ids: list[int], known: dict) -> None:
+        if known is self._array:
+            self._array[run] = np.array(ids, np.int32).tobytes()
+        else:
+            self._ids[run] = " ".join([self._numbers[i] for i in ids])
+            self._tokens[run] = " ".join([self._names[i] for i in ids])
+
+    def runs(self, text: str) -> list[str]:
+        return _RUN.findall(text) if _ODD.search(text) else text.split()
 
     def encode_text(self, text: str) -> tuple[str, str]:
         """Ids, and tokens, each joined by one space."""
-        runs = _RUN.findall(text) if _ODD.search(text) else text.split()
-        unknown = list(set(runs).difference(self._ids))
-        if unknown:
-            if len(self._ids) + len(unknown) > REMEMBERED:
-                self._ids.clear()
-                self._tokens.clear()
-                unknown = list(set(runs))
-            found = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-            for run, encoding in zip(unknown, found, strict=True):
-                self._ids[run] = " ".join(map(str, encoding.ids))
-                self._tokens[run] = self.decode(encoding.ids)
+        runs = self.runs(text)
+        self._learn(runs, self._ids)
         ids = " ".join(filter(None, map(self._ids.__getitem__, runs)))
         return ids, " ".join(filter(None, map(self._tokens.__getitem__, runs)))
 
+    def encode_texts(self, texts: list[str]) -> list[tuple[str, str]]:
+        """encode_text of each text; what is unknown in a group of texts is encoded together."""
+        out = []
+        for a in range(0, len(texts), 64):
+            group = texts[a : a + 64]
+            self._learn([r for t in group for r in self.runs(t)], self._ids)
+            out += map(self.encode_text, group)
+        return out
+
+    def encode_array(self, text: str) -> np.ndarray:
+        """Ids as an array of int32."""
+        runs = self.runs(text)
+        self._learn(runs, self._array)
+        return np.frombuffer(b"".join(map(self._array.__getitem__, runs)), np.int32)
+
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self._names.__getitem__, ids))
 
@@ -320,7 +397,7 @@ def _encode_short(definition):
         own = codec(definition.value)
         for batch in batches:
             doc_ids, texts = columns(batch, "doc_id", "text")
-            both = [own.encode_text(t) for t in texts]
+            both = own.encode_texts(texts)
             rows = [(d, count(i), digest(i), digest(t)) for d, (i, t) in zip(doc_ids, both, strict=True)]
             out = Rows(_RESULT_SCHEMA)
             out.rows = rows
