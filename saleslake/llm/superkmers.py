@@ -326,6 +326,27 @@ def _string_ids(batches):
         )
 
 
+_RUNS = pa.list_(pa.struct([("offset", pa.int32()), ("n", pa.int32()), ("lowest", pa.int64())]))
+
+
+def _merge(batches):
+    """Sorted windows of a string as runs with the same lowest document."""
+    for batch in batches:
+        merged = []
+        for windows in batch.column("windows").to_pylist():
+            runs: list[dict] = []
+            for w in windows:
+                end = runs and runs[-1]["offset"] + runs[-1]["n"]
+                if runs and end == w["offset"] and runs[-1]["lowest"] == w["lowest"]:
+                    runs[-1]["n"] += 1
+                else:
+                    runs.append({"offset": w["offset"], "n": 1, "lowest": w["lowest"]})
+            merged.append(runs)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("pa"), batch.column("pb"), pa.array(merged, _RUNS)], ["pa", "pb", "runs"]
+        )
+
+
 FOUND = "rid long, th long, start long, n int"
 _FOUND = pa.schema([("rid", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
 
@@ -396,7 +417,9 @@ def repeated_windows(df: DataFrame, units: Units, compare, earlier: bool, purpos
         several = several.where("lo < hi")
     else:
         several = light.groupBy("key").agg(count).where("copies > 1")
-    several = several.select("key", (F.col("copies") > HOT).alias("hot"))
+    # Written, its size is known: it is broadcast if small, else both sides of the join are shuffled and
+    # Spark can split a hash that very many super-k-mers have.
+    several = written(several.select("key", (F.col("copies") > HOT).alias("hot")), f"{purpose}-shared")
     shared = (
         light.join(several, "key")
         .groupBy("rid", "th")
@@ -438,22 +461,26 @@ def _hot_windows(emitted: DataFrame, units: Units, earlier: bool, purpose: str)
     sums = windows.groupBy("a", "b").agg(
         F.sum("copies").alias("total"), F.min("first").alias("lowest")
     )
-    sums = sums.where("total > 1")
+    lowest = F.col("lowest") if earlier else F.lit(0).cast("long")
+    sums = written(
+        sums.where("total > 1").select("a", "b", lowest.alias("lowest")), f"{purpose}-hot-shared"
+    )
     same = (
         windows.join(sums, ["a", "b"])
         .groupBy("pa", "pb")
-        .agg(F.collect_list(F.struct("offset", "lowest")).alias("windows"))
+        .agg(F.sort_array(F.collect_list(F.struct("offset", "lowest"))).alias("windows"))
+        .mapInArrow(_merge, "pa long, pb long, runs array<struct<offset:int,n:int,lowest:long>>")
     )
     rows = hot.select("doc_id", "rid", "th", "start", "packed").mapInArrow(
         _string_ids, "pa long, pb long, doc_id long, rid long, th long, start long"
     )
-    kept = F.col("windows")
+    runs = F.col("runs")
     if earlier:
-        kept = F.filter(kept, lambda w: w["lowest"] < F.col("doc_id"))
+        runs = F.filter(runs, lambda r: r["lowest"] < F.col("doc_id"))
     return (
         rows.join(same, ["pa", "pb"])
-        .select("rid", "th", "start", F.explode(kept).alias("w"))
-        .select("rid", "th", (F.col("start") + F.col("w.offset")).alias("start"), F.lit(1).alias("n"))
+        .select("rid", "th", "start", F.explode(runs).alias("r"))
+        .select("rid", "th", (F.col("start") + F.col("r.offset")).alias("start"), F.col("r.n").alias("n"))
     )
 
 
