@@ -72,6 +72,7 @@ class Codec:
         self._tokens: dict[str, str] = {}
         self._array: dict[str, bytes] = {}
         self._words: dict[str, list[int]] = {}
+        self.end = max(self._names) + 1
         self._numbers = {i: str(i) for i in self._names}
         # Simple words need no normaliser if that is the usual one: lower case, byte-level letters.
         probe = "Abc \u00c0\u00ff\u0141 ab.,"
@@ -161,6 +162,12 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self._names.__getitem__, ids))
 
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as bytes of int32."""
+        runs = [w.decode() for w in words]
+        self._learn(runs, self._array)
+        return list(map(self._array.__getitem__, runs))
+
     def pre_tokens(self, run: str) -> Iterator[tuple[str, int | None]]:
         """The pre-tokens of a run without white space, as the model gets them, or special ids."""
         for part in self._special.split(run) if self.special else [run]:

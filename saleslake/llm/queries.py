@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saleslake.llm import bpe, html, mixing, neighbours, quality_rules, simhash, sql, substring_dedup, suffix_dedup
+from saleslake.llm import bpe, html, lm, mixing, neighbours, quality_rules, simhash, sql, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(_table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -49,7 +53,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
-_ALL = (op2_bpe, op3_neighbours, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash, op9_source_mixing, op10_suffix_dedup)
+_ALL = (op2_bpe, op3_neighbours, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash, op8_lm_scores, op9_source_mixing, op10_suffix_dedup)
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {
     "op4_quality_rules": sql.QUALITY.format(docs="documents"),
