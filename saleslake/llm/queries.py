@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saleslake.llm import bpe, html, lm, mixing, neighbours, quality_rules, simhash, sql, substring_dedup, suffix_dedup
+from saleslake.llm import bpe, html, licenses, lm, mixing, neighbours, quality_rules, simhash, sql, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"))
 
@@ -53,7 +57,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
-_ALL = (op2_bpe, op3_neighbours, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash, op8_lm_scores, op9_source_mixing, op10_suffix_dedup)
+_ALL = (op1_license_scan, op2_bpe, op3_neighbours, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash, op8_lm_scores, op9_source_mixing, op10_suffix_dedup)
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {
     "op4_quality_rules": sql.QUALITY.format(docs="documents"),
