@@ -45,8 +45,20 @@ def with_row_identity(df: DataFrame) -> DataFrame:
     Joins back to the documents use (rid, th), so that a NULL or repeated doc_id mixes no texts.
     """
     return df.select(
-        "doc_id",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("rid"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        *identity(),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
+
+
+def boxed(df: DataFrame, *extra: Column) -> DataFrame:
+    """All columns of ``df`` as one struct ``_row``, so that no name can clash, beside ``extra``."""
+    return df.select(F.struct("*").alias("_row"), *extra)
+
+
+def identity(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
+    """(rid, th) of a row, see with_row_identity."""
+    return (
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("rid"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"),
+    )

@@ -19,9 +19,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from saleslake.llm.common import words, written
+from saleslake.llm.common import boxed, words, written
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -30,14 +30,20 @@ DIGIT = 3
 LEVELS = 3
 
 
-def sized(df: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, source, size in words and the digits d0, d1, ... of the hash."""
+def digits() -> list[Column]:
+    """d0, d1, ...: the digits of the hash of doc_id."""
     code = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    digits = [
+    return [
         F.conv(F.substring(code, 1 + DIGIT * k, DIGIT), 16, 10).cast("int").alias(f"d{k}")
         for k in range(LEVELS)
     ]
-    return df.select("doc_id", "source", F.size(words(F.col(text))).cast("long").alias("size"), *digits)
+
+
+def sized(df: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, source, size in words and the digits of the hash."""
+    return df.select(
+        "doc_id", "source", F.size(words(F.col(text))).cast("long").alias("size"), *digits()
+    )
 
 
 def targets(totals: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -110,13 +116,12 @@ def _boundary(docs: DataFrame, plan: DataFrame) -> DataFrame:
     return cut.select(F.col("source").alias("_source"), *cells, nearer.alias("_take"))
 
 
-def mix(df: DataFrame, text: str = "text", weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """doc_id, source, size, source_size, target, repeats, taken (= size * repeats).
+def _rule(docs: DataFrame, weights, max_repeats: int) -> DataFrame:
+    """One row per source (_plan): source_size, target, full repeats, and the cell up to which one more.
 
-    The plan has one row per source. It is read from a written table, so its size is known: Spark
-    broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and splits hot sources otherwise.
+    It is read from a written table, so its size is known: Spark broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold`` and splits hot sources otherwise.
     """
-    docs = written(sized(df, text), "mixing-sizes")
     totals = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     full = F.when(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
@@ -128,16 +133,38 @@ def mix(df: DataFrame, text: str = "text", weights=WEIGHTS, max_repeats: int = M
     rule = plan.withColumnRenamed("source", "_plan").join(
         cut, F.col("_plan").eqNullSafe(F.col("_source")), "left"
     )
-    rule = written(rule.drop("_source"), "mixing-rule")
+    return written(rule.drop("_source"), "mixing-rule")
+
+
+def _repeats() -> Column:
+    """How often a document is taken, from its digits and the rule of its source."""
     below, same = F.lit(False), F.lit(True)
     for level in range(LEVELS):
         mine, bound = F.col(f"d{level}"), F.col(f"_d{level}")
         below, same = below | (same & (mine < bound)), same & (mine == bound)
     # Without a boundary cell the budget, if any, covers the whole source.
     once = F.when(F.col("_d0").isNull(), F.col("rest") > 0).otherwise(below | (same & F.col("_take")))
+    return (F.col("full") + once.cast("long")).cast("long")
+
+
+def mix(df: DataFrame, text: str = "text", weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """doc_id, source, size, source_size, target, repeats, taken (= size * repeats)."""
+    docs = written(sized(df, text), "mixing-sizes")
+    rule = _rule(docs, weights, max_repeats)
     return (
         docs.join(rule, F.col("source").eqNullSafe(F.col("_plan")))
-        .withColumn("repeats", (F.col("full") + once.cast("long")).cast("long"))
+        .withColumn("repeats", _repeats())
         .withColumn("taken", F.col("size") * F.col("repeats"))
         .select("doc_id", "source", "size", "source_size", "target", "repeats", "taken")
     )
+
+
+def mixed(df: DataFrame, text: str = "text", weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The rows of ``df`` as often as the mix takes them, with their own columns."""
+    rule = _rule(written(sized(df, text), "mixing-sizes"), weights, max_repeats)
+    rows = boxed(df, F.col("source").alias("_own"), *digits())
+    return (
+        rows.join(rule, F.col("_own").eqNullSafe(F.col("_plan")))
+        .select("_row", F.explode(F.array_repeat(F.lit(0), _repeats().cast("int"))))
+        .select("_row.*")
+    )

@@ -16,7 +16,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from saleslake.llm.common import SPACE_CLASS, words
+from saleslake.llm.common import SPACE_CLASS, boxed, words
 
 #: Frequent function words of English, French, German and Spanish (fixed values).
 STOP_WORDS = (
@@ -132,3 +132,12 @@ def verdict(df: DataFrame, text: str = "text", base=BASE, rules=RULES) -> DataFr
         .withColumn("failed_rules", failed)
         .withColumn("kept", F.size("failed_rules") == 0)
     )
+
+
+def kept(df: DataFrame, text: str = "text", base=BASE, rules=RULES) -> DataFrame:
+    """The rows of ``df`` that meet all rules, with their own columns."""
+    judged = verdict(boxed(df, F.col(text).alias("text")), "text", base, rules)
+    # The id, never negative, keeps the optimizer from pushing the filter into the measures, where it would
+    # repeat each of them at every place that refers to it.
+    once = F.col("kept") & (F.monotonically_increasing_id() >= 0)
+    return judged.select("_row", once.alias("_kept")).where("_kept").select("_row.*")

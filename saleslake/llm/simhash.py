@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from saleslake.llm.common import with_row_identity, written
+from saleslake.llm.common import boxed, identity, with_row_identity, written
 from saleslake.llm.components import components
 from saleslake.llm.superkmers import columns, groups
 
@@ -267,3 +267,16 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     return linked(df, shingle, max_bits).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The row with the least doc_id of each component (NULL is greatest), with its own columns."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "rid", "th")).alias("first")
+    rows = linked(df, shingle, max_bits).groupBy("root").agg(first)
+    chosen = written(rows.select("first.rid", "first.th"), "simhash-kept")
+    return (
+        boxed(df, *identity())
+        .join(chosen, ["rid", "th"], "left_semi")
+        .dropDuplicates(["rid", "th"])
+        .select("_row.*")
+    )

@@ -16,8 +16,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from saleslake.llm.common import boxed, identity
 from saleslake.llm.superkmers import (
     Rows, Units, columns, covered, found_batch, groups, repeated_windows, runs_of,
 )
@@ -87,23 +88,30 @@ def _compare(units: Units):
     return run
 
 
-_RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+_RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 _RESULT_SCHEMA = pa.schema(
-    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-     ("kept_sha256", pa.string()), ("kept_text", pa.string())]
-)
+    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())]
+)
+_CHANGED = "rid long, th long, n_removed long, kept_text string"
+_CHANGED_SCHEMA = pa.schema(
+    [("rid", pa.int64()), ("th", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())]
+)
 
 
 def _cut(k: int, with_text: bool):
     def run(batches):
-        out = Rows(_RESULT_SCHEMA)
+        out = Rows(_CHANGED_SCHEMA if with_text else _RESULT_SCHEMA)
         for batch in batches:
-            for doc_id, text, found in zip(*columns(batch, "doc_id", "text", "found"), strict=True):
+            names = ("doc_id", "rid", "th", "text", "found")
+            for doc_id, rid, th, text, found in zip(*columns(batch, *names), strict=True):
                 words = text.split()
                 gone = covered(found, len(words), k)
                 kept = b" ".join([words[i] for i in np.flatnonzero(~gone)])
-                row = (doc_id, len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(),
-                       kept.decode() if with_text else None)
+                removed = int(gone.sum())
+                if with_text:
+                    row = (rid, th, removed, kept.decode())
+                else:
+                    row = (doc_id, len(words), removed, hashlib.sha256(kept).hexdigest())
                 if out.add(row, len(kept) if with_text else 64):
                     yield out.batch()
         yield out.batch()
@@ -116,11 +124,24 @@ def dedup(df: DataFrame, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
     units = Units(words=True, k=window, m=piece)
     found = repeated_windows(df, units, _compare(units), earlier=True, purpose="substrings")
     done = found.done.selectExpr("doc_id", "n_units AS n_words", "0L AS n_removed", "kept_sha256")
-    cut = found.texts.mapInArrow(_cut(window, False), _RESULT).drop("kept_text")
+    cut = found.texts.mapInArrow(_cut(window, False), _RESULT)
     return done.unionByName(cut)
 
 
-def removed_spans(df: DataFrame, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
-    """doc_id, text, found (start and number of windows to remove) of the texts with shared pieces."""
+def cut(df: DataFrame, window: int = WINDOW, piece: int = PIECE, text: str = "text") -> DataFrame:
+    """``df`` without the repeated words, with its own columns.
+
+    A text that loses words becomes its kept words, joined by one space; ``n_chars``, if there, follows. Other texts
+    stay as they are.
+    """
     units = Units(words=True, k=window, m=piece)
-    return repeated_windows(df, units, _compare(units), earlier=True, purpose="substrings").texts
+    found = repeated_windows(df, units, _compare(units), earlier=True, purpose="substrings")
+    changed = found.texts.where("found IS NOT NULL").mapInArrow(_cut(window, True), _CHANGED)
+    changed = changed.where("n_removed > 0").dropDuplicates(["rid", "th"])
+    joined = boxed(df, *identity()).join(changed, ["rid", "th"], "left")
+    new = F.coalesce("kept_text", f"_row.{text}")
+    values = {text: new}
+    if "n_chars" in df.columns:
+        length = F.char_length("kept_text").cast(df.schema["n_chars"].dataType)
+        values["n_chars"] = F.coalesce(length, "_row.n_chars")
+    return joined.select(*(values.get(c, F.col(f"_row.`{c}`")).alias(c) for c in df.columns))

@@ -442,7 +442,7 @@ def repeated_windows(df: DataFrame, units: Units, compare, earlier: bool, purpos
         "doc_id", "rid", "th", F.col("packed").alias("text")
     )
     done = emitted.where(F.col("kind") == DONE).select("doc_id", "n_units", "kept_sha256")
-    return Repeats(done, texts.join(of_text, ["rid", "th"], "left").select("doc_id", "text", "found"))
+    return Repeats(done, texts.join(of_text, ["rid", "th"], "left"))
 
 
 def _hot_windows(emitted: DataFrame, units: Units, earlier: bool, purpose: str) -> DataFrame:
