@@ -121,9 +121,11 @@ def equals_or_any(column: Column, wanted: Any) -> Column:
 
 
 def row_digest(columns: Sequence[str]) -> Column:
-    """64-bit digest of a row, as a decimal so that sums of it cannot overflow.
+    """64-bit digest of a row as DECIMAL(28,0): a sum of it is DECIMAL(38,0), which 1e18 equal rows
+    cannot overflow.
 
-    The hash skips NULLs, so which columns are NULL is hashed as well.
+    The hash skips NULLs, so which columns are NULL is hashed as well. Equal digests of two tables are
+    strong evidence, not proof; ``operators.compare`` has the exact comparison.
     """
     nulls = F.array(*[F.col(c).isNull() for c in columns])
-    return F.xxhash64(*columns, nulls).cast("decimal(20,0)")
+    return F.xxhash64(*columns, nulls).cast("decimal(28,0)")

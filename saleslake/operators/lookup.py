@@ -12,11 +12,8 @@ Two plans, chosen by a checked size:
 
 from __future__ import annotations
 
-import tempfile
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-
-from saleslake.errors import QualityError
 from saleslake.sources.contracts import ROW_ID
 
 MAX_BROADCAST_ROWS = 1_000_000
@@ -24,15 +21,11 @@ SLICES = 2_000
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate results; a session of its own only gets one locally."""
+    """The shared folder for intermediate results: ``spark.checkpoint.dir``, else one in the warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise QualityError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="saleslake-checkpoint-")
-        context.setCheckpointDir(folder)
+        inside = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or inside)
     return context.getCheckpointDir()
 
 
@@ -125,8 +118,3 @@ def is_duplicated(df: DataFrame, key: str, name: str, **options) -> DataFrame:
     marks = copies.select(F.col(key).alias("_dup_key"))
     marked = lookup(df, marks, key, "_dup_key", other_rows=known, counts=copies, **options)
     return marked.withColumn(name, F.col("_dup_key").isNotNull()).drop("_dup_key")
-
-
-def occurrences(key: str) -> Column:
-    """The window form of the same count; sorts and buffers all copies of a key in one task."""
-    return F.count(F.lit(1)).over(Window.partitionBy(key))

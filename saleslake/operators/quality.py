@@ -173,7 +173,10 @@ def count_and_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def assert_same_rows(before: DataFrame, after: DataFrame, what: str) -> int:
-    """Row count and source values of two layers must agree; returns the row count."""
+    """Row count and source values of two layers must agree; returns the row count.
+
+    A cheap guard: values are compared by an order-insensitive digest (``row_digest``).
+    """
     columns = source_columns(before)
     require_columns(after, columns, what)
     a = count_and_digest(before, columns).first()

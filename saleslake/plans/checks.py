@@ -284,7 +284,7 @@ def gold_checks(orders: DataFrame, gold: Mapping[str, DataFrame]) -> DataFrame:
             segment_revenue="sum(total_revenue)",
             segmented="sum(customer_count)",
             segments="count(1)",
-            known_segments=f"count_if(segment_type IN ({segments}))",
+            known_segments=f"count(DISTINCT CASE WHEN segment_type IN ({segments}) THEN segment_type END)",
         ),
     )
     return same_values(

@@ -76,12 +76,19 @@ def daily_trends(orders: DataFrame) -> DataFrame:
     return totals.select(*totals.columns, _average())
 
 
-def weekly_trends(orders: DataFrame) -> DataFrame:
-    weeks = qualifying(orders, "order_date").withColumn("week_start_date", week_start(F.col("order_date")))
-    totals = order_totals(weeks, "week_start_date")
+def weekly_of(daily: DataFrame) -> DataFrame:
+    """Weeks from the daily trends; weeks are whole days, so the totals add up exactly."""
+    totals = daily.groupBy(week_start(F.col("trend_date")).alias("week_start_date")).agg(
+        F.sum("total_orders").alias("total_orders"),
+        F.sum("total_revenue").cast(MONEY).alias("total_revenue"),
+    )
     return totals.select(*totals.columns, _average())
 
 
+def weekly_trends(orders: DataFrame) -> DataFrame:
+    return weekly_of(daily_trends(orders))
+
+
 def segment_of(orders: str, revenue: str) -> Column:
     """Segment of a customer: no order, then revenue, then number of orders."""
     return F.expr(
@@ -94,16 +101,16 @@ def segment_domain(spark: SparkSession) -> DataFrame:
     return lake.relation(spark, list(SEGMENTS), "segment_type string, segment_priority int")
 
 
-def customer_segmentation(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Always one row per segment, ordered by priority."""
-    labelled = _customer_totals(orders, customers, []).select(
+def segmentation_of(revenue: DataFrame) -> DataFrame:
+    """Segments from the revenue per customer; always one row per segment, ordered by priority."""
+    labelled = revenue.select(
         segment_of("total_orders", "total_revenue").alias("segment_type"),
         "total_revenue",
     )
     per_segment = labelled.groupBy("segment_type").agg(
         F.count(F.lit(1)).alias("customers"), F.sum("total_revenue").alias("revenue")
     )
-    dense = densify(segment_domain(orders.sparkSession), per_segment, "segment_type").selectExpr(
+    dense = densify(segment_domain(revenue.sparkSession), per_segment, "segment_type").selectExpr(
         "segment_type",
         "segment_priority",
         "coalesce(customers, 0) AS customer_count",
@@ -117,6 +124,10 @@ def customer_segmentation(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def customer_segmentation(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    return segmentation_of(_customer_totals(orders, customers, []))
+
+
 def gold_frames(orders: DataFrame, customers: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
     return {
         "sales_by_product": sales_by_product(orders, products),
@@ -128,10 +139,29 @@ def gold_frames(orders: DataFrame, customers: DataFrame, products: DataFrame) ->
 
 
 def build_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
-    """Full refresh of the five tables from the flagged layer; rows per table as read back."""
+    """Full refresh of the five tables from the flagged layer; rows per table as read back.
+
+    Three scans of the orders: weeks and segments are built from the staged days and customers. All five
+    replace the old tables together.
+    """
     silver = {t: lake.read_table(spark, config, "silver", t) for t in ("orders", "customers", "products")}
-    written = {}
-    for table, frame in gold_frames(**silver).items():
-        name = lake.overwrite_table(spark, frame, config, "gold", table)
-        written[table] = spark.table(name).count()
-    return written
+    orders, customers, products = (silver[t] for t in ("orders", "customers", "products"))
+    staged: dict[str, str] = {}
+
+    def stage(table: str, frame: DataFrame) -> DataFrame:
+        staged[config.table("gold", table)] = lake.stage_table(spark, frame, config, "gold", table)
+        return spark.table(staged[config.table("gold", table)])
+
+    try:
+        sales = stage("sales_by_product", sales_by_product(orders, products))
+        revenue = stage("revenue_by_customer", revenue_by_customer(orders, customers))
+        daily = stage("daily_trends", daily_trends(orders))
+        weekly = stage("weekly_trends", weekly_of(daily))
+        segments = stage("customer_segmentation", segmentation_of(revenue))
+        frames = zip(TABLES, (sales, revenue, daily, weekly, segments), strict=True)
+        rows = {table: frame.count() for table, frame in frames}
+        lake.swap(spark, staged)
+    except Exception:
+        lake.drop_tables(spark, list(staged.values()))
+        raise
+    return rows

@@ -61,17 +61,25 @@ def build_silver(
 ) -> DataFrame:
     """Full refresh of the flagged tables and their metrics; returns the result per table.
 
-    Each flagged table is written once. Row and value checks and all metrics then read the written
-    table, so nothing is evaluated from the raw layer a second time.
+    Each flagged table is written once, under a staging name. Row and value checks and all metrics read
+    the staged tables, so nothing is evaluated from the raw layer a second time; only if all checks pass
+    do they replace the old tables, together.
     """
     raw = raw_tables(spark, config)
-    written = {}
-    for table, frame in silver_frames(raw, spec, tables).items():
-        name = lake.overwrite_table(spark, frame, config, "silver", table)
-        written[table] = spark.table(name)
-        assert_same_rows(raw[table], written[table], f"silver {table}")
-    at = datetime.now(timezone.utc)
-    metrics = silver_metrics(spark, written, spec, expected).withColumn("computed_at", F.lit(at))
-    # 19 to 20 rows per table: one file is right, whatever the size of the data
-    name = lake.overwrite_table(spark, metrics.coalesce(1), config, "silver", METRICS_TABLE)
-    return table_results(spark.table(name))
+    staged: dict[str, str] = {}
+    try:
+        for table, frame in silver_frames(raw, spec, tables).items():
+            name = lake.stage_table(spark, frame, config, "silver", table)
+            staged[config.table("silver", table)] = name
+            assert_same_rows(raw[table], spark.table(name), f"silver {table}")
+        written = {t: spark.table(staged[config.table("silver", t)]) for t in tables or CONTRACTS}
+        at = datetime.now(timezone.utc)
+        metrics = silver_metrics(spark, written, spec, expected).withColumn("computed_at", F.lit(at))
+        # 19 to 20 rows per table: one file is right, whatever the size of the data
+        name = lake.stage_table(spark, metrics.coalesce(1), config, "silver", METRICS_TABLE)
+        staged[config.table("silver", METRICS_TABLE)] = name
+        lake.swap(spark, staged)
+    except Exception:
+        lake.drop_tables(spark, list(staged.values()))
+        raise
+    return table_results(spark.table(config.table("silver", METRICS_TABLE)))

@@ -50,8 +50,14 @@ def _(spark, d):
     "SELECT concat(o_orderstatus, ':', 'orders', '.', o_orderpriority) AS code, count(*) AS n_rows FROM orders GROUP BY 1",
 )
 def _(spark, d):
-    code = F.concat("o_orderstatus", F.lit(":"), F.concat_ws(".", F.lit("orders"), "o_orderpriority"))
-    return td.table(spark, d, "orders").groupBy(code.alias("code")).agg(row_count("n_rows"))
+    """The code that ``quality_code`` builds for each pair that occurs."""
+    table = td.table(spark, d, "orders")
+    pairs = table.groupBy("o_orderstatus", "o_orderpriority").agg(row_count("n_rows"))
+    # a code per rule is built on the driver: three statuses by five priorities are 15 rules
+    seen = pairs.select("o_orderstatus", "o_orderpriority").collect()
+    codes = [(s, p, E.quality_code(s, "orders", p)) for s, p in seen]
+    named = spark.createDataFrame(codes, "o_orderstatus string, o_orderpriority string, code string")
+    return pairs.join(F.broadcast(named), ["o_orderstatus", "o_orderpriority"]).select("code", "n_rows")
 
 
 @query(

@@ -324,14 +324,33 @@ def _(spark, d):
 
 @query(
     "s_fingerprint",
-    "SELECT t || '.parquet' AS file_name, same FROM (SELECT unnest(['customer', 'orders', 'part']) AS t), "
-    "(SELECT unnest([TRUE, FALSE]) AS same)",
+    "SELECT 'size_bytes' AS what, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS value FROM part "
+    "UNION ALL SELECT 'lines', count(*) FROM part UNION ALL SELECT 'same: copy', 1 "
+    "UNION ALL SELECT 'same: changed', 0 UNION ALL SELECT 'same: shorter', 0",
 )
 def _(spark, d):
-    """Files against themselves, and against the lineitem file under their name."""
-    frames = []
-    for t in ("customer", "orders", "part"):
-        file = ingest.fingerprint(spark, f"{d}/{t}.parquet")
-        other = ingest.fingerprint(spark, f"{d}/lineitem.parquet").withColumn("file_name", F.lit(f"{t}.parquet"))
-        frames += [ingest.compare_fingerprints(file, file), ingest.compare_fingerprints(file, other)]
-    return checks.union(frames)
+    """Text files with the part names: a copy, one with a changed byte, one without the last line."""
+    names = td.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("value"))
+    folder = scratch(spark, "fingerprint")
+    one = F.col("p_partkey") == names.agg(F.min("p_partkey")).first()[0]
+    last = F.expr("overlay(value PLACING '#' FROM 1 FOR 1)")
+    lines = {
+        "first": names,
+        "copy": names.orderBy("value"),
+        "changed": names.withColumn("value", F.when(one, last).otherwise(F.col("value"))),
+        "shorter": names.where(~one),
+    }
+    sums = []
+    for name, frame in lines.items():
+        frame.select("value").write.text(f"{folder}/{name}")
+        found = ingest.fingerprint(spark, f"{folder}/{name}").agg(
+            *(F.sum(c).alias(c) for c in ("size_bytes", "lines", "digest"))
+        )
+        sums.append(found.withColumn("file_name", F.lit("part")).withColumn("which", F.lit(name)))
+    first, *others = sums
+    values = "inline(array(struct('size_bytes' AS what, size_bytes AS value), struct('lines', lines)))"
+    rows = [first.selectExpr(values)]
+    for other, name in zip(others, ("copy", "changed", "shorter"), strict=True):
+        same = F.col("same").cast("int").cast("bigint").alias("value")
+        rows.append(ingest.compare_fingerprints(first, other).select(F.lit(f"same: {name}").alias("what"), same))
+    return checks.union(rows)

@@ -24,7 +24,7 @@ _SPARK_TYPES = {
 }
 
 # Types whose text form can fail to parse and then lands as NULL.
-PARSED_TYPES = ("INT", "DATE", "DECIMAL(18,2)")
+PARSED_TYPES = ("INT", "BIGINT", "DATE", "DECIMAL(18,2)")
 
 
 def spark_type(name: str) -> T.DataType:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -29,6 +31,8 @@ SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 ERROR_TEXT_LIMIT = 2000
 BOM = b"\xef\xbb\xbf"
+#: Part files whose headers are read at a time.
+READERS = 16
 
 
 @dataclass(frozen=True)
@@ -49,35 +53,47 @@ def source_files(spark: SparkSession, path: str) -> DataFrame:
         raise IngestError(f"source {path} was not found or cannot be listed") from error
 
 
-def check_source(spark: SparkSession, path: str) -> str:
-    """The source has to exist and hold at least one byte; returns its (first) file."""
-    found = source_files(spark, path).agg(F.sum("length").alias("bytes"), F.min("path").alias("file")).first()
-    if not found["bytes"]:
+def check_source(spark: SparkSession, path: str) -> list[str]:
+    """The source has to exist and hold at least one byte; returns its non-empty files."""
+    found = source_files(spark, path).where("length > 0").select("path").orderBy("path").collect()
+    if not found:
         raise IngestError(f"source {path} is empty; an empty table will not be written")
-    return found["file"]
+    return [r["path"] for r in found]
 
 
-def first_bytes(spark: SparkSession, file: str, count: int) -> bytes:
-    """The first bytes of a file on any file system Spark can read."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(file)
-    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+def first_line(spark: SparkSession, file: str) -> bytes:
+    """The first line of a file on any file system Spark can read, decompressed, undecoded."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(file)
+    stream = place.getFileSystem(conf).open(place)
     try:
-        found = [stream.read() for _ in range(count)]
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        raw = codec.createInputStream(stream) if codec else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "ISO-8859-1")).readLine()
     finally:
         stream.close()
-    return bytes(b for b in found if b >= 0)
+    return (line or "").encode("latin-1")
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Header names of a CSV source. A byte-order mark is put back in front of the first name.
+def header_names(line: bytes) -> list[str]:
+    """The names of a header line; a byte-order mark stays in front of the first name."""
+    text = line.decode("utf-8", errors="replace")
+    return next(csv.reader([text], delimiter=CSV_DIALECT["sep"], quotechar=CSV_DIALECT["quote"]), [])
+
+
+def read_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The header of every part file of a source. Like listing them, this touches no data rows."""
+    files = check_source(spark, path)
+    with ThreadPoolExecutor(READERS) as pool:
+        lines = pool.map(lambda file: first_line(spark, file), files)
+    return {file: header_names(line) for file, line in zip(files, lines, strict=True)}
 
-    Spark drops the mark while reading lines, so the first three bytes are looked at separately.
-    """
-    file = check_source(spark, path)
-    names = spark.read.options(header="true", inferSchema="false").csv(path).columns
-    if names and first_bytes(spark, file, len(BOM)) == BOM:
-        names[0] = "\ufeff" + names[0]
-    return names
+
+def check_headers(spark: SparkSession, path: str, contract: EntityContract) -> None:
+    """Every part file must have the contract's header, and none a byte-order mark."""
+    for file, names in read_headers(spark, path).items():
+        check_header(names, contract, file)
 
 
 def check_header(names: list[str], contract: EntityContract, path: str) -> None:
@@ -97,7 +113,7 @@ def check_header(names: list[str], contract: EntityContract, path: str) -> None:
 
 def read_source(spark: SparkSession, path: str, contract: EntityContract) -> DataFrame:
     """The guarded scan: header checked, then every row with the declared types."""
-    check_header(read_header(spark, path), contract, path)
+    check_headers(spark, path, contract)
     return scan_csv(spark, path, contract)
 
 
@@ -118,7 +134,7 @@ def preflight(spark: SparkSession, config: LakeConfig) -> None:
     for contract in CONTRACTS.values():
         path = config.source(contract.filename)
         try:
-            check_header(read_header(spark, path), contract, path)
+            check_headers(spark, path, contract)
         except IngestError as error:
             problems.append(str(error))
     if problems:
@@ -148,45 +164,83 @@ def error_text(error: Exception) -> str:
     return f"{type(error).__name__}: {error}"[:ERROR_TEXT_LIMIT]
 
 
-def ingest_entity(
-    spark: SparkSession,
-    config: LakeConfig,
-    table: str,
-    *,
-    ingest_id: str | None = None,
-    at: datetime | None = None,
-) -> Landed:
-    """Land one source as a full refresh. The data is scanned once, by the write itself.
+def _stage(
+    spark: SparkSession, config: LakeConfig, table: str, ingest_id: str, at: datetime
+) -> tuple[str, Landed]:
+    """Land one source under a staging name and reconcile it; the data is scanned once, by the write.
 
-    The row count comes from an observation on that write and is reconciled with the table's own
-    count. A source without data rows fails before the old table is replaced.
+    The row count comes from an observation on that write. Any failure leaves an audit row, no
+    staged table, and is raised as an IngestError.
     """
     contract = contract_for(table)
-    ingest_id = ingest_id or str(uuid.uuid4())
-    at = at or datetime.now(timezone.utc)
     source = config.source(contract.filename)
-    rows = 0
+    rows, staged = 0, None
     try:
         raw = read_source(spark, source, contract)
         if raw.isEmpty():
             raise IngestError(f"source {source} has a header but 0 data rows")
         seen = Observation(f"ingest_{table}")
         observed = with_row_id(raw).observe(seen, F.count(F.lit(1)).alias("rows"))
-        target = lake.overwrite_table(spark, observed, config, "bronze", table)
+        staged = lake.stage_table(spark, observed, config, "bronze", table)
         read = seen.get["rows"]
-        rows = spark.table(target).count()
+        rows = spark.table(staged).count()
         if rows != read:
-            raise IngestError(f"{target} holds {rows} rows but {read} were read")
+            raise IngestError(f"{staged} holds {rows} rows but {read} were read")
     except Exception as error:
+        if staged:
+            lake.drop_tables(spark, [staged])
+        _audit_failure(spark, config, ingest_id, source, table, rows, at, error)
+        if isinstance(error, IngestError):
+            raise
+        raise IngestError(f"{table} could not be landed from {source}: {error_text(error)}") from error
+    return staged, Landed(table, source, config.table("bronze", table), rows, ingest_id, at)
+
+
+def _audit_failure(spark, config, ingest_id, source, table, rows, at, error) -> None:
+    try:
+        audit(spark, config, ingest_id=ingest_id, source=source, table=table, rows=rows, at=at,
+              status=FAILED, error=error_text(error))
+    except Exception:  # the original problem matters more than its audit row
+        LOG.exception("no audit row for the failed ingest of %s", table)
+
+
+def _land(spark: SparkSession, config: LakeConfig, tables, ingest_id: str | None, at: datetime | None):
+    """Stage all tables, then swap them in together; the old tables stay until all are checked."""
+    ingest_id = ingest_id or str(uuid.uuid4())
+    at = at or datetime.now(timezone.utc)
+    staged: dict[str, str] = {}
+    landed = []
+    try:
+        for table in tables:
+            name, one = _stage(spark, config, table, ingest_id, at)
+            staged[one.target] = name
+            landed.append(one)
         try:
-            audit(spark, config, ingest_id=ingest_id, source=source, table=table, rows=rows,
-                  at=at, status=FAILED, error=error_text(error))
-        except Exception:  # the original problem matters more than its audit row
-            LOG.exception("no audit row for the failed ingest of %s", table)
+            lake.swap(spark, staged)
+        except Exception as error:
+            for one in landed:
+                _audit_failure(spark, config, ingest_id, one.source, one.table, one.rows, at, error)
+            raise IngestError(f"staged tables could not replace the old ones: {error_text(error)}") from error
+    except IngestError:
+        lake.drop_tables(spark, list(staged.values()))
         raise
-    audit(spark, config, ingest_id=ingest_id, source=source, table=table, rows=rows, at=at,
-          status=SUCCESS)
-    return Landed(table, source, target, rows, ingest_id, at)
+    for one in landed:
+        audit(spark, config, ingest_id=ingest_id, source=one.source, table=one.table, rows=one.rows, at=at,
+              status=SUCCESS)
+    return landed
+
+
+def ingest_entity(
+    spark: SparkSession,
+    config: LakeConfig,
+    table: str,
+    *,
+    ingest_id: str | None = None,
+    at: datetime | None = None,
+) -> Landed:
+    """Land one source as a full refresh. A failure before the swap leaves the old table as it was."""
+    (landed,) = _land(spark, config, [table], ingest_id, at)
+    return landed
 
 
 def ingest_all(
@@ -196,23 +250,30 @@ def ingest_all(
     ingest_id: str | None = None,
     at: datetime | None = None,
 ) -> list[Landed]:
-    """Preflight everything, then land the entities one after another under one run id."""
-    ingest_id = ingest_id or str(uuid.uuid4())
-    at = at or datetime.now(timezone.utc)
+    """Preflight everything, stage all entities under one run id, then swap all of them in."""
     preflight(spark, config)
-    return [ingest_entity(spark, config, t, ingest_id=ingest_id, at=at) for t in CONTRACTS]
+    return _land(spark, config, list(CONTRACTS), ingest_id, at)
 
 
 def fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """Size and SHA-256 of every file of a source, for comparing copies.
+    """Size, lines and a digest of the lines of every file of a source, for comparing copies.
 
-    Spark hashes whole files, one per task; a single file may therefore not exceed 2 GB.
+    The scan is split like any text scan and combined per file, so no file is too large and none is
+    held in a task. The digest is the sum of 64-bit line hashes: it sees any changed, missing or repeated
+    line, but not the order of lines.
     """
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size_bytes"))
+    line = F.xxhash64("value").cast("decimal(28,0)")
+    lines = (
+        spark.read.text(path)
+        .select("value", F.col("_metadata.file_path").alias("path"))
+        .groupBy("path")
+        .agg(F.count(F.lit(1)).alias("lines"), F.sum(line).alias("digest"))
+    )
+    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
+    digest = F.coalesce("digest", F.lit(0)).cast("decimal(38,0)").alias("digest")
+    return files.join(lines, "path", "left").select(
+        name, "size_bytes", F.coalesce("lines", F.lit(0)).alias("lines"), digest
     )
 
 
@@ -222,7 +283,9 @@ def compare_fingerprints(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(b, "file_name", "full").select(
         "file_name",
         F.coalesce(
-            (F.col("a.size_bytes") == F.col("b.size_bytes")) & (F.col("a.sha256") == F.col("b.sha256")),
+            (F.col("a.size_bytes") == F.col("b.size_bytes"))
+            & (F.col("a.lines") == F.col("b.lines"))
+            & (F.col("a.digest") == F.col("b.digest")),
             F.lit(False),
         ).alias("same"),
     )

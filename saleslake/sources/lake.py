@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -48,16 +50,61 @@ def ensure_schema(spark: SparkSession, config: LakeConfig, layer: str) -> str:
     return name
 
 
+def stage_table(
+    spark: SparkSession, df: DataFrame, config: LakeConfig, layer: str, table: str
+) -> str:
+    """Write ``df`` beside the table under a name of its own, for checks before ``swap``."""
+    ensure_schema(spark, config, layer)
+    name = f"{config.table(layer, table)}__staged_{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").format(config.table_format).saveAsTable(name)
+    return name
+
+
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(old)} RENAME TO {_quoted(new)}")
+
+
+def drop_tables(spark: SparkSession, names: list[str]) -> None:
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+
+
+def swap(spark: SparkSession, staged: Mapping[str, str]) -> None:
+    """Put staged tables in place of tables (qualified name -> staged name), all or none.
+
+    Old tables step aside first and are dropped last; if a rename fails, they come back.
+    """
+    aside: dict[str, str] = {}
+    placed: dict[str, str] = {}
+    try:
+        for name, new in staged.items():
+            if table_exists(spark, name):
+                old = f"{name}__old_{uuid.uuid4().hex[:12]}"
+                _rename(spark, name, old)
+                aside[name] = old
+            _rename(spark, new, name)
+            placed[name] = new
+    except Exception:
+        for name, new in placed.items():
+            _rename(spark, name, new)
+        for name, old in aside.items():
+            _rename(spark, old, name)
+        raise
+    drop_tables(spark, list(aside.values()))
+    for name in staged:
+        spark.catalog.refreshTable(_quoted(name))
+
+
 def overwrite_table(
     spark: SparkSession, df: DataFrame, config: LakeConfig, layer: str, table: str
 ) -> str:
     """Full refresh of one table, schema included; returns the qualified name."""
-    ensure_schema(spark, config, layer)
     name = config.table(layer, table)
-    writer = df.write.mode("overwrite").format(config.table_format)
-    if config.table_format == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    writer.saveAsTable(name)
+    swap(spark, {name: stage_table(spark, df, config, layer, table)})
     return name
 
 

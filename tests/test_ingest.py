@@ -1,4 +1,3 @@
-import hashlib
 import uuid
 from datetime import datetime, timezone
 
@@ -134,10 +133,17 @@ def test_fingerprints(spark, fixtures, tmp_path):
     found = {r["file_name"]: r for r in ingest.fingerprint(spark, f"{fixtures}/raw/*.csv").collect()}
     with open(f"{fixtures}/raw/orders.csv", "rb") as file:
         content = file.read()
-    assert found["orders.csv"]["sha256"] == hashlib.sha256(content).hexdigest()
     assert found["orders.csv"]["size_bytes"] == len(content)
+    assert found["orders.csv"]["lines"] == len(content.splitlines())
     (tmp_path / "orders.csv").write_bytes(content)
     (tmp_path / "products.csv").write_bytes(b"other")
+    one_byte = content.replace(b"1", b"2", 1)
+    (tmp_path / "changed").mkdir()
+    (tmp_path / "changed" / "orders.csv").write_bytes(one_byte)
+    changed = ingest.compare_fingerprints(
+        ingest.fingerprint(spark, f"{fixtures}/raw/orders.csv"), ingest.fingerprint(spark, f"{tmp_path}/changed")
+    )
+    assert [r["same"] for r in changed.collect()] == [False]
     same = ingest.compare_fingerprints(
         ingest.fingerprint(spark, f"{fixtures}/raw/*.csv"), ingest.fingerprint(spark, f"{tmp_path}/*.csv")
     )
@@ -146,6 +152,50 @@ def test_fingerprints(spark, fixtures, tmp_path):
     }
 
 
+@pytest.mark.parametrize(
+    "later",
+    [
+        b"customer_id,order_id,order_date,product_id,quantity,unit_price,total_amount,order_status,payment_date\n",
+        b"\xef\xbb\xbforder_id,customer_id,order_date,product_id,quantity,unit_price,total_amount,order_status,payment_date\n",
+        b"order_id\n" + b"1\n" * 5_000,
+    ],
+)
+def test_a_bad_later_part_leaves_all_old_tables(spark, fixtures, config, tmp_path, later):
+    ingest.ingest_all(spark, config)
+    names = ("customers", "orders", "products")
+    before = {t: sorted(map(str, lake.read_table(spark, config, "bronze", t).collect())) for t in names}
+    for t in names:
+        part = tmp_path / f"{t}.csv"
+        part.mkdir()
+        with open(config.source(f"{t}.csv"), "rb") as file:
+            (part / "part-0.csv").write_bytes(file.read())
+    (tmp_path / "orders.csv" / "part-1.csv").write_bytes(later)
+    parts = LakeConfig(str(tmp_path), bronze=config.bronze, silver=config.silver, gold=config.gold)
+    with pytest.raises(IngestError, match="orders"):
+        ingest.ingest_all(spark, parts)
+    with pytest.raises(IngestError):
+        ingest.ingest_entity(spark, parts, "orders")
+    after = {t: sorted(map(str, lake.read_table(spark, config, "bronze", t).collect())) for t in names}
+    assert after == before
+    tables = {t.name for t in spark.catalog.listTables(config.bronze)}
+    assert not any("__" in t for t in tables)
+
+
+def test_a_failed_guard_leaves_the_old_silver_table(spark, config, monkeypatch):
+    ingest.ingest_all(spark, config)
+    silver.build_silver(spark, config)
+    before = sorted(map(str, lake.read_table(spark, config, "silver", "orders").collect()))
+
+    def broken(raw, new, what):
+        raise QualityError(what)
+
+    monkeypatch.setattr(silver, "assert_same_rows", broken)
+    with pytest.raises(QualityError):
+        silver.build_silver(spark, config)
+    assert sorted(map(str, lake.read_table(spark, config, "silver", "orders").collect())) == before
+    assert not any("__" in t.name for t in spark.catalog.listTables(config.silver))
+
+
 def test_layers_end_to_end(spark, fixtures, config):
     full = LakeConfig(f"{fixtures}/gold", bronze=config.bronze, silver=config.silver, gold=config.gold)
     expected = {("orders", "uniqueness:orders.order_id"): 2, ("orders", "type"): 0, ("customers", "completeness"): 1}

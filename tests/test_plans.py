@@ -67,10 +67,14 @@ def test_top_products_need_no_global_sort(written):
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
-def test_category_filter_reaches_the_scan(written):
+def test_category_filter_stands_below_the_top_n(written):
+    """The category is an output of the canonical aggregate, so the filter stops above that."""
     _, silver = written
     text = plan(serving.top_products(gold.sales_by_product(silver["orders"], silver["products"]), "PROMO"))
-    assert "PROMO" in text[: text.index("Exchange")] or "PROMO" in text
+    assert text.index("TakeOrderedAndProject") < text.index("Filter")
+    assert "PROMO" in text[text.index("Filter") :]
+    scans = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    assert scans and not any("PROMO" in line for line in scans)
 
 
 def test_row_metrics_are_one_aggregate(written):
