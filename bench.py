@@ -21,6 +21,7 @@ from saleslake.sources import testdata as td
 
 HEADLINE = (
     "q_flag_orders",
+    "q_flag_orders_salted",
     "q_flag_customers",
     "q_metrics",
     "q_module_uniqueness",

@@ -4,20 +4,28 @@ Two plans, chosen by a checked size:
 
 * the relation has at most ``max_broadcast_rows`` rows (its rows are a few fixed-width columns, so
   this is a proven byte bound): broadcast hash join, the big side is not shuffled;
-* otherwise a shuffle join on (key, salt). A key holding more than 1/SLICES of the big side is cut
-  into as many slices as its share needs. Fewer than SLICES keys can be that heavy, and together
-  they get fewer than 2 x SLICES copies, so what is broadcast and copied does not grow with the
-  data. NULL keys, which can never match, are spread over all slices.
+* otherwise a shuffle join on (key, salt). A key is cut into slices of ``slice_rows`` rows: at most a
+  million, at most 1/SLICES of the big side, but never so few that more than HEAVY_KEYS keys could be
+  that heavy. So what is broadcast has a fixed bound and is copied at most twice that often, however big
+  the data is. NULL keys, which can never match, are spread.
+
+What has to be known of the keys for several lookups (totals, duplicated and heavy keys) comes from one
+aggregate over the key columns, ``key_statistics``, before any join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saleslake.sources.contracts import ROW_ID
 
 MAX_BROADCAST_ROWS = 1_000_000
 SLICES = 2_000
+HEAVY_KEYS = 100_000
+ROWS_PER_TASK = 1_000_000
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -46,14 +54,63 @@ def duplicated_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class KeyStatistics:
+    """Rows of a frame and, per key column, the keys on more than one row (``key``, ``copies``)."""
+
+    total: int
+    repeated: DataFrame
+    columns: tuple[str, ...]
+    types: tuple[str, ...]
+    known: dict[str, int]
+
+    def copies(self, column: str) -> DataFrame:
+        """The repeated keys of a column under its own name and type, and their copies."""
+        k = self.columns.index(column)
+        value = F.col("key").cast(self.types[k]).alias(column)
+        return self.repeated.where(F.col("kind") == k).select(value, "copies")
+
+
+def key_statistics(df: DataFrame, columns: Sequence[str]) -> KeyStatistics:
+    """One scan of the key columns and one aggregate with map-side combine for all of them.
+
+    The keys are kept in a reliable checkpoint; of a nearly unique column these are few.
+    """
+    pairs = [
+        F.struct(F.lit(-1).alias("kind"), F.lit(None).cast("string").alias("key")),
+        *(
+            F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("key"))
+            for k, c in enumerate(columns)
+        ),
+    ]
+    counts = (
+        df.select(F.explode(F.array(*pairs)).alias("pair"))
+        .select("pair.*")
+        .where("kind = -1 OR key IS NOT NULL")
+        .groupBy("kind", "key")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .where("kind = -1 OR copies > 1")
+    )
+    kept, _ = cut_lineage(counts)
+    found = kept.groupBy("kind").agg(F.count(F.lit(1)).alias("keys"), F.sum("copies").alias("rows")).collect()
+    rows = {r["kind"]: r for r in found}
+    known = {c: rows[k]["keys"] if k in rows else 0 for k, c in enumerate(columns)}
+    types = tuple(df.schema[c].dataType.simpleString() for c in columns)
+    return KeyStatistics(rows[-1]["rows"] if -1 in rows else 0, kept, tuple(columns), types, known)
+
+
+def slice_rows(total: int) -> int:
+    """Rows of one key that a task may get."""
+    return max(total // HEAVY_KEYS, min(total // SLICES, ROWS_PER_TASK), 1)
+
+
 def heavy_keys(df: DataFrame, key: str, total: int, counts: DataFrame | None = None) -> DataFrame:
-    """heavy_key and slices of the keys above 1/SLICES of ``total`` rows; fewer than SLICES rows."""
+    """heavy_key and slices of the keys above ``slice_rows(total)``; at most HEAVY_KEYS rows."""
     if counts is None:
         counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    share = F.col("copies") * SLICES
-    return counts.where(share > total).select(
-        F.col(key).alias("_heavy_key"),
-        F.ceil(share / F.lit(max(total, 1))).cast("int").alias("_slices"),
+    most = slice_rows(total)
+    return counts.where(F.col("copies") > most).select(
+        F.col(key).alias("_heavy_key"), F.ceil(F.col("copies") / most).cast("int").alias("_slices")
     )
 
 
@@ -66,21 +123,25 @@ def lookup(
     other_rows: int,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     counts: DataFrame | None = None,
+    total: int | None = None,
     row_id: str = ROW_ID,
 ) -> DataFrame:
     """Left join ``other`` (unique on ``other_key``) to every row of ``df``.
 
-    ``other_rows`` is a counted upper bound for the rows of ``other``. ``counts`` may hold known
-    copies per key (keys left out have one row); without it they are counted when needed.
+    ``other_rows`` is a counted upper bound for the rows of ``other``. ``counts`` and ``total`` may hold
+    known copies per key (keys left out have one row) and the rows of ``df``, see ``key_statistics``;
+    without them both are counted when needed.
     """
     if other_rows <= max_broadcast_rows:
         return df.join(F.broadcast(other), F.col(key) == F.col(other_key), "left")
 
-    heavy, _ = cut_lineage(heavy_keys(df, key, df.count(), counts))
+    heavy = heavy_keys(df, key, df.count() if total is None else total, counts)
+    if counts is None:
+        heavy, _ = cut_lineage(heavy)
     spread = F.xxhash64(row_id)
     salted = df.join(F.broadcast(heavy), F.col(key) == F.col("_heavy_key"), "left").withColumn(
         "_salt",
-        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(SLICES)))
+        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(HEAVY_KEYS)))
         .when(F.col("_slices").isNull(), F.lit(0))
         .otherwise(F.pmod(spread, F.col("_slices")))
         .cast("int"),
@@ -108,13 +169,19 @@ def orphan_counts(df: DataFrame, key: str, parents: DataFrame, parent_key: str)
     return counts.join(known.distinct(), F.col(key) == F.col("_parent"), "left_anti")
 
 
-def is_duplicated(df: DataFrame, key: str, name: str, **options) -> DataFrame:
+def is_duplicated(
+    df: DataFrame, key: str, name: str, statistics: KeyStatistics | None = None, **options
+) -> DataFrame:
     """Add boolean ``name``: the non-null key occurs on more than one row.
 
     Counting per key combines map-side, so no task ever holds all copies of a key. The duplicated
     keys are checkpointed once and their number decides how they are attached.
     """
-    copies, known = cut_lineage(duplicated_keys(df, key))
+    statistics = statistics or key_statistics(df, [key])
+    copies = statistics.copies(key)
     marks = copies.select(F.col(key).alias("_dup_key"))
-    marked = lookup(df, marks, key, "_dup_key", other_rows=known, counts=copies, **options)
+    marked = lookup(
+        df, marks, key, "_dup_key", other_rows=statistics.known[key], counts=copies,
+        total=statistics.total, **options,
+    )
     return marked.withColumn(name, F.col("_dup_key").isNotNull()).drop("_dup_key")

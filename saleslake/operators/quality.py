@@ -10,7 +10,7 @@ from saleslake.errors import QualityError
 from saleslake.functions.expressions import NO_CODES_SQL, any_sql, codes_sql, row_digest
 from saleslake.operators import rules as R
 from saleslake.operators.canonical import canonical
-from saleslake.operators.lookup import MAX_BROADCAST_ROWS, is_duplicated, lookup
+from saleslake.operators.lookup import MAX_BROADCAST_ROWS, is_duplicated, key_statistics, lookup
 from saleslake.operators.rules import MODULES, QualitySpec, rules_for
 from saleslake.sources.contracts import ROW_ID
 
@@ -74,22 +74,31 @@ def _with_helpers(
     products: DataFrame | None,
     max_broadcast_rows: int,
 ) -> DataFrame:
-    """Add the helper columns the modules read. Customers are joined once for both RI and business."""
+    """Add the helper columns the modules read. Customers are joined once for both RI and business.
+
+    All that the joins need to know of the keys is taken from ``df`` in one pass, before any of them.
+    """
     limit = {"max_broadcast_rows": max_broadcast_rows}
-    if R.UNIQUENESS in modules:
-        df = is_duplicated(df, spec.contract(table).key, R.DUPLICATED, **limit)
-    if table != "orders":
-        return df
-    if R.RI in modules or R.BUSINESS in modules:
+    parents: list[tuple[str, DataFrame, str, int]] = []
+    if table == "orders" and (R.RI in modules or R.BUSINESS in modules):
         if customers is None:
             raise QualityError("flagging orders needs all raw customers rows")
-        parents = customer_parents(customers)
-        df = lookup(df, parents, "customer_id", R.CUSTOMER_KEY, other_rows=customers.count(), **limit)
-    if R.RI in modules:
+        known = customer_parents(customers)
+        parents.append(("customer_id", known, R.CUSTOMER_KEY, customers.count()))
+    if table == "orders" and R.RI in modules:
         if products is None:
             raise QualityError("referential integrity of orders needs all raw products rows")
-        parents = product_parents(products)
-        df = lookup(df, parents, "product_id", R.PRODUCT_KEY, other_rows=products.count(), **limit)
+        parents.append(("product_id", product_parents(products), R.PRODUCT_KEY, products.count()))
+
+    keys = [key for key, _, _, rows in parents if rows > max_broadcast_rows]
+    if R.UNIQUENESS in modules:
+        keys.append(spec.contract(table).key)
+    statistics = key_statistics(df, keys) if keys else None
+    if R.UNIQUENESS in modules:
+        df = is_duplicated(df, spec.contract(table).key, R.DUPLICATED, statistics, **limit)
+    for key, known, parent_key, rows in parents:
+        seen = {"counts": statistics.copies(key), "total": statistics.total} if key in keys else {}
+        df = lookup(df, known, key, parent_key, other_rows=rows, **limit, **seen)
     return df
 
 

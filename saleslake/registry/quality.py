@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saleslake.functions import expressions as E
 from saleslake.operators import lookup, metrics, quality, rules
@@ -229,19 +229,26 @@ _PASSES = ", ".join(
 )
 
 
-def _register_flag(table: str) -> None:
+def _flagged_without_broadcast(spark: SparkSession, d: str) -> DataFrame:
+    """The orders flagged as at the scale where no parent is small: every lookup is salted."""
+    tables = td.raw(spark, d)
+    parents = {t: tables[t] for t in ("customers", "products")}
+    return quality.flag(tables["orders"], "orders", spec=td.SPEC, max_broadcast_rows=0, **parents)
+
+
+def _register_flag(table: str, suffix: str = "") -> None:
     key = CONTRACTS[table].key
     flags = ", ".join(quality.PASS_COLUMN.values())
 
     @query(
-        f"q_flag_{table}",
+        f"q_flag_{table}{suffix}",
         oracle.query(
             f"SELECT {key}, {flags}, codes, quality_check_result, count(*) AS n_rows FROM (SELECT {key}, {_PASSES}, "
             f"array_to_string(failed_checks, ',') AS codes, quality_check_result FROM silver_{table}) GROUP BY ALL"
         ),
     )
     def _(spark, d):
-        flagged = td.silver(spark, d, table)
+        flagged = _flagged_without_broadcast(spark, d) if suffix else td.silver(spark, d, table)
         codes = F.array_join("failed_checks", ",").alias("codes")
         keys = [key, *quality.PASS_COLUMN.values(), codes, "quality_check_result"]
         return flagged.groupBy(*keys).agg(row_count("n_rows"))
@@ -249,6 +256,7 @@ def _register_flag(table: str) -> None:
 
 for _table in CONTRACTS:
     _register_flag(_table)
+_register_flag("orders", "_salted")
 
 
 def _register_module(module: str) -> None:

@@ -348,7 +348,7 @@ def _(spark, d):
         )
         sums.append(found.withColumn("file_name", F.lit("part")).withColumn("which", F.lit(name)))
     first, *others = sums
-    values = "inline(array(struct('size_bytes' AS what, size_bytes AS value), struct('lines', lines)))"
+    values = "inline(array(struct('size_bytes' AS what, size_bytes AS value), struct('lines' AS what, lines AS value)))"
     rows = [first.selectExpr(values)]
     for other, name in zip(others, ("copy", "changed", "shorter"), strict=True):
         same = F.col("same").cast("int").cast("bigint").alias("value")

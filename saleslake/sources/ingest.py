@@ -262,7 +262,8 @@ def fingerprint(spark: SparkSession, path: str) -> DataFrame:
     held in a task. The digest is the sum of 64-bit line hashes: it sees any changed, missing or repeated
     line, but not the order of lines.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size_bytes"))
+    files = spark.read.format("binaryFile").load(path)
+    files = files.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("size_bytes"))
     line = F.xxhash64("value").cast("decimal(28,0)")
     lines = (
         spark.read.text(path)
