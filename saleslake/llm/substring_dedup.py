@@ -25,7 +25,7 @@ from saleslake.llm.superkmers import (
 
 WINDOW = 50
 #: Words of the minimiser.
-PIECE = 4
+PIECE = 8
 
 
 def _compare(units: Units):

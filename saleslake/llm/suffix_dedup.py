@@ -3,8 +3,8 @@
 Every byte is removed that lies in a string of MIN_BYTES bytes that starts anywhere else, in the same
 document or another; strings are judged on the input. One suffix array of the whole corpus would not
 be distributed, so the text is dealt by minimisers (``superkmers``): strings that can be equal meet in
-a bucket. Super-k-mers that are equal as a whole need no search. For the others of a bucket, a
-suffix array sorted by MIN_BYTES bytes gives the Burrows-Wheeler transform; breadth-first backward
+a bucket. Super-k-mers that are equal as a whole need no search, nor do stretches without a window whose
+64-bit hash occurs twice (equal windows have equal hashes, so nothing is lost). For the rest, a suffix array sorted by MIN_BYTES bytes gives the Burrows-Wheeler transform; breadth-first backward
 extension of its intervals sets common prefix lengths by increasing value and stops at MIN_BYTES:
 neighbours not separated by then share that many bytes.
 
@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from saleslake.llm.superkmers import (
     Rows, Units, columns, covered, found_batch, groups, repeated_windows, runs_of,
+    spans_hash,
 )
 
 MIN_BYTES = 400
 #: Bytes of the minimiser.
-PIECE = 16
+PIECE = 48
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -118,6 +119,24 @@ def repeated_starts(strings: list[bytes], copies: list[int], depth: int) -> list
     return [twice[b : b + length - depth + 1] for b, length in zip(begin, lengths, strict=True)]
 
 
+def _hashed_twice(search: list[tuple[bytes, list]], units: Units) -> list[np.ndarray]:
+    """For each string and each window of it: does the hash of the window occur twice among all?"""
+    if not search:
+        return []
+    sizes = np.array([len(p) for p, _ in search])
+    number = sizes - units.k + 1
+    begin = np.cumsum(sizes) - sizes
+    start = np.arange(number.sum()) + np.repeat(begin - (np.cumsum(number) - number), number)
+    values = units.values(np.frombuffer(b"".join([p for p, _ in search]), np.uint8))
+    hashes = spans_hash(values, start, start + units.k)
+    order = np.argsort(hashes, kind="stable")
+    same = hashes[order][1:] == hashes[order][:-1]
+    twice = np.zeros(len(hashes), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    return np.split(twice, np.cumsum(number)[:-1])
+
+
 def _compare(units: Units):
     """FOUND rows of super-k-mers sorted by key."""
     names = ("key", "rid", "th", "start", "n", "packed")
@@ -139,30 +158,24 @@ def _compare(units: Units):
                             part.append(x)
 
             search: list[tuple[bytes, list[tuple]]] = []
-            size = 0
-
-            def flush():
-                strings = [p for p, _ in search]
-                copies = [len(rows) for _, rows in search]
-                twice = repeated_starts(strings, copies, units.k)
-                for (_, rows), flags in zip(search, twice, strict=True):
-                    start, length = runs_of(flags)
-                    add(rows, list(zip(start.tolist(), length.tolist(), strict=True)))
-                search.clear()
-
             for strings in buckets.values():
-                if len(strings) == 1:  # its windows differ from each other
-                    (rows,) = strings.values()
-                    if len(rows) > 1:
+                for rows in strings.values():
+                    if len(rows) > 1:  # equal as a whole
                         add(rows, [(0, rows[0][3])])
-                    continue
-                search.extend(strings.items())
-                size += sum(map(len, strings))
-                if size > 1 << 18:
-                    flush()
-                    size = 0
-            if search:
-                flush()
+                if len(strings) > 1:  # the windows of one string differ from each other
+                    search.extend(strings.items())
+            # Only stretches whose window hashes occur twice here can hold equal windows.
+            cut: dict[bytes, list[tuple]] = {}
+            for (packed, rows), flags in zip(search, _hashed_twice(search, units), strict=True):
+                for at, n in zip(*(x.tolist() for x in runs_of(flags)), strict=True):
+                    part = packed[at : at + n + units.k - 1]
+                    cut.setdefault(part, []).extend((rid, th, s + at, n) for rid, th, s, _ in rows)
+            if cut:
+                copies = [len(rows) for rows in cut.values()]
+                twice = repeated_starts(list(cut), copies, units.k)
+                for rows, flags in zip(cut.values(), twice, strict=True):
+                    start, length = runs_of(flags)
+                    add(rows, list(zip(start.tolist(), length.tolist(), strict=True)))
             yield found_batch(*out)
 
     return run

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from saleslake.llm.common import with_row_identity, written
 
 #: Super-k-mers of one hash that one task compares; more are cut by the hash of their windows.
-HOT = 1_000
+HOT = 4_096
 #: Units handled at a time; longer texts are handled in overlapping pieces of this many windows.
 PIECE = 1 << 20
 _LOW = np.uint64((1 << 22) - 1)
@@ -133,10 +133,8 @@ class Units:
 
     def pieces(self, values: np.ndarray) -> np.ndarray:
         """The hash of the m units from each position; the last ones reach beyond the end."""
-        h = np.zeros(len(values), np.uint64)
-        for j in range(self.m):
-            h[: len(values) - j] += values[j:] * np.uint64(pow(int(_BASE_B), j + 1, 2**64))
-        return mix(h)
+        start = np.arange(len(values))
+        return spans_hash(values, start, np.minimum(start + self.m, len(values)), _BASE_B)
 
     def count(self, text: bytes) -> int:
         return len(text.split()) if self.words else len(text)
