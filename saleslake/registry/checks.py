@@ -151,16 +151,30 @@ UNION ALL SELECT 'silver.metrics.orders.absent', '0', NULL
 
 @query("v_silver_checks", oracle.query(f"SELECT *, {_STATUS} FROM ({_SILVER_SQL})", _ENTITY_ROWS))
 def _(spark, d):
-    flagged = td.flagged(spark, d)
-    measured = metrics.silver_metrics(spark, flagged, td.SPEC)
+    """On written tables: the flagged ones and their metrics, as after a build."""
+    place = scratch(spark, "checks")
+    config = LakeConfig(silver=f"flagged_{place[-8:]}", location=place)
+    flagged = {}
+    for table, frame in td.flagged(spark, d).items():
+        flagged[table] = spark.table(lake.overwrite_table(spark, frame, config, "silver", table))
+    found = metrics.silver_metrics(spark, flagged, td.SPEC)
+    measured = spark.table(lake.overwrite_table(spark, found, config, "silver", "quality_metrics"))
     # one expectation that fails on these tables, one that holds, one for a metric that does not exist
     expected = {("orders", "completeness"): 300, ("orders", "type"): 0, ("orders", "absent"): 0}
     return _shown(checks.silver_checks(td.raw(spark, d), flagged, measured, expected))
 
 
 def _gold(spark, d):
-    orders = td.silver(spark, d, "orders")
-    return orders, gold.gold_frames(orders, td.customers(spark, d), td.products(spark, d))
+    """The flagged orders and the business tables, written once: checks read tables, not their plans."""
+    place = scratch(spark, "checks")
+    mark = place[-8:]
+    config = LakeConfig(silver=f"flagged_{mark}", gold=f"business_{mark}", location=place)
+    frames = {"orders": td.silver(spark, d, "orders"), "customers": td.customers(spark, d)}
+    for table, frame in (frames | {"products": td.products(spark, d)}).items():
+        lake.overwrite_table(spark, frame, config, "silver", table)
+    gold.build_gold(spark, config)
+    tables = {t: lake.read_table(spark, config, "gold", t) for t in gold.TABLES}
+    return lake.read_table(spark, config, "silver", "orders"), tables
 
 
 _MONEY = "CAST(CAST({} AS DECIMAL(38,2)) AS VARCHAR)"
