@@ -48,8 +48,8 @@ def known(spark: SparkSession, facts: list[tuple[str, object, object]], critical
     return spark.createDataFrame(rows, CHECK_SCHEMA)
 
 
-def from_row(row: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
-    """Several checks over the columns of a one-row frame."""
+def from_row(row: DataFrame, checks: list[tuple[str | Column, Column, Column]]) -> DataFrame:
+    """Several checks over the columns of each row of a frame."""
     entries = [
         F.struct(
             F.lit(name).alias("check_name"),
@@ -197,34 +197,40 @@ def silver_checks(
     expected: Mapping[tuple[str, str], int] | None = None,
 ) -> DataFrame:
     """Rows against the raw layer, flags against the metrics, and NULL keys that are no orphans."""
-    pair = (
-        _row_counts(raw).withColumnRenamed("rows", "raw_rows").join(_row_counts(silver), "table_name", "left")
-    )
-    frames = [
-        compared(pair, F.format_string("silver.%s.rows", "table_name"), F.col("raw_rows"), F.col("rows"))
-    ]
+    code = quality_code(RI, "orders", "customer_id_orphan")
+    absent = "customer_id IS NULL"
+    # One aggregate per flagged table gives all that is asked of it.
     per_table = union(
         [
-            df.agg(F.count_if(F.col(RESULT) == FAIL).alias("fails")).withColumn("table_name", F.lit(t))
+            _measures(
+                df,
+                rows="count(1)",
+                fails=f"count_if({RESULT} = '{FAIL}')",
+                nulls=f"count_if({absent})" if t == "orders" else "0L",
+                not_orphans=f"count_if({absent} AND NOT array_contains({ALL_CODES}, '{code}'))"
+                if t == "orders"
+                else "0L",
+            ).withColumn("table_name", F.lit(t))
             for t, df in silver.items()
         ]
     )
-    outcome = metrics.where(F.col("population_kind") == TABLE_OUTCOME)
-    frames.append(
-        compared(
-            outcome.join(per_table, "table_name", "left"),
-            F.format_string("silver.%s.fail_rows", "table_name"),
-            F.col("fail_count"),
-            F.col("fails"),
-        )
+    outcome = metrics.where(F.col("population_kind") == TABLE_OUTCOME).select("table_name", "fail_count")
+    entry = (
+        _row_counts(raw)
+        .withColumnRenamed("rows", "raw_rows")
+        .join(per_table, "table_name", "left")
+        .join(outcome, "table_name", "left")
     )
-    code = quality_code(RI, "orders", "customer_id_orphan")
-    absent = F.col("customer_id").isNull()
-    row = silver["orders"].agg(
-        F.count_if(absent).alias("nulls"),
-        F.count_if(absent & ~F.array_contains(ALL_CODES, code)).alias("not_orphans"),
+    of_orders = F.when(F.col("table_name") == "orders", F.lit("silver.orders.null_fk_not_orphan"))
+    found = from_row(
+        entry,
+        [
+            (F.format_string("silver.%s.rows", "table_name"), F.col("raw_rows"), F.col("rows")),
+            (F.format_string("silver.%s.fail_rows", "table_name"), F.col("fail_count"), F.col("fails")),
+            (of_orders, F.col("nulls"), F.col("not_orphans")),
+        ],
     )
-    frames.append(from_row(row, [("silver.orders.null_fk_not_orphan", F.col("nulls"), F.col("not_orphans"))]))
+    frames = [found.where(F.col("check_name").isNotNull())]
     frames.append(orphan_checks(raw, metrics))
     if expected:
         frames.append(metric_checks(metrics.sparkSession, metrics, expected))
