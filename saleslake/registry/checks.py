@@ -287,6 +287,8 @@ def _(spark, d):
         f"SELECT *, {_STATUS} FROM ({_BRONZE_SQL}) UNION ALL SELECT *, {_STATUS} FROM ({_GOLD_SQL}) "
         f"UNION ALL SELECT *, {_STATUS} FROM ({_SERVING_SQL}) "
         f"UNION ALL SELECT *, {_STATUS} FROM ({_SILVER_SQL}) WHERE check_name NOT LIKE 'silver.metrics%' "
+        "UNION ALL SELECT 'source.products.rows', '', '', 'PASS' "
+        "UNION ALL SELECT 'source.orders.rows', '', '', 'FAIL' "
         "UNION ALL SELECT concat(l, '.table'), '', '', 'PASS' FROM "
         "(SELECT unnest(['silver', 'silver', 'silver', 'silver', 'gold', 'gold', 'gold', 'gold', 'gold']) AS l, "
         "unnest([1, 2, 3, 4, 1, 2, 3, 4, 5]) AS i, [1, 2] AS two), unnest(two)) GROUP BY 1",
@@ -303,7 +305,9 @@ def _(spark, d):
         gold=f"business_{mark}",
         location=place,
     )
-    found = staged.run(spark, config, spec=td.SPEC, stop_on_failure=False)
+    # one expectation of the sources that holds, one that fails
+    profile = {"products.rows": td.products(spark, d).count(), "orders.rows": 0}
+    found = staged.run(spark, config, spec=td.SPEC, expected_profile=profile, stop_on_failure=False)
     return found.groupBy(F.split("check_name", r"\.")[0].alias("layer")).agg(
         F.count(F.lit(1)).alias("checks"), F.count_if(F.col("status") == "FAIL").alias("failures")
     )
