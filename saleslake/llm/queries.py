@@ -45,7 +45,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scores(_table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"))
+    ranks = tokenizers.path("byte_bpe_50k.tiktoken")
+    return lm.scores(_table(spark, sf_dir, "documents"), ranks, tokenizers.PATTERN)
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from saleslake.llm import (
 )
 from tests.llm import brute
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -220,7 +221,7 @@ def test_trie_traversal_finds_every_pair(seeds, flips):
 
 
 def test_lm_scores(table, messy):
-    out = lm.scores(table(messy), TOKENIZER)
+    out = lm.scores(table(messy), RANKS, public_tokenizers.PATTERN)
     found = rows_of(out, "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score")
     expected = sorted(brute.base_scores(messy), key=key)
     assert [r[:5] for r in found] == [r[:5] for r in expected]
@@ -228,7 +229,7 @@ def test_lm_scores(table, messy):
     scores = {r.doc_id: r.score for r in out.collect()}
     assert all(math.isfinite(s) and s < 0 for s in scores.values())
     assert math.isclose(scores[105], scores[106], rel_tol=1e-6)  # equal texts
-    assert lm.scores(table([]), TOKENIZER).count() == 0
+    assert lm.scores(table([]), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
 def _chain(n, seed):
