@@ -34,6 +34,15 @@ def written(df: DataFrame, purpose: str, *by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_written(spark: SparkSession) -> None:
+    """Delete what ``written`` left for this application; frames that still read it become unusable."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/saleslake-llm/{spark.sparkContext.applicationId}"
+    )
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def words(text: Column) -> Column:
     """The array of words of a text; NULL has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACE_CLASS}]+"), "")
