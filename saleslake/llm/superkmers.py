@@ -214,7 +214,7 @@ def _scan(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 EMITTED = (
     "kind int, doc_id long, rid long, th long, start long, n int, key long, packed binary, "
-    "n_units long, kept_sha256 string"
+    "starts array<long>, n_units long, kept_sha256 string"
 )
 DONE, STRING, HOT_STRING, TEXT = range(4)
 
@@ -240,7 +240,7 @@ class Rows:
 _EMITTED = pa.schema(
     [("kind", pa.int32()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("th", pa.int64()),
      ("start", pa.int64()), ("n", pa.int32()), ("key", pa.int64()), ("packed", pa.binary()),
-     ("n_units", pa.int64()), ("kept_sha256", pa.string())]
+     ("starts", pa.list_(pa.int64())), ("n_units", pa.int64()), ("kept_sha256", pa.string())]
 )
 
 
@@ -253,22 +253,26 @@ def _emit(units: Units):
                 if not shared:
                     whole = b" ".join(text.split()) if units.words else text
                     sha = hashlib.sha256(whole).hexdigest()
-                    row = (DONE, doc_id, rid, th, None, None, None, None, units.count(text), sha)
+                    row = (DONE, doc_id, rid, th, *[None] * 5, units.count(text), sha)
                     if out.add(row, 64):
                         yield out.batch()
                     continue
                 cut = text.split() if units.words else text
-                row = (TEXT, doc_id, rid, th, None, None, None, text, None, None)
-                full = out.add(row, len(text))
+                if out.add((TEXT, doc_id, rid, th, *[None] * 3, text, *[None] * 3), len(text)):
+                    yield out.batch()
+                hot: dict[bytes, list[int]] = {}
                 for s in shared:
                     packed = units.pack(cut, s["start"], s["n"])
-                    kind = HOT_STRING if s["hot"] else STRING
-                    row = (kind, doc_id, rid, th, s["start"], s["n"], s["key"], packed, None, None)
-                    if out.add(row, len(packed)) or full:
+                    if s["hot"]:
+                        hot.setdefault(packed, []).append(s["start"])
+                        continue
+                    row = (STRING, doc_id, rid, th, s["start"], s["n"], s["key"], packed, *[None] * 3)
+                    if out.add(row, len(packed)):
+                        yield out.batch()
+                for packed, starts in hot.items():  # one row, however often the text repeats it
+                    row = (HOT_STRING, doc_id, rid, th, *[None] * 3, packed, starts, None, None)
+                    if out.add(row, len(packed) + 8 * len(starts)):
                         yield out.batch()
-                        full = False
-                if full:
-                    yield out.batch()
         yield out.batch()
 
     return run
@@ -317,10 +321,10 @@ def _string_ids(batches):
     for batch in batches:
         ids = [hashlib.blake2b(p, digest_size=16).digest() for p in batch.column("packed").to_pylist()]
         pair = np.frombuffer(b"".join(ids), np.int64).reshape(-1, 2)
-        arrays = [batch.column(c) for c in ("doc_id", "rid", "th", "start")]
+        arrays = [batch.column(c) for c in ("doc_id", "rid", "th", "starts")]
         yield pa.RecordBatch.from_arrays(
             [pa.array(pair[:, 0]), pa.array(pair[:, 1]), *arrays],
-            ["pa", "pb", "doc_id", "rid", "th", "start"],
+            ["pa", "pb", "doc_id", "rid", "th", "starts"],
         )
 
 
@@ -434,8 +438,9 @@ def repeated_windows(df: DataFrame, units: Units, compare, earlier: bool, purpos
         "key", "doc_id", "rid", "th", "start", "n", "packed"
     )
     found = _sorted_by_key(strings).mapInArrow(compare, FOUND)
+    found = found.select("rid", "th", F.array(F.struct("start", "n")).alias("found"))
     found = found.unionByName(_hot_windows(emitted, units, earlier, purpose))
-    of_text = found.groupBy("rid", "th").agg(F.collect_set(F.struct("start", "n")).alias("found"))
+    of_text = found.groupBy("rid", "th").agg(F.flatten(F.collect_list("found")).alias("found"))
     texts = emitted.where(F.col("kind") == TEXT).select(
         "doc_id", "rid", "th", F.col("packed").alias("text")
     )
@@ -444,10 +449,10 @@ def repeated_windows(df: DataFrame, units: Units, compare, earlier: bool, purpos
 
 
 def _hot_windows(emitted: DataFrame, units: Units, earlier: bool, purpose: str) -> DataFrame:
-    """FOUND rows of the buckets above HOT."""
+    """rid, th, found (start and number of windows) of the buckets above HOT."""
     hot = emitted.where(F.col("kind") == HOT_STRING)
     distinct = hot.groupBy("packed").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first")
+        F.sum(F.size("starts")).alias("copies"), F.min("doc_id").alias("first")
     )
     windows = written(
         distinct.mapInArrow(
@@ -469,17 +474,20 @@ def _hot_windows(emitted: DataFrame, units: Units, earlier: bool, purpose: str)
         .agg(F.sort_array(F.collect_list(F.struct("offset", "lowest"))).alias("windows"))
         .mapInArrow(_merge, "pa long, pb long, runs array<struct<offset:int,n:int,lowest:long>>")
     )
-    rows = hot.select("doc_id", "rid", "th", "start", "packed").mapInArrow(
-        _string_ids, "pa long, pb long, doc_id long, rid long, th long, start long"
+    rows = hot.select("doc_id", "rid", "th", "starts", "packed").mapInArrow(
+        _string_ids, "pa long, pb long, doc_id long, rid long, th long, starts array<long>"
     )
     runs = F.col("runs")
     if earlier:
         runs = F.filter(runs, lambda r: r["lowest"] < F.col("doc_id"))
-    return (
-        rows.join(same, ["pa", "pb"])
-        .select("rid", "th", "start", F.explode(runs).alias("r"))
-        .select("rid", "th", (F.col("start") + F.col("r.offset")).alias("start"), F.col("r.n").alias("n"))
+    each = F.transform(
+        "starts",
+        lambda s: F.transform(
+            "kept", lambda r: F.struct((s + r["offset"]).alias("start"), r["n"].alias("n"))
+        ),
     )
+    joined = rows.join(same, ["pa", "pb"]).withColumn("kept", runs).where(F.size("kept") > 0)
+    return joined.select("rid", "th", F.flatten(each).alias("found"))
 
 
 def covered(found: list[dict] | None, n_units: int, k: int) -> np.ndarray:
