@@ -52,6 +52,20 @@ def test_alignment_counts_differences():
     assert licenses.align("version 3".split(), "version 2".split())[3]
 
 
+@pytest.mark.parametrize("size", [1_000, 5_000, 20_000])
+def test_a_notice_in_a_long_legal_text_is_found(table, size):
+    rng = np.random.default_rng(size)
+    stock = [f"w{k}" for k in rng.integers(0, 4_000, size)]
+    stock[::65] = ["license"] * len(stock[::65])  # signal words all along
+    notices = [text for name, text in licenses.TEMPLATES if name in ("GPL-2.0-or-later", "ISC", "CC-BY-NC-4.0")]
+    rows = [(k, " ".join([*stock[: size // 2], text, *stock[size // 2 :]]), "a") for k, text in enumerate(notices)]
+    found = licenses.scan(table(rows)).collect()
+    assert {(r.doc_id, r.n_different, r.n_words) for r in found} == {
+        (k, 0, len(licenses.normal_words(text))) for k, text in enumerate(notices)
+    }
+    assert all(r.gain > 0.9 for r in found)
+
+
 def test_bpe_equals_the_library(table, messy):
     long = [(200, "a" * 9_000, "x"), (201, "<|endoftext|>'re " * 900 + "!" * 5_000, "x"), (200, "a" * 9_000, "x")]
     rows = messy + long
