@@ -66,6 +66,19 @@ def test_a_notice_in_a_long_legal_text_is_found(table, size):
     assert all(r.gain > 0.9 for r in found)
 
 
+def test_a_stretch_with_a_telling_difference_hides_no_other(table):
+    text = dict(licenses.TEMPLATES)
+    gpl2, gpl3 = text["GPL-2.0-or-later"], text["GPL-3.0-or-later"]
+    gpl3 = gpl3.replace("redistribute it", "share it").replace("published by", "issued by")
+    rows = [(1, f"{gpl2} license {gpl3}", "a"), (2, f"{gpl3} {gpl2} {gpl3}", "a")]
+    found = rows_of(licenses.scan(table(rows)), "doc_id", "occurrence", "license", "n_different")
+    two, three = ("GPL-2.0-or-later", 0), ("GPL-3.0-or-later", 2)
+    assert found == [(1, 1, *two), (1, 2, *three), (2, 1, *three), (2, 2, *two), (2, 3, *three)]
+    near = "a b version 3 q r a x b version 2 q r".split()
+    different, _, end, told = licenses.align("a b version 2 q r".split(), near)
+    assert (different, end, told) == (1, 13, False)
+
+
 def test_bpe_equals_the_library(table, messy):
     long = [(200, "a" * 9_000, "x"), (201, "<|endoftext|>'re " * 900 + "!" * 5_000, "x"), (200, "a" * 9_000, "x")]
     rows = messy + long
