@@ -9,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from saleslake.llm import (
-    attention, bpe, html, licenses, lm, mixing, neighbours, quality_rules, simhash, substring_dedup,
+    attention, bpe, html, license_wordings, licenses, lm, mixing, neighbours, quality_rules, simhash, substring_dedup,
     suffix_dedup, superkmers,
 )
 from tests.llm import brute
@@ -67,7 +67,7 @@ def test_a_notice_in_a_long_legal_text_is_found(table, size):
 
 
 def test_a_stretch_with_a_telling_difference_hides_no_other(table):
-    text = dict(licenses.TEMPLATES)
+    text = dict(reversed(licenses.TEMPLATES))
     gpl2, gpl3 = text["GPL-2.0-or-later"], text["GPL-3.0-or-later"]
     gpl3 = gpl3.replace("redistribute it", "share it").replace("published by", "issued by")
     rows = [(1, f"{gpl2} license {gpl3}", "a"), (2, f"{gpl3} {gpl2} {gpl3}", "a")]
@@ -79,6 +79,46 @@ def test_a_stretch_with_a_telling_difference_hides_no_other(table):
     assert (different, end, told) == (1, 13, False)
 
 
+def test_common_wordings_of_licenses():
+    scanner = licenses.Scanner()
+
+    def names(text):
+        return [hit[0] for hit in scanner.scan(text)]
+
+    assert min(len(t.words) for t in scanner.templates) >= licenses.HEAD
+    for text, expected in (
+        ("Licensed under MIT License", ["MIT"]),
+        ("It is licensed under MIT.", ["MIT"]),
+        ("He studied under MIT professors", []),
+        ("under the terms of the GNU LGPL v3 or later", ["LGPL-3.0-or-later"]),
+        ("released under GPLv2+; see", ["GPL-2.0-or-later"]),
+        ("released under GPLv2; see", ["GPL-2.0-only"]),
+        ("licensed under CC BY-SA 3.0", ["CC-BY-SA-3.0"]),
+        ("under the Artistic License 2.0", ["Artistic-2.0"]),
+        ("// SPDX-License-Identifier: (MIT OR Apache-2.0 WITH LLVM-exception) AND GPL-2.0+\nor not",
+         ["MIT", "Apache-2.0", "GPL-2.0-or-later"]),
+        ("SPDX-License-Identifier: EUPL-1.2.", ["EUPL-1.2"]),
+    ):
+        assert names(text) == expected, text
+    agpl = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version."
+    )
+    lesser = agpl.replace("program", "library").replace("Affero", "Lesser").replace("version 3", "version 2.1")
+    assert names(f"x {agpl} y {lesser}") == ["AGPL-3.0-or-later", "LGPL-2.1-or-later"]
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0"])
+def test_full_license_texts(name):
+    file = license_wordings.Path(license_wordings.__file__).parent / "license_texts" / f"{name}.txt"
+    words = file.read_text(encoding="utf-8").split()
+    words[200::40] = ["changed"] * len(words[200::40])
+    found = licenses._scanner(licenses.TEMPLATES).scan(" ".join(["before"] * 300 + words + ["after"] * 300))
+    best = max(found, key=lambda hit: hit[4] - hit[3])
+    assert best[0] == license_wordings._TEXTS[name] and best[2] > 0 and best[4] - best[3] > 0.9 * len(words)
+
+
 def test_bpe_equals_the_library(table, messy):
     long = [(200, "a" * 9_000, "x"), (201, "<|endoftext|>'re " * 900 + "!" * 5_000, "x"), (200, "a" * 9_000, "x")]
     rows = messy + long
