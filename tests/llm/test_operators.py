@@ -299,6 +299,33 @@ def test_lm_scores(table, messy):
     assert lm.scores(table([]), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_lm_learns_from_all_training_documents(table):
+    words = "time people way water day house man world school state year family city room night word book".split()
+    rows = [(i, " ".join(words[k] for k in _chain(120, i)), "a") for i in range(350)]
+    out = lm.scores(table(rows).coalesce(2), RANKS, public_tokenizers.PATTERN).where("held_out").collect()
+    assert sum(r.score for r in out) > 0.9 * sum(r.base_score for r in out)  # held-out bits a word
+
+
+def test_rare_ids_depend_on_the_context():
+    counts = np.array([500] * 16 + [1] * 84)
+    vocab = attention.vocabulary(counts, 4)
+    p = attention.initial(vocab)
+    text = np.array([1, 40, 2, 70] * 400)  # 40 and 70 are no frequent ids, what precedes tells them apart
+    optimiser, lengths = attention.Adam(p, 0.01), np.array([len(text)])
+    owner, first = attention.windows(lengths)
+    for a in list(range(0, len(owner), 16)) * 30:
+        shapes = attention.cut(vocab.slot[text], vocab.begin, lengths, owner[a : a + 16], first[a : a + 16])
+        optimiser.step(attention.gradients(p, *shapes)[1])
+    scorer = attention.Scorer(p, vocab)
+
+    def log10(*ids):
+        return scorer.log10(np.array(ids), np.array([len(ids)]))[0]
+
+    assert log10(1, 40) > log10(1, 70) + 1 and log10(1, 40, 2, 70) > log10(1, 40, 2, 40) + 1
+    each = [log10(1, i) for i in range(100)]
+    assert math.isclose((10 ** (np.array(each) - log10(1))).sum(), 1, rel_tol=1e-4)
+
+
 def _chain(n, seed):
     rng = np.random.default_rng(seed)
     ids = [0]
