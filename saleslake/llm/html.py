@@ -2,7 +2,8 @@
 
 1. Every page is parsed into blocks of text; each container (article, div, section, ...) is scored by the
    text of its blocks, without links and without menus, notices, forms and the like. The best container
-   casts the page's vote for its path: the generalised tags and classes from the body down.
+   casts the page's vote for its path: the generalised tags and classes from the body down. A container whose
+   class or id only mentions such a part (has-sidebar), or a form, counts as one unless it holds most of the text.
 2. Votes are summed per host and path. Paths with at least SHARE of a host's votes win; there are at
    most 1 / SHARE of them, however large the host is.
 3. Pages are read again: the most voted winning path that the page has gives its text. A page without
@@ -43,6 +44,8 @@ OUTSIDE_WORDS = frozenset(
     "sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget "
     "widgets".split()
 )
+#: Those of readers' texts; such a container is never taken for a wrapper of the article.
+READERS = frozenset("comment comments discussion disqus replies reply respond".split())
 #: Words of a class or id of a page header; inside an article a header belongs to it.
 HEADER_WORDS = frozenset("header masthead topbar".split())
 #: Tags that make a path; other tags only end blocks or stand inside them.
@@ -60,7 +63,8 @@ ARTICLE_WORDS = frozenset("article content entry main post story text".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>"
     r"|<[!?][^>]*>",
     re.S | re.I,
@@ -70,14 +74,22 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _NUMBER = re.compile(r"\d+")
 
 
+#: SOFT: may be a wrapper of the whole page (has-sidebar, form); HARD: named as a part outside and nothing else.
+SOFT, HARD = 1, 2
+
+
 class Container:
-    """An open or closed element: its path, where its blocks begin and end, its score."""
+    """An open or closed element: its path, where its blocks begin and end, its score.
+
+    mark: what its tag, class or id says (nothing, SOFT or HARD); outside: whether it or one around it is no
+    part of an article.
+    """
 
-    __slots__ = ("tag", "path", "parent", "first", "end", "score", "outside", "bonus")
+    __slots__ = ("tag", "path", "parent", "first", "end", "score", "outside", "bonus", "mark")
 
     def __init__(self, tag: str, path: str, parent: Container | None, first: int) -> None:
         self.tag, self.path, self.parent, self.first, self.end = tag, path, parent, first, -1
-        self.score, self.outside, self.bonus = 0.0, False, 1.0
+        self.score, self.outside, self.bonus, self.mark = 0.0, False, 1.0, 0
 
 
 class Page:
@@ -88,14 +100,20 @@ class Page:
         self.owners: list[Container] = []
         self.links: list[int] = []
         self.containers: list[Container] = []
+        self.nodes: list[Container] = []
         self._parse(html)
+        self._judge()
 
     def _open(self, tag: str, rest: str, top: Container) -> Container:
         words: set[str] = set()
+        only = False
         label = tag
         for name, *values in _NAMES.findall(rest):
             value = next((v for v in values if v), "")
-            words.update(w.lower() for w in _WORD.findall(value))
+            for token in value.split():
+                said = {w.lower() for w in _WORD.findall(token)}
+                only |= bool(said) and said <= OUTSIDE_WORDS
+                words |= said
             kinds = sorted({_NUMBER.sub("#", v) for v in value.split()})
             label += "".join(("." if name.lower() == "class" else "#") + v for v in kinds)
         node = Container(tag, f"{top.path}/{label}", top, len(self.texts))
@@ -103,12 +121,14 @@ class Page:
         while within is not None and within.tag not in ("article", "main"):
             within = within.parent
         header = tag == "header" or not words.isdisjoint(HEADER_WORDS)
-        node.outside = (
-            top.outside
-            or tag in OUTSIDE
-            or (tag not in ("body", "article", "main") and not words.isdisjoint(OUTSIDE_WORDS))
-            or (header and within is None and tag not in ("body", "article", "main"))
-        )
+        named = tag not in ("body", "article", "main")
+        if tag in OUTSIDE:
+            node.mark = SOFT if tag == "form" else HARD
+        elif named and not words.isdisjoint(OUTSIDE_WORDS):
+            node.mark = HARD if only or not words.isdisjoint(READERS) else SOFT
+        elif named and header and within is None:
+            node.mark = HARD if tag == "header" else SOFT
+        self.nodes.append(node)
         if tag in ("article", "main") or not words.isdisjoint(ARTICLE_WORDS):
             node.bonus = 1.5
         if tag in CONTAINERS:
@@ -181,6 +201,32 @@ class Page:
             top.end = len(self.texts)
             top = top.parent
 
+    def _judge(self) -> None:
+        """A SOFT container with most of the text of articles (of the page, if it has none) is a wrapper."""
+        if not any(node.mark for node in self.nodes):
+            return
+        plain: dict[Container, float] = {}
+        of_articles: dict[Container, float] = {}
+        for text, owner, linked in zip(self.texts, self.owners, self.links, strict=True):
+            around, node = [], owner
+            while node is not None:
+                around.append(node)
+                node = node.parent
+            if any(n.mark == HARD for n in around):
+                continue
+            value = max(0.0, len(text) - 2.0 * linked)
+            article = any(n.tag in ("article", "main") for n in around)
+            for n in around:
+                if n.mark == SOFT or n.parent is None:
+                    plain[n] = plain.get(n, 0.0) + value
+                    if article:
+                        of_articles[n] = of_articles.get(n, 0.0) + value
+        share = of_articles if any(of_articles.values()) else plain
+        most = max(share.values(), default=0.0) / 2  # the root has all
+        for node in self.nodes:
+            wrapper = node.mark == SOFT and share.get(node, 0.0) > most
+            node.outside = node.parent.outside or bool(node.mark and not wrapper)
+
     def score(self) -> Container | None:
         """The best container: own text without links counts whole, that of inner elements less."""
         for text, owner, linked in zip(self.texts, self.owners, self.links, strict=True):
@@ -216,7 +262,21 @@ class Page:
             if found:
                 return found
         best = self.score()
-        return self.text_of([best]) if best else self.text_of(self.containers[:1])
+        found = self.text_of([best]) if best else self.text_of(self.containers[:1])
+        # A page that has nothing else gives its parts outside, those that may be wrappers first.
+        for least in (HARD, HARD + 1):
+            if not found:
+                found = " ".join(t for t, n in zip(self.texts, self.owners, strict=True) if _weight(n) < least)
+        return found
+
+
+def _weight(node: Container | None) -> int:
+    """The highest mark of a container and those around it; the head is never text."""
+    most = 0
+    while node is not None:
+        most = max(most, HARD + 1 if node.tag == "head" else node.mark)
+        node = node.parent
+    return most
 
 
 def host(url: Column) -> Column:

@@ -258,6 +258,36 @@ def test_html_text(spark):
     assert html.main_text(df).count() == len(data) and html.main_text(df.limit(0)).count() == 0
 
 
+BODY = "<p>A paragraph that is the article of this page, with some words.</p>"
+SAID = "A paragraph that is the article of this page, with some words."
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["content-sidebar-wrap", "has-sidebar", "no-sidebar", "ad-free", "elementor-widget-container", "search-result-page",
+     "form-wrapper", "social-science"],
+)
+def test_html_wrappers_hide_no_article(wrapper):
+    around = f"<nav>menu</nav><div class='{wrapper}'>%s<div class=sidebar>side</div><div class=ads>buy</div></div>"
+    for inner in (f"<article>{BODY}</article>", f"<main>{BODY}</main>", f"<div class=text>{BODY}</div>"):
+        found = html.Page(around % inner).main_text([])
+        assert found == SAID, found
+    comments = f"<div id=comments><article class=comment>{'A long comment. ' * 40}</article></div>"
+    assert html.Page((around % f"<article>{BODY}</article>") + comments).main_text([]).startswith("A paragraph")
+
+
+def test_html_forms_svg_and_custom_elements():
+    for page in (
+        f"<body><form action=x><div id=main>{BODY}</div></form></body>",
+        f"<body><svg viewBox='0 0 1 1'/><div>{BODY}</div></body>",
+        f"<body><svg/><div>{BODY}</div><svg><text>no</text></svg></body>",
+        f"<body><object-viewer>{BODY}</object-viewer></body>",
+        f"<body><template-x></template-x><div>{BODY}</div></body>",
+        f"<head><title>T</title></head><body><aside>{BODY}</aside></body>",
+    ):
+        assert html.Page(page).main_text([]) == SAID, page
+
+
 @pytest.mark.parametrize("subtree", [simhash.SUBTREE, 2])
 def test_simhash(table, messy, monkeypatch, subtree):
     monkeypatch.setattr(simhash, "SUBTREE", subtree)
