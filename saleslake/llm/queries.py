@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saleslake.llm import bpe, html, licenses, lm, mixing, neighbours, quality_rules, simhash, sql, substring_dedup, suffix_dedup
+from saleslake.llm import (
+    bpe, html, licenses, lm, mixing, neighbours, quality_rules, sentence_pieces, simhash, sql, substring_dedup, suffix_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,7 +60,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_license_scan, op2_bpe, op3_neighbours, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash, op8_lm_scores, op9_source_mixing, op10_suffix_dedup)
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip(_table(spark, sf_dir, "documents"), tokenizers.path("piece_bpe_32k.model"))
+
+
+_ALL = (
+    op1_license_scan, op2_bpe, op3_neighbours, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash,
+    op8_lm_scores, op9_source_mixing, op10_suffix_dedup, op12_sentence_pieces,
+)
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {
     "op4_quality_rules": sql.QUALITY.format(docs="documents"),
