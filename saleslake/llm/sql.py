@@ -78,3 +78,49 @@ SELECT doc_id, size, source_size, target,
 FROM sized JOIN plan ON sized.source IS NOT DISTINCT FROM plan.source
 JOIN cells ON sized.source IS NOT DISTINCT FROM cells.source AND sized.h = cells.h
 """
+
+AUDIT = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS words FROM {{docs}}),
+judged AS (
+  SELECT part, doc_id, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+    regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE) AS e
+  FROM texts),
+labelled AS (
+  SELECT doc_id, max(coalesce(quality = 1, FALSE)) AS good, max(coalesce(toxic = 1, FALSE)) AS toxic
+  FROM {{labels}} WHERE doc_id IS NOT NULL GROUP BY doc_id),
+kinds AS (
+  SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END)
+      || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END)
+      || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+    count(*) AS n, count_if(coalesce(good, FALSE)) AS good, count_if(coalesce(toxic, FALSE)) AS toxic
+  FROM judged LEFT JOIN labelled USING (doc_id) GROUP BY ALL),
+orders AS (
+  SELECT '' AS filter_order
+  UNION ALL
+  SELECT filter_order || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS v(f)
+  WHERE NOT contains(filter_order, f)),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before,
+    substr(filter_order, step + 1) AS behind
+  FROM orders, (VALUES (1), (2), (3), (4), (5)) AS v(step) WHERE length(filter_order) = 5),
+met AS (
+  SELECT part, filter_order, step, s.f, n, good, toxic, contains(fails, s.f) AS hit,
+    before <> '' AND regexp_matches(fails, '[' || before || '.]') AS gone,
+    fails = s.f AS sole
+  FROM kinds, steps AS s),
+summed AS (
+  SELECT part, filter_order, step, f, sum(n) FILTER (NOT gone AND NOT hit) AS kept,
+    sum(n) FILTER (NOT gone AND hit) AS removed, sum(n) FILTER (gone AND hit) AS redundant,
+    sum(n) FILTER (sole) AS unique_fails, sum(good) FILTER (NOT gone AND hit) AS good_lost,
+    sum(toxic) FILTER (NOT gone AND hit) AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept,
+  coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+  coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM summed
+"""
