@@ -6,7 +6,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saleslake.llm import (
-    bpe, filter_audit, html, licenses, lm, mixing, neighbours, quality_rules, sentence_pieces, simhash, sql, substring_dedup, suffix_dedup,
+    bpe, divergence, filter_audit, html, licenses, lm, mixing, neighbours, quality_rules, sentence_pieces, simhash, sql, substring_dedup, suffix_dedup,
 )
 
 
@@ -60,6 +60,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.round_trip(_table(spark, sf_dir, "documents"), tokenizers.path("piece_bpe_32k.model"))
 
@@ -70,11 +74,13 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (
     op1_license_scan, op2_bpe, op3_neighbours, op4_quality_rules, op5_substring_dedup, op6_html_text, op7_simhash,
-    op8_lm_scores, op9_source_mixing, op10_suffix_dedup, op12_sentence_pieces, op13_filter_audit,
+    op8_lm_scores, op9_source_mixing, op10_suffix_dedup, op11_source_divergence,
+    op12_sentence_pieces, op13_filter_audit,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {
     "op4_quality_rules": sql.QUALITY.format(docs="documents"),
+    "op11_source_divergence": sql.DIVERGENCE.format(docs="documents"),
     "op13_filter_audit": sql.AUDIT.format(docs="documents", labels="labels"),
     "op9_source_mixing": sql.MIXING.format(docs="documents"),
 }

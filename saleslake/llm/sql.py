@@ -124,3 +124,44 @@ SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS k
   coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
 FROM summed
 """
+
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM {docs}),
+found AS (
+  SELECT r, lang, source,
+    unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS n FROM found GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found GROUP BY ALL),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS n_lang,
+    sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS n_group
+  FROM groups AS g JOIN kept AS k ON g.lang = k.lang
+  LEFT JOIN counts AS c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+rates AS (
+  SELECT lang, source, term, c.n,
+    1 + (1000000000::HUGEINT * (c.n + 1)) // (n_group + v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (n_lang + 1)) // (l.n + v)::HUGEINT AS q
+  FROM cells AS c JOIN langs AS l USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+  FROM rates AS a JOIN rates AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+  FROM rates WHERE n > 0 AND p > q),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs AS p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', item, value FROM terms),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
