@@ -126,7 +126,7 @@ def _kept(found: DataFrame) -> DataFrame:
     return written(kept, "divergence-kept")
 
 
-def _groups(found: DataFrame, kept: DataFrame) -> DataFrame:
+def _groups(found: DataFrame, kept: DataFrame, size: int, tile: int) -> DataFrame:
     """lang, source, its number g in the language, tiles, blocks, and the divisors of its and the language's rates."""
     langs = kept.groupBy("lang").agg(F.count_if("first").alias("v"), F.sum("n").alias("n_lang"))
     sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("n_group"))
@@ -140,8 +140,8 @@ def _groups(found: DataFrame, kept: DataFrame) -> DataFrame:
             "lang",
             "source",
             (F.row_number().over(in_lang.orderBy("source")) - 1).alias("g"),
-            F.ceil(F.count(F.lit(1)).over(in_lang) / TILE).cast("long").alias("tiles"),
-            F.greatest(F.lit(1), F.ceil(v / BLOCK)).cast("long").alias("blocks"),
+            F.ceil(F.count(F.lit(1)).over(in_lang) / tile).cast("long").alias("tiles"),
+            F.greatest(F.lit(1), F.ceil(v / size)).cast("long").alias("blocks"),
             (F.coalesce("n_group", F.lit(0)) + v).alias("d"),
             (F.coalesce("n_lang", F.lit(0)) + v).alias("d_lang"),
         ),
@@ -149,7 +149,7 @@ def _groups(found: DataFrame, kept: DataFrame) -> DataFrame:
     )
 
 
-def _dealt(groups: DataFrame, kept: DataFrame) -> DataFrame:
+def _dealt(groups: DataFrame, kept: DataFrame, tile: int) -> DataFrame:
     """Counts and groups, once for each block and pair of tiles that needs them; groups have no term."""
     block = F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block")
     shared = ["lang", "block", "g", "source", "term", "n", "total", "d", "d_lang", "size", "tiles"]
@@ -162,7 +162,7 @@ def _dealt(groups: DataFrame, kept: DataFrame) -> DataFrame:
     members = every.join(sizes, ["lang", "block"], "left").select(
         *(F.col(c) if c not in ("term", "n", "total") else F.lit(None).cast("string" if c == "term" else "long").alias(c) for c in shared)
     )
-    mine = F.floor(F.col("g") / TILE).cast("long")
+    mine = F.floor(F.col("g") / tile).cast("long")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
     return (
         cells.unionByName(members)
@@ -211,7 +211,7 @@ def price(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-def _compare(table: pa.Table) -> pa.Table:
+def _compare(table: pa.Table, tile: int) -> pa.Table:
     """Prices of a block: for each pair of its groups, and its dearest terms for each group."""
     lang, ti, tj = (table.column(c)[0].as_py() for c in ("lang", "ti", "tj"))
     is_group = np.array(table.column("term").is_null())
@@ -237,8 +237,8 @@ def _compare(table: pa.Table) -> pa.Table:
     held[[row[g] for g in cells.column("g").to_pylist()], place[number]] = n
     trees = Trees(held)
     rate = [rates(trees.leaves, m["d"]) if m["d"] else np.ones(len(trees.leaves), np.int64) for m in members]
-    first = [k for k, m in enumerate(members) if m["g"] // TILE == ti]
-    second = [k for k, m in enumerate(members) if m["g"] // TILE == tj]
+    first = [k for k, m in enumerate(members) if m["g"] // tile == ti]
+    second = [k for k, m in enumerate(members) if m["g"] // tile == tj]
     found = []
     for one in first:
         others = np.array([k for k in second if k > one], np.int64)
@@ -273,13 +273,13 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(arrays, ["lang", "part", "source", "item", "value"])
 
 
-def audit(docs: DataFrame) -> DataFrame:
+def audit(docs: DataFrame, block: int = BLOCK, tile: int = TILE) -> DataFrame:
     """lang, source, part ('pair' or 'term'), item, value, rank; see the contract."""
     found = counts(docs)
     kept = _kept(found)
-    dealt = _dealt(_groups(found, kept), kept)
+    dealt = _dealt(_groups(found, kept, block, tile), kept, tile)
     prices = dealt.groupBy("lang", "block", "ti", "tj").applyInArrow(
-        _compare, "lang string, part string, source string, item string, value long"
+        lambda table: _compare(table, tile), "lang string, part string, source string, item string, value long"
     )
     prices = written(prices, "divergence-prices")
     ranked = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), F.col("item"))
