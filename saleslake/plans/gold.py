@@ -144,6 +144,7 @@ def build_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
     Three scans of the orders: weeks and segments are built from the staged days and customers. All five
     replace the old tables together.
     """
+    lake.recover(spark, config, "silver", "gold")
     silver = {t: lake.read_table(spark, config, "silver", t) for t in ("orders", "customers", "products")}
     orders, customers, products = (silver[t] for t in ("orders", "customers", "products"))
     staged: dict[str, str] = {}

@@ -65,6 +65,7 @@ def build_silver(
     the staged tables, so nothing is evaluated from the raw layer a second time; only if all checks pass
     do they replace the old tables, together.
     """
+    lake.recover(spark, config, "bronze", "silver")
     raw = raw_tables(spark, config)
     staged: dict[str, str] = {}
     try:

@@ -10,7 +10,7 @@ from saleslake.errors import IngestError
 from saleslake.plans import checks
 from saleslake.registry import oracle
 from saleslake.registry.catalog import Catalog, row_count, scratch
-from saleslake.sources import ingest, lake, testdata as td
+from saleslake.sources import ingest, journal, lake, testdata as td
 from saleslake.sources.contracts import AUDIT_TABLE, CONTRACTS, CUSTOMERS, ORDERS, PRODUCTS, ROW_ID
 from saleslake.sources.lake import LakeConfig
 
@@ -200,6 +200,31 @@ def _(spark, d):
     return written.agg(F.lit(landed.rows).cast("bigint").alias("rows_read"), row_count("rows_written"))
 
 
+@query(
+    "s_swap_recovery",
+    oracle.query(
+        "SELECT 'finished' AS swap, category, count(*) AS n_rows FROM raw_products WHERE price > 1500 GROUP BY 2 "
+        "UNION ALL SELECT 'undone', category, count(*) FROM raw_products GROUP BY 2"
+    ),
+)
+def _(spark, d):
+    """Swaps that end after half of their renames: one is finished, one is undone, by the next run."""
+    products, found = td.products(spark, d), []
+    for name in ("finished", "undone"):
+        config = lake_with(spark, d, f"swap-{name}")
+        table = lake.overwrite_table(spark, products, config, "bronze", "products")
+        new = lake.stage_table(spark, products.where("price > 1500"), config, "bronze", "products")
+        step = journal.Step(table, new, f"{table}__old", True)
+        journal.Journal(spark, config.schema_name("bronze")).begin("lost", [step])
+        journal.rename(spark, table, step.old)
+        if name == "undone":  # the staged table is lost too
+            lake.drop_tables(spark, [new])
+        ended = lake.recover(spark, config, "bronze")["lost"]
+        rows = lake.read_table(spark, config, "bronze", "products").groupBy("category").agg(row_count("n_rows"))
+        found.append(rows.select(F.lit(ended).alias("swap"), "category", "n_rows"))
+    return checks.union(found)
+
+
 def _audit(spark: SparkSession, config: LakeConfig) -> DataFrame:
     return lake.read_table(spark, config, "bronze", AUDIT_TABLE)
 

@@ -206,6 +206,7 @@ def _audit_failure(spark, config, ingest_id, source, table, rows, at, error) ->
 
 def _land(spark: SparkSession, config: LakeConfig, tables, ingest_id: str | None, at: datetime | None):
     """Stage all tables, then swap them in together; the old tables stay until all are checked."""
+    lake.recover(spark, config, "bronze")
     ingest_id = ingest_id or str(uuid.uuid4())
     at = at or datetime.now(timezone.utc)
     staged: dict[str, str] = {}

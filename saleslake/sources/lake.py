@@ -9,6 +9,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from saleslake.sources import journal
+from saleslake.sources.journal import table_exists
+
+LAYERS = ("bronze", "silver", "gold")
+#: Between the name of a table and the mark of a write that is not checked yet.
+STAGED = "__staged_"
+
 
 @dataclass(frozen=True)
 class LakeConfig:
@@ -55,54 +62,42 @@ def stage_table(
 ) -> str:
     """Write ``df`` beside the table under a name of its own, for checks before ``swap``."""
     ensure_schema(spark, config, layer)
-    name = f"{config.table(layer, table)}__staged_{uuid.uuid4().hex[:12]}"
+    name = f"{config.table(layer, table)}{STAGED}{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").format(config.table_format).saveAsTable(name)
     return name
 
 
-def _quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
-
-
-def _rename(spark: SparkSession, old: str, new: str) -> None:
-    spark.sql(f"ALTER TABLE {_quoted(old)} RENAME TO {_quoted(new)}")
-
-
 def drop_tables(spark: SparkSession, names: list[str]) -> None:
     for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+        journal.drop(spark, name)
 
 
 def swap(spark: SparkSession, staged: Mapping[str, str]) -> None:
-    """Put staged tables in place of tables (qualified name -> staged name), all or none.
+    """Put staged tables in place of tables (qualified name -> staged name), all or none; see ``journal``."""
+    journal.commit(spark, staged)
+
+
+def recover(spark: SparkSession, config: LakeConfig, *layers: str) -> dict[str, str]:
+    """End the swaps that a lost driver left half done; every refresh of a layer begins with this."""
+    found = {}
+    for layer in layers or LAYERS:
+        found |= journal.recover(spark, config.schema_name(layer))
+    return found
 
-    Old tables step aside first and are dropped last; if a rename fails, they come back.
-    """
-    aside: dict[str, str] = {}
-    placed: dict[str, str] = {}
-    try:
-        for name, new in staged.items():
-            if table_exists(spark, name):
-                old = f"{name}__old_{uuid.uuid4().hex[:12]}"
-                _rename(spark, name, old)
-                aside[name] = old
-            _rename(spark, new, name)
-            placed[name] = new
-    except Exception:
-        for name, new in placed.items():
-            _rename(spark, name, new)
-        for name, old in aside.items():
-            _rename(spark, old, name)
-        raise
-    drop_tables(spark, list(aside.values()))
-    for name in staged:
-        spark.catalog.refreshTable(_quoted(name))
+
+def leftovers(spark: SparkSession, config: LakeConfig, layer: str) -> list[str]:
+    """Staged tables that a driver lost before its swap left behind. While another run writes, they may be its own."""
+    schema = config.schema_name(layer)
+    if not spark.catalog.databaseExists(schema):
+        return []
+    return [f"{schema}.{t.name}" for t in spark.catalog.listTables(schema) if STAGED in t.name]
 
 
 def overwrite_table(
     spark: SparkSession, df: DataFrame, config: LakeConfig, layer: str, table: str
 ) -> str:
     """Full refresh of one table, schema included; returns the qualified name."""
+    recover(spark, config, layer)
     name = config.table(layer, table)
     swap(spark, {name: stage_table(spark, df, config, layer, table)})
     return name
@@ -126,10 +121,6 @@ def relation(spark: SparkSession, rows: list[tuple], schema: StructType | str) -
     return spark.createDataFrame(rows, schema)
 
 
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
-
-
 def table_info(spark: SparkSession, name: str) -> DataFrame:
     """One row: table_name, table_exists, table_format."""
     if not table_exists(spark, name):
