@@ -55,9 +55,9 @@ class Step:
 
     def placed(self, spark: SparkSession) -> bool:
         """Whether the staged table has its final name by now."""
-        if table_exists(spark, self.staged):
+        if table_exists(spark, self.staged) or not table_exists(spark, self.name):
             return False
-        return table_exists(spark, self.old if self.existed else self.name)
+        return not self.existed or table_exists(spark, self.old)
 
     def forward(self, spark: SparkSession) -> None:
         if self.placed(spark):
