@@ -12,6 +12,7 @@ from saleslake.registry import oracle
 from saleslake.registry.catalog import Catalog, row_count, scratch
 from saleslake.sources import ingest, journal, lake, testdata as td
 from saleslake.sources.contracts import AUDIT_TABLE, CONTRACTS, CUSTOMERS, ORDERS, PRODUCTS, ROW_ID
+from saleslake.sources.fingerprints import compare_fingerprints, fingerprint
 from saleslake.sources.lake import LakeConfig
 
 catalog = Catalog()
@@ -351,31 +352,38 @@ def _(spark, d):
     "s_fingerprint",
     "SELECT 'size_bytes' AS what, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS value FROM part "
     "UNION ALL SELECT 'lines', count(*) FROM part UNION ALL SELECT 'same: copy', 1 "
+    "UNION ALL SELECT 'same: reordered', 0 UNION ALL SELECT 'same: carriage returns', 0 "
     "UNION ALL SELECT 'same: changed', 0 UNION ALL SELECT 'same: shorter', 0",
 )
 def _(spark, d):
-    """Text files with the part names: a copy, one with a changed byte, one without the last line."""
+    """Files with the part names: a copy, one with its lines in another order, one with other line ends, one
+    with a changed byte, one without one line. The parts of a variant are compared by number."""
     names = td.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("value"))
+    dealt = names.repartition(4, "p_partkey")
     folder = scratch(spark, "fingerprint")
     one = F.col("p_partkey") == names.agg(F.min("p_partkey")).first()[0]
-    last = F.expr("overlay(value PLACING '#' FROM 1 FOR 1)")
-    lines = {
-        "first": names,
-        "copy": names.orderBy("value"),
-        "changed": names.withColumn("value", F.when(one, last).otherwise(F.col("value"))),
-        "shorter": names.where(~one),
+    mark = F.expr("overlay(value PLACING '#' FROM 1 FOR 1)")
+    in_order = dealt.sortWithinPartitions("p_partkey")
+    variants = {
+        "first": (in_order, "\n"),
+        "copy": (in_order, "\n"),
+        "reordered": (dealt.sortWithinPartitions(F.desc("p_partkey")), "\n"),
+        "carriage returns": (in_order, "\r"),
+        "changed": (in_order.withColumn("value", F.when(one, mark).otherwise(F.col("value"))), "\n"),
+        "shorter": (in_order.where(~one), "\n"),
     }
-    sums = []
-    for name, frame in lines.items():
-        frame.select("value").write.text(f"{folder}/{name}")
-        found = ingest.fingerprint(spark, f"{folder}/{name}").agg(
-            *(F.sum(c).alias(c) for c in ("size_bytes", "lines", "digest"))
-        )
-        sums.append(found.withColumn("file_name", F.lit("part")).withColumn("which", F.lit(name)))
-    first, *others = sums
+    number = F.regexp_extract("file_name", r"^part-(\d+)", 1)
+    found = {}
+    for name, (frame, end) in variants.items():
+        place = f"{folder}/{name.replace(' ', '-')}"
+        frame.select("value").write.option("lineSep", end).text(place)
+        found[name] = fingerprint(spark, place).withColumn("file_name", number)
+    first = found.pop("first")
+    totals = first.agg(*(F.sum(c).alias(c) for c in ("size_bytes", "lines")))
     values = "inline(array(struct('size_bytes' AS what, size_bytes AS value), struct('lines' AS what, lines AS value)))"
-    rows = [first.selectExpr(values)]
-    for other, name in zip(others, ("copy", "changed", "shorter"), strict=True):
-        same = F.col("same").cast("int").cast("bigint").alias("value")
-        rows.append(ingest.compare_fingerprints(first, other).select(F.lit(f"same: {name}").alias("what"), same))
+    rows = [totals.selectExpr(values)]
+    for name, other in found.items():
+        same = F.min(F.col("same").cast("int")).cast("bigint").alias("value")
+        compared = compare_fingerprints(first, other).agg(same)
+        rows.append(compared.select(F.lit(f"same: {name}").alias("what"), "value"))
     return checks.union(rows)

@@ -254,40 +254,3 @@ def ingest_all(
     """Preflight everything, stage all entities under one run id, then swap all of them in."""
     preflight(spark, config)
     return _land(spark, config, list(CONTRACTS), ingest_id, at)
-
-
-def fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """Size, lines and a digest of the lines of every file of a source, for comparing copies.
-
-    The scan is split like any text scan and combined per file, so no file is too large and none is
-    held in a task. The digest is the sum of 64-bit line hashes: it sees any changed, missing or repeated
-    line, but not the order of lines.
-    """
-    files = spark.read.format("binaryFile").load(path)
-    files = files.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("size_bytes"))
-    line = F.xxhash64("value").cast("decimal(28,0)")
-    lines = (
-        spark.read.text(path)
-        .select("value", F.col("_metadata.file_path").alias("path"))
-        .groupBy("path")
-        .agg(F.count(F.lit(1)).alias("lines"), F.sum(line).alias("digest"))
-    )
-    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
-    digest = F.coalesce("digest", F.lit(0)).cast("decimal(38,0)").alias("digest")
-    return files.join(lines, "path", "left").select(
-        name, "size_bytes", F.coalesce("lines", F.lit(0)).alias("lines"), digest
-    )
-
-
-def compare_fingerprints(left: DataFrame, right: DataFrame) -> DataFrame:
-    """file_name and whether both sides hold the same bytes; files on one side only differ."""
-    a, b = left.alias("a"), right.alias("b")
-    return a.join(b, "file_name", "full").select(
-        "file_name",
-        F.coalesce(
-            (F.col("a.size_bytes") == F.col("b.size_bytes"))
-            & (F.col("a.lines") == F.col("b.lines"))
-            & (F.col("a.digest") == F.col("b.digest")),
-            F.lit(False),
-        ).alias("same"),
-    )

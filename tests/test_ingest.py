@@ -129,29 +129,6 @@ def test_row_id_is_never_overwritten(spark):
         ingest.with_row_id(spark.range(1).withColumn(ROW_ID, F.lit(1)))
 
 
-def test_fingerprints(spark, fixtures, tmp_path):
-    found = {r["file_name"]: r for r in ingest.fingerprint(spark, f"{fixtures}/raw/*.csv").collect()}
-    with open(f"{fixtures}/raw/orders.csv", "rb") as file:
-        content = file.read()
-    assert found["orders.csv"]["size_bytes"] == len(content)
-    assert found["orders.csv"]["lines"] == len(content.splitlines())
-    (tmp_path / "orders.csv").write_bytes(content)
-    (tmp_path / "products.csv").write_bytes(b"other")
-    one_byte = content.replace(b"1", b"2", 1)
-    (tmp_path / "changed").mkdir()
-    (tmp_path / "changed" / "orders.csv").write_bytes(one_byte)
-    changed = ingest.compare_fingerprints(
-        ingest.fingerprint(spark, f"{fixtures}/raw/orders.csv"), ingest.fingerprint(spark, f"{tmp_path}/changed")
-    )
-    assert [r["same"] for r in changed.collect()] == [False]
-    same = ingest.compare_fingerprints(
-        ingest.fingerprint(spark, f"{fixtures}/raw/*.csv"), ingest.fingerprint(spark, f"{tmp_path}/*.csv")
-    )
-    assert {r["file_name"]: r["same"] for r in same.collect()} == {
-        "customers.csv": False, "orders.csv": True, "products.csv": False,
-    }
-
-
 @pytest.mark.parametrize(
     "later",
     [
