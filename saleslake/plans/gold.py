@@ -43,16 +43,47 @@ def _average() -> Column:
     return money_average("total_revenue", "total_orders").alias("avg_order_value")
 
 
+def all_totals(orders: DataFrame) -> DataFrame:
+    """Number and exact amount of the qualifying orders per product, customer and day, from one scan.
+
+    One aggregate over grouping sets: ``key_name`` says which of the three keys a row is about, the other two
+    are NULL. Orders without a key count for the other keys only.
+    """
+    keys = ("product_id", "customer_id", "order_date")
+    sets = qualifying(orders).groupingSets([[k] for k in keys], *keys).agg(
+        F.grouping_id().alias("others"),
+        F.count(F.lit(1)).alias("total_orders"),
+        F.sum("total_amount").cast(MONEY).alias("total_revenue"),
+    )
+    # the bits of the keys that a row is not about, the first key's bit being the highest
+    alone = (F.when((F.col("others") == 7 - (4 >> k)) & F.col(key).isNotNull(), key) for k, key in enumerate(keys))
+    return sets.select(F.coalesce(*alone).alias("key_name"), *keys, "total_orders", "total_revenue").where(
+        "key_name IS NOT NULL"
+    )
+
+
+def totals_of(totals: DataFrame, key: str) -> DataFrame:
+    """One key's part of ``all_totals``."""
+    return totals.where(F.col("key_name") == key).select(key, "total_orders", "total_revenue")
+
+
 def sales_by_product(orders: DataFrame, products: DataFrame) -> DataFrame:
-    totals = order_totals(qualifying(orders, "product_id"), "product_id")
+    return sales_of(order_totals(qualifying(orders, "product_id"), "product_id"), products)
+
+
+def sales_of(totals: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales of the products that occur in the totals per product."""
     names = canonical(products, "product_id", ["product_name", "category"])
     return totals.join(names, "product_id").select(
         "product_id", "product_name", "category", "total_orders", "total_revenue", _average()
     )
 
 
-def _customer_totals(orders: DataFrame, customers: DataFrame, attributes: Sequence[str]) -> DataFrame:
-    totals = order_totals(qualifying(orders, "customer_id"), "customer_id")
+def _per_customer(orders: DataFrame) -> DataFrame:
+    return order_totals(qualifying(orders, "customer_id"), "customer_id")
+
+
+def _customer_totals(totals: DataFrame, customers: DataFrame, attributes: Sequence[str]) -> DataFrame:
     known = canonical(customers, "customer_id", attributes)
     return known.join(totals, "customer_id", "left").select(
         "customer_id",
@@ -63,16 +94,23 @@ def _customer_totals(orders: DataFrame, customers: DataFrame, attributes: Sequen
 
 
 def revenue_by_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    return revenue_of(_per_customer(orders), customers)
+
+
+def revenue_of(totals: DataFrame, customers: DataFrame) -> DataFrame:
     """Every canonical customer; those without qualifying orders have zeros and no average."""
-    totals = _customer_totals(orders, customers, ["customer_name", "customer_segment"])
+    totals = _customer_totals(totals, customers, ["customer_name", "customer_segment"])
     return totals.select(
         *totals.columns, _average(), F.col("total_revenue").alias("lifetime_value_actual")
     )
 
 
 def daily_trends(orders: DataFrame) -> DataFrame:
-    days = qualifying(orders, "order_date").withColumnRenamed("order_date", "trend_date")
-    totals = order_totals(days, "trend_date")
+    return daily_of(order_totals(qualifying(orders, "order_date"), "order_date"))
+
+
+def daily_of(totals: DataFrame) -> DataFrame:
+    totals = totals.withColumnRenamed("order_date", "trend_date")
     return totals.select(*totals.columns, _average())
 
 
@@ -125,7 +163,7 @@ def segmentation_of(revenue: DataFrame) -> DataFrame:
 
 
 def customer_segmentation(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    return segmentation_of(_customer_totals(orders, customers, []))
+    return segmentation_of(_customer_totals(_per_customer(orders), customers, []))
 
 
 def gold_frames(orders: DataFrame, customers: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
@@ -141,22 +179,28 @@ def gold_frames(orders: DataFrame, customers: DataFrame, products: DataFrame) ->
 def build_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
     """Full refresh of the five tables from the flagged layer; rows per table as read back.
 
-    Three scans of the orders: weeks and segments are built from the staged days and customers. All five
-    replace the old tables together.
+    One scan of the orders: their totals per product, customer and day are written once (one row per key), and
+    the tables are built from those; weeks and segments from the staged days and customers. All five replace the
+    old tables together.
     """
     lake.recover(spark, config, "silver", "gold")
     silver = {t: lake.read_table(spark, config, "silver", t) for t in ("orders", "customers", "products")}
     orders, customers, products = (silver[t] for t in ("orders", "customers", "products"))
     staged: dict[str, str] = {}
+    scratch: list[str] = []
 
     def stage(table: str, frame: DataFrame) -> DataFrame:
         staged[config.table("gold", table)] = lake.stage_table(spark, frame, config, "gold", table)
         return spark.table(staged[config.table("gold", table)])
 
     try:
-        sales = stage("sales_by_product", sales_by_product(orders, products))
-        revenue = stage("revenue_by_customer", revenue_by_customer(orders, customers))
-        daily = stage("daily_trends", daily_trends(orders))
+        scratch.append(lake.stage_table(spark, all_totals(orders), config, "gold", "order_totals", by="key_name"))
+        per_product, per_customer, per_day = (
+            totals_of(spark.table(scratch[0]), key) for key in ("product_id", "customer_id", "order_date")
+        )
+        sales = stage("sales_by_product", sales_of(per_product, products))
+        revenue = stage("revenue_by_customer", revenue_of(per_customer, customers))
+        daily = stage("daily_trends", daily_of(per_day))
         weekly = stage("weekly_trends", weekly_of(daily))
         segments = stage("customer_segmentation", segmentation_of(revenue))
         frames = zip(TABLES, (sales, revenue, daily, weekly, segments), strict=True)
@@ -165,4 +209,6 @@ def build_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
     except Exception:
         lake.drop_tables(spark, list(staged.values()))
         raise
+    finally:
+        lake.drop_tables(spark, scratch)
     return rows

@@ -58,12 +58,13 @@ def ensure_schema(spark: SparkSession, config: LakeConfig, layer: str) -> str:
 
 
 def stage_table(
-    spark: SparkSession, df: DataFrame, config: LakeConfig, layer: str, table: str
+    spark: SparkSession, df: DataFrame, config: LakeConfig, layer: str, table: str, by: str | None = None
 ) -> str:
-    """Write ``df`` beside the table under a name of its own, for checks before ``swap``."""
+    """Write ``df`` beside the table under a name of its own, for checks before ``swap``; ``by``: a partition column."""
     ensure_schema(spark, config, layer)
     name = f"{config.table(layer, table)}{STAGED}{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").format(config.table_format).saveAsTable(name)
+    writer = df.write.mode("errorifexists").format(config.table_format)
+    (writer.partitionBy(by) if by else writer).saveAsTable(name)
     return name
 
 

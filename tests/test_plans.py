@@ -65,6 +65,25 @@ def test_aggregates_read_only_their_columns(written):
     assert text.count("Exchange") >= 1 and "Window" not in text
 
 
+def test_all_totals_scan_the_orders_once(written, spark, monkeypatch):
+    _, silver = written
+    totals = gold.all_totals(silver["orders"])
+    text = plan(totals)
+    assert text.count("Scan parquet") == 2  # once in the tree, once in its details
+    assert "EqualTo(order_status,Completed)" in text and text.count(") Exchange") <= 2 and "Expand" in text
+    for key in ("product_id", "customer_id", "order_date"):
+        alone = gold.order_totals(gold.qualifying(silver["orders"], key), key)
+        one = gold.totals_of(totals, key)
+        assert one.exceptAll(alone).isEmpty() and alone.exceptAll(one).isEmpty() and not one.isEmpty()
+    # the whole build asks for the qualifying orders once, and leaves no scratch table
+    asked, made = [], gold.qualifying
+    monkeypatch.setattr(gold, "qualifying", lambda *args: asked.append(args) or made(*args))
+    config = LakeConfig(silver="plan_flagged", gold="plan_business")
+    rows = gold.build_gold(spark, config)
+    assert len(asked) == 1
+    assert {t.name for t in spark.catalog.listTables("plan_business")} == set(rows) == set(gold.TABLES)
+
+
 def test_top_products_need_no_global_sort(written):
     _, silver = written
     text = plan(serving.top_products(gold.sales_by_product(silver["orders"], silver["products"])))
