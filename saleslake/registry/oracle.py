@@ -8,7 +8,7 @@ from __future__ import annotations
 
 RAW_CUSTOMERS = """
 raw_customers AS (
-  SELECT CAST(c_custkey AS INTEGER) AS customer_id, c_name AS customer_name,
+  SELECT CAST(c_custkey AS BIGINT) AS customer_id, c_name AS customer_name,
          CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE concat(lower(c_name), '@example.com') END AS email,
          n_name AS country, DATE '1995-01-01' + CAST(c_custkey % 900 AS INTEGER) AS signup_date,
          c_mktsegment AS customer_segment, CAST(c_acctbal AS DECIMAL(18,2)) AS lifetime_value,
@@ -19,12 +19,12 @@ raw_customers AS (
 
 RAW_ORDERS = """
 raw_orders AS (
-  SELECT CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS order_id,
-         CAST(CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 1 THEN 100000000 + o_orderkey
-                   ELSE o_custkey END AS INTEGER) AS customer_id,
+  SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS order_id,
+         CAST(CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 1 THEN -o_orderkey
+                   ELSE o_custkey END AS BIGINT) AS customer_id,
          CAST(o_orderdate AS DATE) AS order_date,
-         CAST(CASE WHEN l_orderkey % 107 = 2 THEN NULL WHEN l_orderkey % 109 = 3 THEN 100000000 + l_partkey
-                   ELSE l_partkey END AS INTEGER) AS product_id,
+         CAST(CASE WHEN l_orderkey % 107 = 2 THEN NULL WHEN l_orderkey % 109 = 3 THEN -l_partkey
+                   ELSE l_partkey END AS BIGINT) AS product_id,
          CAST(CASE WHEN l_orderkey % 127 = 6 THEN 0 ELSE l_quantity END AS INTEGER) AS quantity,
          CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price,
          CAST(CAST(l_quantity AS DECIMAL(9,2)) * CAST(p_retailprice AS DECIMAL(18,2))
@@ -40,7 +40,7 @@ raw_orders AS (
 
 RAW_PRODUCTS = """
 raw_products AS (
-  SELECT CAST(p_partkey AS INTEGER) AS product_id, p_name AS product_name, p_type AS category,
+  SELECT CAST(p_partkey AS BIGINT) AS product_id, p_name AS product_name, p_type AS category,
          CAST(p_retailprice AS DECIMAL(18,2)) AS price,
          CAST(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(0.60 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS cost,
          CAST(CASE WHEN p_partkey % 41 = 3 THEN -p_size ELSE p_size END AS INTEGER) AS stock_quantity,

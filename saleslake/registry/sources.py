@@ -65,7 +65,8 @@ def _variants(rows: str, *rejected: str) -> str:
 @query(
     "s_csv_scan",
     oracle.query(
-        "SELECT order_id, customer_id, order_date, product_id, CASE WHEN order_status = 'Pending' THEN NULL "
+        "SELECT order_id::INTEGER AS order_id, customer_id::INTEGER AS customer_id, order_date, "
+        "product_id::INTEGER AS product_id, CASE WHEN order_status = 'Pending' THEN NULL "
         "ELSE quantity END AS quantity, unit_price, CASE WHEN quantity > 40 THEN NULL ELSE total_amount END AS total_amount, "
         "order_status, CASE WHEN order_status = 'Completed' THEN NULL ELSE payment_date END AS payment_date, "
         "count(*) AS n_rows FROM raw_orders GROUP BY ALL"
@@ -270,7 +271,7 @@ def _(spark, d):
 @query(
     "s_ingest_entity",
     oracle.query(
-        "SELECT customer_id, customer_name, email, country, signup_date, customer_segment, lifetime_value FROM raw_customers"
+        "SELECT customer_id::INTEGER AS customer_id, customer_name, email, country, signup_date, customer_segment, lifetime_value FROM raw_customers"
     ),
 )
 def _(spark, d):

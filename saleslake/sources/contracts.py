@@ -67,6 +67,11 @@ class EntityContract:
         """The same contract with other closed value lists."""
         return replace(self, domains=tuple(domains.items()))
 
+    def with_long_keys(self) -> "EntityContract":
+        """The same contract with 64-bit keys, for sources whose ids are beyond 2^31."""
+        keys = {self.key, *(name for name, _ in self.parents)}
+        return replace(self, columns=tuple((n, "BIGINT" if n in keys else t) for n, t in self.columns))
+
 
 # Column names, types, order, file names and closed domains of the three entities.
 CUSTOMERS = EntityContract(

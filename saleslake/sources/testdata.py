@@ -3,6 +3,7 @@
 The test tables are clean, so the views overlay defects: some values become NULL, point to no
 parent, break a rule, or appear twice. The remainders below only say which rows carry a defect;
 every row of the tables is in the views. Both engines of a comparison can state them.
+Keys are longs here and those of planted orphans negative, so that the views hold at any scale.
 """
 
 from __future__ import annotations
@@ -19,10 +20,9 @@ from saleslake.sources.contracts import CONTRACTS, CUSTOMERS, ROW_ID
 
 AS_OF = date(1997, 6, 1)
 SEGMENTS = ("BUILDING", "AUTOMOBILE", "MACHINERY", "FURNITURE")
-ORPHANS_FROM = 100_000_000
 
 SPEC = QualitySpec(
-    contracts={**CONTRACTS, "customers": CUSTOMERS.with_domains(customer_segment=SEGMENTS)},
+    contracts={t: c.with_long_keys() for t, c in {**CONTRACTS, "customers": CUSTOMERS.with_domains(customer_segment=SEGMENTS)}.items()},
     as_of=AS_OF,
 )
 
@@ -44,7 +44,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     # some customers are there twice
     twice = rows.selectExpr("*", "explode(CASE WHEN c_custkey % 89 = 1 THEN array(0, 1) ELSE array(0) END) AS copy")
     return twice.selectExpr(
-        "CAST(c_custkey AS int) AS customer_id",
+        "CAST(c_custkey AS bigint) AS customer_id",
         "c_name AS customer_name",
         "CASE WHEN c_custkey % 97 <> 0 THEN concat(lower(c_name), '@example.com') END AS email",
         "n_name AS country",
@@ -64,12 +64,12 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = lines.join(heads, F.expr("l_orderkey = o_orderkey")).join(parts, F.expr("l_partkey = p_partkey"))
     surcharge = f"CAST(CASE WHEN l_orderkey % 113 = 5 THEN '0.02' ELSE '0.00' END AS {MONEY})"
     return joined.selectExpr(
-        "CAST(l_orderkey * 10 + l_linenumber AS int) AS order_id",
-        f"CAST(CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 1 THEN o_orderkey + {ORPHANS_FROM} "
-        "ELSE o_custkey END AS int) AS customer_id",
+        "CAST(l_orderkey * 10 + l_linenumber AS bigint) AS order_id",
+        "CAST(CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 1 THEN -o_orderkey "
+        "ELSE o_custkey END AS bigint) AS customer_id",
         "CAST(o_orderdate AS date) AS order_date",
-        f"CAST(CASE WHEN l_orderkey % 107 = 2 THEN NULL WHEN l_orderkey % 109 = 3 THEN l_partkey + {ORPHANS_FROM} "
-        "ELSE l_partkey END AS int) AS product_id",
+        "CAST(CASE WHEN l_orderkey % 107 = 2 THEN NULL WHEN l_orderkey % 109 = 3 THEN -l_partkey "
+        "ELSE l_partkey END AS bigint) AS product_id",
         "CAST(CASE WHEN l_orderkey % 127 = 6 THEN 0 ELSE l_quantity END AS int) AS quantity",
         f"CAST(p_retailprice AS {MONEY}) AS unit_price",
         f"CAST(CAST(l_quantity AS {MONEY}) * CAST(p_retailprice AS {MONEY}) + {surcharge} AS {MONEY}) AS total_amount",
@@ -85,7 +85,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = f"CAST(p_retailprice AS {MONEY})"
     return table(spark, sf_dir, "part").selectExpr(
-        "CAST(p_partkey AS int) AS product_id",
+        "CAST(p_partkey AS bigint) AS product_id",
         "p_name AS product_name",
         "p_type AS category",
         f"{price} AS price",
