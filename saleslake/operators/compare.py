@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -35,6 +35,75 @@ def difference_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def bucket_of(columns: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row by the values of some columns; equal rows share one."""
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).alias("_bucket")
+
+
+def bucket_digests(df: DataFrame, columns: Sequence[str], digest: Column, buckets: int) -> DataFrame:
+    """Rows and an order-insensitive digest of each bucket: a small aggregate, combined map-side."""
+    return df.groupBy(bucket_of(columns, buckets)).agg(F.count(F.lit(1)).alias("rows"), F.sum(digest).alias("digest"))
+
+
+def differing_buckets(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row from two sides' ``bucket_digests``: rows of each, and the buckets that differ."""
+    a, b = left.alias("a"), right.alias("b")
+    same = F.col("a.rows").eqNullSafe(F.col("b.rows")) & F.col("a.digest").eqNullSafe(F.col("b.digest"))
+    return a.join(b, "_bucket", "full").agg(
+        F.coalesce(F.sum("a.rows"), F.lit(0)).alias("rows_left"),
+        F.coalesce(F.sum("b.rows"), F.lit(0)).alias("rows_right"),
+        F.collect_list(F.when(~same, F.col("_bucket"))).alias("buckets"),
+    )
+
+
+def bucket_difference(
+    left: DataFrame, right: DataFrame, columns: Sequence[str], buckets: int, chosen: Sequence[int]
+) -> DataFrame:
+    """``multiset_difference`` of the rows in the chosen buckets, which are all that is shuffled."""
+    here = bucket_of(columns, buckets).isin(list(chosen))
+    return multiset_difference(left.where(here).select(*columns), right.where(here).select(*columns))
+
+
+def in_order(df: DataFrame, *order: tuple[str, bool]) -> DataFrame:
+    """One row: rows of a full sorted result, inversions, and whether it comes in the order.
+
+    ``order`` names columns with True for descending; NULLs come first when ascending and last when
+    descending, as in Spark. Rows are compared with their predecessor within each range partition, and the last row
+    of a partition with the first of the next that has rows; only the sort columns are shuffled, and no task
+    holds more than one of the partitions of the sort.
+    """
+    names = [name for name, _ in order]
+    placed = df.select(F.struct(*names).alias("_k"), F.monotonically_increasing_id().alias("_place"))
+    parts = placed.withColumn("_part", F.shiftright("_place", 33))
+    before = F.lag("_k").over(Window.partitionBy("_part").orderBy("_place"))
+    ranges = (
+        parts.withColumn("_wrong", _after(before, F.col("_k"), order))
+        .groupBy("_part")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if("_wrong").alias("wrong"),
+            F.min_by("_k", "_place").alias("first"),
+            F.max_by("_k", "_place").alias("last"),
+        )
+    )
+    last = F.lag("last").over(Window.orderBy("_part"))  # one row per partition of the sort
+    crossed = ranges.withColumn("wrong", F.col("wrong") + _after(last, F.col("first"), order).cast("long"))
+    wrong = F.coalesce(F.sum("wrong"), F.lit(0))
+    return crossed.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), wrong.alias("inversions"), (wrong == 0).alias("ordered")
+    )
+
+
+def _after(a: Column, b: Column, order: Sequence[tuple[str, bool]]) -> Column:
+    """Whether key struct ``a`` belongs behind ``b``; no ``a`` (NULL) belongs behind nothing."""
+    found = F.lit(False)
+    for name, descending in reversed(order):
+        x, y = (b[name], a[name]) if descending else (a[name], b[name])
+        greater = F.coalesce(x > y, x.isNotNull() & y.isNull())
+        found = greater | (x.eqNullSafe(y) & found)
+    return a.isNotNull() & found
+
+
 def _entries(wide: DataFrame) -> DataFrame:
     pairs = [F.struct(F.lit(c).alias("check_name"), F.col(c).alias("rows")) for c in wide.columns]
     return wide.select(F.inline(F.array(*pairs)))

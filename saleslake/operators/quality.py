@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from saleslake.errors import QualityError
 from saleslake.functions.expressions import NO_CODES_SQL, any_sql, codes_sql, row_digest
-from saleslake.operators import rules as R
+from saleslake.operators import compare, rules as R
 from saleslake.operators.canonical import canonical
 from saleslake.operators.lookup import MAX_BROADCAST_ROWS, is_duplicated, key_statistics, lookup
 from saleslake.operators.rules import MODULES, QualitySpec, rules_for
 from saleslake.sources.contracts import ROW_ID
 
+#: Buckets of rows whose digests are compared, and rows that an error names.
+BUCKETS, NAMED = 4096, 3
+
 # The quality columns of a flagged table.
 PASS_COLUMN = {
     R.COMPLETENESS: "completeness_pass",
@@ -181,17 +184,32 @@ def count_and_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def assert_same_rows(before: DataFrame, after: DataFrame, what: str) -> int:
+def assert_same_rows(before: DataFrame, after: DataFrame, what: str, exact_share: float = 0.0) -> int:
     """Row count and source values of two layers must agree; returns the row count.
 
-    A cheap guard: values are compared by an order-insensitive digest (``row_digest``).
+    Each side is read once for a digest per bucket of rows (``row_digest``). The rows of buckets that differ
+    are compared exactly, and the error names some of them. Beyond that, ``exact_share`` of the buckets
+    that agree are compared exactly too (1.0: all rows), for changes that a digest could miss.
     """
     columns = source_columns(before)
     require_columns(after, columns, what)
-    a = count_and_digest(before, columns).first()
-    b = count_and_digest(after, columns).first()
-    if a["rows"] != b["rows"]:
-        raise QualityError(f"{what}: {a['rows']} rows became {b['rows']}")
-    if a["digest"] != b["digest"]:
-        raise QualityError(f"{what}: source values changed")
-    return a["rows"]
+    sides = (compare.bucket_digests(df, columns, row_digest(columns), BUCKETS) for df in (before, after))
+    found = compare.differing_buckets(*sides).first()
+    chosen = found["buckets"] or list(range(round(BUCKETS * exact_share)))
+    rows = f"{found['rows_left']} rows became {found['rows_right']}"
+    if chosen:
+        changed = compare.bucket_difference(before, after, columns, BUCKETS, chosen).limit(NAMED).collect()
+        if changed:
+            lost = found["rows_left"] != found["rows_right"]
+            named = "; ".join(_named(r) for r in changed)
+            raise QualityError(f"{what}: {rows if lost else 'source values changed'}, for example {named}")
+    if found["buckets"]:  # the exact comparison has the last word
+        raise QualityError(f"{what}: {rows}, and digests differ where rows do not; a layer changed while it was read")
+    return found["rows_left"]
+
+
+def _named(row) -> str:
+    """A row of a difference by its row id, or by its first column (the key) where it has none."""
+    values = row.asDict()
+    name = ROW_ID if ROW_ID in values else row.__fields__[0]
+    return f"{name} {values[name]} ({values['only_left']} only before, {values['only_right']} only after)"

@@ -383,6 +383,28 @@ def _(spark, d):
     )
 
 
+@query(
+    "j_exact_guard",
+    oracle.query(
+        "SELECT order_id, quantity, CAST(greatest(sum(n), 0) AS BIGINT) AS only_before, "
+        "CAST(greatest(-sum(n), 0) AS BIGINT) AS only_after FROM (SELECT order_id, quantity, 1 AS n FROM raw_orders "
+        "UNION ALL SELECT order_id, CASE WHEN order_id % 1009 = 7 THEN quantity + 1 ELSE quantity END, -1 "
+        "FROM raw_orders) GROUP BY 1, 2 HAVING sum(n) <> 0"
+    ),
+)
+def _(spark, d):
+    """Some quantities change on the way; only the buckets whose digests differ are compared row by row."""
+    orders = td.orders(spark, d)
+    columns = ["order_id", "quantity"]
+    changed = F.when(F.col("order_id") % 1009 == 7, F.col("quantity") + 1).otherwise(F.col("quantity"))
+    after = td.silver(spark, d, "orders").withColumn("quantity", changed)
+    buckets = quality.BUCKETS
+    sides = [compare.bucket_digests(x, columns, E.row_digest(columns), buckets) for x in (orders, after)]
+    found = compare.differing_buckets(*sides).first()["buckets"]
+    rows = compare.bucket_difference(orders, after, columns, buckets, found)
+    return rows.withColumnsRenamed({"only_left": "only_before", "only_right": "only_after"})
+
+
 # --- aggregates -----------------------------------------------------------------------------
 
 
@@ -676,6 +698,32 @@ def _(spark, d):
     return found.withColumnRenamed("rows", "n_rows")
 
 
+@query(
+    "t_full_order_verified",
+    oracle.query(
+        "SELECT 'sorted' AS variant, count(*) AS n_rows, CAST(0 AS BIGINT) AS inversions, TRUE AS ordered FROM raw_customers "
+        "UNION ALL SELECT 'planted', count(*), 1, FALSE FROM raw_customers"
+    ),
+)
+def _(spark, d):
+    """All customers by segment and id, descending ids; in the second variant the last row belongs to the front."""
+    order = [("customer_segment", False), ("customer_id", True)]
+    rows = td.customers(spark, d).select(*(name for name, _ in order))
+    full = rows.orderBy(*(F.col(n).desc() if desc else F.col(n).asc() for n, desc in order))
+    last = full.tail(1)[0]
+    moved = (F.col("customer_segment") == last["customer_segment"]) & (F.col("customer_id") == last["customer_id"])
+    planted = full.withColumn("customer_segment", F.when(moved, "").otherwise(F.col("customer_segment")))
+    variants = {"sorted": full, "planted": planted}
+    return checks.union(
+        [
+            compare.in_order(df, *order).select(
+                F.lit(name).alias("variant"), F.col("rows").alias("n_rows"), "inversions", "ordered"
+            )
+            for name, df in variants.items()
+        ]
+    )
+
+
 # --- set operations -------------------------------------------------------------------------
 
 
@@ -683,8 +731,8 @@ def _(spark, d):
     "u_except_all",
     oracle.query(
         "SELECT 'left' AS side, * FROM (SELECT customer_id, country FROM raw_customers EXCEPT ALL "
-        "SELECT CAST(c_custkey AS INTEGER), n_name FROM customer JOIN nation ON c_nationkey = n_nationkey) "
-        "UNION ALL SELECT 'right', * FROM (SELECT CAST(c_custkey AS INTEGER), n_name FROM customer JOIN nation "
+        "SELECT CAST(c_custkey AS BIGINT), n_name FROM customer JOIN nation ON c_nationkey = n_nationkey) "
+        "UNION ALL SELECT 'right', * FROM (SELECT CAST(c_custkey AS BIGINT), n_name FROM customer JOIN nation "
         "ON c_nationkey = n_nationkey EXCEPT ALL SELECT customer_id, country FROM raw_customers)"
     ),
 )
