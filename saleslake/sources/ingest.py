@@ -5,9 +5,11 @@ from __future__ import annotations
 import csv
 import logging
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from itertools import chain, islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -31,8 +33,8 @@ SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 ERROR_TEXT_LIMIT = 2000
 BOM = b"\xef\xbb\xbf"
-#: Part files whose headers are read at a time.
-READERS = 16
+#: Part files whose headers are read at a time, and faulty ones that an error names.
+READERS, NAMED = 64, 3
 
 
 @dataclass(frozen=True)
@@ -53,12 +55,14 @@ def source_files(spark: SparkSession, path: str) -> DataFrame:
         raise IngestError(f"source {path} was not found or cannot be listed") from error
 
 
-def check_source(spark: SparkSession, path: str) -> list[str]:
-    """The source has to exist and hold at least one byte; returns its non-empty files."""
-    found = source_files(spark, path).where("length > 0").select("path").orderBy("path").collect()
-    if not found:
+def check_source(spark: SparkSession, path: str) -> Iterator[str]:
+    """The non-empty files of a source, in order and a few at a time; it must have one."""
+    found = source_files(spark, path).where("length > 0").select("path").orderBy("path")
+    paths = (row["path"] for row in found.toLocalIterator())
+    first = next(paths, None)
+    if first is None:
         raise IngestError(f"source {path} is empty; an empty table will not be written")
-    return [r["path"] for r in found]
+    return chain([first], paths)
 
 
 def first_line(spark: SparkSession, file: str) -> bytes:
@@ -82,18 +86,22 @@ def header_names(line: bytes) -> list[str]:
     return next(csv.reader([text], delimiter=CSV_DIALECT["sep"], quotechar=CSV_DIALECT["quote"]), [])
 
 
-def read_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """The header of every part file of a source. Like listing them, this touches no data rows."""
+def check_headers(spark: SparkSession, path: str, contract: EntityContract) -> None:
+    """Every part file must have the contract's header, and none a byte-order mark.
+
+    Only headers are read, READERS files at a time; what is kept of them are the first NAMED faults.
+    """
     files = check_source(spark, path)
+    problems: list[str] = []
     with ThreadPoolExecutor(READERS) as pool:
-        lines = pool.map(lambda file: first_line(spark, file), files)
-    return {file: header_names(line) for file, line in zip(files, lines, strict=True)}
-
-
-def check_headers(spark: SparkSession, path: str, contract: EntityContract) -> None:
-    """Every part file must have the contract's header, and none a byte-order mark."""
-    for file, names in read_headers(spark, path).items():
-        check_header(names, contract, file)
+        while (some := list(islice(files, READERS))) and len(problems) < NAMED:
+            for file, line in zip(some, pool.map(lambda f: first_line(spark, f), some), strict=True):
+                try:
+                    check_header(header_names(line), contract, file)
+                except IngestError as error:
+                    problems.append(str(error))
+    if problems:
+        raise IngestError("; ".join(problems[:NAMED]))
 
 
 def check_header(names: list[str], contract: EntityContract, path: str) -> None:
@@ -165,7 +173,7 @@ def error_text(error: Exception) -> str:
 
 
 def _stage(
-    spark: SparkSession, config: LakeConfig, table: str, ingest_id: str, at: datetime
+    spark: SparkSession, config: LakeConfig, table: str, ingest_id: str, at: datetime, checked: bool
 ) -> tuple[str, Landed]:
     """Land one source under a staging name and reconcile it; the data is scanned once, by the write.
 
@@ -176,7 +184,7 @@ def _stage(
     source = config.source(contract.filename)
     rows, staged = 0, None
     try:
-        raw = read_source(spark, source, contract)
+        raw = (scan_csv if checked else read_source)(spark, source, contract)
         if raw.isEmpty():
             raise IngestError(f"source {source} has a header but 0 data rows")
         seen = Observation(f"ingest_{table}")
@@ -204,8 +212,13 @@ def _audit_failure(spark, config, ingest_id, source, table, rows, at, error) ->
         LOG.exception("no audit row for the failed ingest of %s", table)
 
 
-def _land(spark: SparkSession, config: LakeConfig, tables, ingest_id: str | None, at: datetime | None):
-    """Stage all tables, then swap them in together; the old tables stay until all are checked."""
+def _land(
+    spark: SparkSession, config: LakeConfig, tables, ingest_id: str | None, at: datetime | None, checked: bool = False
+) -> list[Landed]:
+    """Stage all tables, then swap them in together; the old tables stay until all are checked.
+
+    checked: the headers of the sources were read just before.
+    """
     lake.recover(spark, config, "bronze")
     ingest_id = ingest_id or str(uuid.uuid4())
     at = at or datetime.now(timezone.utc)
@@ -213,7 +226,7 @@ def _land(spark: SparkSession, config: LakeConfig, tables, ingest_id: str | None
     landed = []
     try:
         for table in tables:
-            name, one = _stage(spark, config, table, ingest_id, at)
+            name, one = _stage(spark, config, table, ingest_id, at, checked)
             staged[one.target] = name
             landed.append(one)
         try:
@@ -253,4 +266,4 @@ def ingest_all(
 ) -> list[Landed]:
     """Preflight everything, stage all entities under one run id, then swap all of them in."""
     preflight(spark, config)
-    return _land(spark, config, list(CONTRACTS), ingest_id, at)
+    return _land(spark, config, list(CONTRACTS), ingest_id, at, checked=True)
