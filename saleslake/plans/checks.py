@@ -1,4 +1,4 @@
-"""Reconciliation between the layers. Every check is a row: expected, actual, status, critical."""
+"""Reconciliation between the layers. Every check is a row: expected, actual, status, notes, critical."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from saleslake.operators.compare import issue_instances, profile
 from saleslake.operators.lookup import orphan_counts
 from saleslake.operators.metrics import PHYSICAL_ROW, TABLE_OUTCOME
-from saleslake.operators.quality import ALL_CODES, FAIL, PASS, RESULT
-from saleslake.operators.rules import RI
+from saleslake.operators.quality import ALL_CODES, FAIL, PASS, PASS_COLUMN, RESULT
+from saleslake.operators.rules import COMPLETENESS, RI
 from saleslake.functions.expressions import quality_code, sql_text
 from saleslake.plans import serving
 from saleslake.plans.gold import SEGMENTS, qualifying
@@ -21,20 +21,23 @@ from saleslake.sources.contracts import AUDIT_TABLE, CONTRACTS, ROW_ID
 from saleslake.sources.ingest import SUCCESS
 from saleslake.sources.lake import LakeConfig
 
-CHECK_SCHEMA = "check_name string, expected string, actual string, status string, critical boolean"
+CHECK_SCHEMA = "check_name string, expected string, actual string, status string, notes string, critical boolean"
 
 
 def _status(expected: Column, actual: Column) -> Column:
     return F.when(expected.eqNullSafe(actual), F.lit(PASS)).otherwise(F.lit(FAIL))
 
 
-def compared(df: DataFrame, check: Column, expected: Column, actual: Column, critical: bool = True) -> DataFrame:
-    """One check per row of ``df``."""
+def compared(
+    df: DataFrame, check: Column, expected: Column, actual: Column, critical: bool = True, notes: str = ""
+) -> DataFrame:
+    """One check per row of ``df``; notes say what a reader of a failure has to know."""
     return df.select(
         check.alias("check_name"),
         expected.cast("string").alias("expected"),
         actual.cast("string").alias("actual"),
         _status(expected, actual).alias("status"),
+        F.lit(notes).alias("notes"),
         F.lit(critical).alias("critical"),
     )
 
@@ -42,23 +45,24 @@ def compared(df: DataFrame, check: Column, expected: Column, actual: Column, cri
 def known(spark: SparkSession, facts: list[tuple[str, object, object]], critical: bool = True) -> DataFrame:
     """Checks whose two sides are catalog facts already at hand."""
     rows = [
-        (name, str(expected), str(actual), PASS if expected == actual else FAIL, critical)
+        (name, str(expected), str(actual), PASS if expected == actual else FAIL, "from the catalog", critical)
         for name, expected, actual in facts
     ]
     return spark.createDataFrame(rows, CHECK_SCHEMA)
 
 
-def from_row(row: DataFrame, checks: list[tuple[str | Column, Column, Column]]) -> DataFrame:
-    """Several checks over the columns of each row of a frame."""
+def from_row(row: DataFrame, checks: list[tuple]) -> DataFrame:
+    """Several checks (name, expected, actual[, notes]) over the columns of each row of a frame."""
     entries = [
         F.struct(
             F.lit(name).alias("check_name"),
             expected.cast("string").alias("expected"),
             actual.cast("string").alias("actual"),
             _status(expected, actual).alias("status"),
+            F.lit("".join(notes)).alias("notes"),
             F.lit(True).alias("critical"),
         )
-        for name, expected, actual in checks
+        for name, expected, actual, *notes in checks
     ]
     return row.select(F.inline(F.array(*entries)))
 
@@ -100,7 +104,7 @@ def preserved(before: DataFrame, after: DataFrame, layer: str) -> DataFrame:
     """Profile entries of two layers must be equal: no defect was lost or invented."""
     pair = before.alias("b").join(after.alias("a"), "check_name", "full")
     name = F.concat(F.lit(f"{layer}."), F.col("check_name"))
-    return compared(pair, name, F.col("b.rows"), F.col("a.rows"))
+    return compared(pair, name, F.col("b.rows"), F.col("a.rows"), notes="no defect is lost or invented on the way")
 
 
 def source_checks(profiled: DataFrame, expected: Mapping[str, int]) -> DataFrame:
@@ -129,10 +133,24 @@ def audit_checks(audit: DataFrame, rows: DataFrame) -> DataFrame:
 
     ``rows`` holds table_name and its counted rows.
     """
-    entry = rows.alias("r").join(latest_run(audit).alias("m"), "table_name", "left")
+    last = latest_run(audit)
+    entry = rows.alias("r").join(last.alias("m"), "table_name", "left")
+    sides = rows.select("table_name", F.lit("wanted").alias("side")).unionAll(
+        last.select("table_name", F.lit("covered"))
+    )
+    tables = sides.agg(
+        *(
+            F.concat_ws(",", F.array_sort(F.collect_list(F.when(F.col("side") == side, F.col("table_name"))))).alias(side)
+            for side in ("wanted", "covered")
+        )
+    )
     prefix = F.concat(F.lit("bronze.audit."), F.col("table_name"))
     return union(
         [
+            from_row(
+                tables,
+                [("bronze.audit.tables", F.col("wanted"), F.col("covered"), "the tables of the latest run, each once")],
+            ),
             compared(entry, F.concat(prefix, F.lit(".row_count")), F.col("r.rows"), F.col("m.row_count")),
             compared(entry, F.concat(prefix, F.lit(".status")), F.lit(SUCCESS), F.col("m.status")),
             compared(
@@ -167,6 +185,11 @@ def _row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def _null_emails(customers: DataFrame) -> DataFrame:
+    found = customers.agg(F.count_if(F.col("email").isNull()).alias("null_emails"))
+    return found.withColumn("table_name", F.lit("customers"))
+
+
 def bronze_checks(spark: SparkSession, config: LakeConfig, expected: DataFrame, as_of: date) -> DataFrame:
     """``expected`` is the profile of the sources: everything in it has to be found in the tables."""
     raw = {t: lake.read_table(spark, config, "bronze", t) for t in CONTRACTS}
@@ -198,6 +221,7 @@ def silver_checks(
 ) -> DataFrame:
     """Rows against the raw layer, flags against the metrics, and NULL keys that are no orphans."""
     code = quality_code(RI, "orders", "customer_id_orphan")
+    no_email = quality_code(COMPLETENESS, "customers", "email")
     absent = "customer_id IS NULL"
     # One aggregate per flagged table gives all that is asked of it.
     per_table = union(
@@ -206,6 +230,9 @@ def silver_checks(
                 df,
                 rows="count(1)",
                 fails=f"count_if({RESULT} = '{FAIL}')",
+                no_emails=f"count_if(NOT {PASS_COLUMN[COMPLETENESS]} AND array_contains({ALL_CODES}, '{no_email}'))"
+                if t == "customers"
+                else "0L",
                 nulls=f"count_if({absent})" if t == "orders" else "0L",
                 not_orphans=f"count_if({absent} AND NOT array_contains({ALL_CODES}, '{code}'))"
                 if t == "orders"
@@ -218,16 +245,19 @@ def silver_checks(
     entry = (
         _row_counts(raw)
         .withColumnRenamed("rows", "raw_rows")
+        .join(_null_emails(raw["customers"]), "table_name", "left")
         .join(per_table, "table_name", "left")
         .join(outcome, "table_name", "left")
     )
+    of_customers = F.when(F.col("table_name") == "customers", F.lit("silver.customers.email_fail_rows"))
     of_orders = F.when(F.col("table_name") == "orders", F.lit("silver.orders.null_fk_not_orphan"))
     found = from_row(
         entry,
         [
             (F.format_string("silver.%s.rows", "table_name"), F.col("raw_rows"), F.col("rows")),
             (F.format_string("silver.%s.fail_rows", "table_name"), F.col("fail_count"), F.col("fails")),
-            (of_orders, F.col("nulls"), F.col("not_orphans")),
+            (of_customers, F.col("null_emails"), F.col("no_emails"), "rows without email fail completeness"),
+            (of_orders, F.col("nulls"), F.col("not_orphans"), "a missing customer is completeness, no orphan"),
         ],
     )
     frames = [found.where(F.col("check_name").isNotNull())]
@@ -359,6 +389,18 @@ def serving_checks(gold: Mapping[str, DataFrame], segments: tuple[str, ...], cat
             domain_values=f"count_if(customer_segment IN ({values}))",
         ),
     )
+    types = serving.segment_counts(gold["customer_segmentation"]).agg(
+        F.concat_ws(",", F.array_sort(F.collect_set("segment_type"))).alias("types")
+    )
+    known_types = ",".join(sorted(s for s, _ in SEGMENTS))
+    frames.append(
+        from_row(types, [("serving.segment_types", F.lit(known_types), F.col("types"), "the closed list of segments")])
+    )
+    values = one_row(
+        _measures(sales, categories="count(DISTINCT category)"),
+        _measures(serving.filter_values(sales, "category"), offered="count(category)"),
+    )
+    frames.append(same_values(values, [("serving.category_values", "categories", "offered")]))
     frames.append(
         same_values(
             row,

@@ -112,6 +112,7 @@ SELECT concat('bronze.', check_name) AS check_name, CAST(n_rows AS VARCHAR) AS e
 FROM ({PROFILE_SQL})
 UNION ALL SELECT concat('bronze.', t, '.row_id_unique'), CAST(n AS VARCHAR), CAST(n AS VARCHAR) FROM entity_rows
 UNION ALL SELECT concat('bronze.audit.', t, '.row_count'), CAST(n AS VARCHAR), CAST(n AS VARCHAR) FROM entity_rows
+UNION ALL SELECT 'bronze.audit.tables', string_agg(t, ',' ORDER BY t), 'customers,orders,products' FROM entity_rows
 UNION ALL SELECT concat('bronze.audit.', t, '.status'), 'SUCCESS', 'SUCCESS' FROM entity_rows
 UNION ALL SELECT concat('bronze.audit.', t, '.ingested_at_present'), 'true', 'true' FROM entity_rows
 UNION ALL SELECT concat('bronze.audit.', t, '.error_message'), NULL, NULL FROM entity_rows
@@ -136,6 +137,8 @@ _SILVER_SQL = f"""
 SELECT concat('silver.', t, '.rows') AS check_name, CAST(n AS VARCHAR) AS expected, CAST(n AS VARCHAR) AS actual FROM entity_rows
 UNION ALL SELECT concat('silver.', table_name, '.fail_rows'), CAST(fail_count AS VARCHAR), CAST(fail_count AS VARCHAR)
   FROM ({oracle.metric_counts()}) WHERE population_kind = 'table_outcome'
+UNION ALL SELECT 'silver.customers.email_fail_rows', CAST(count(*) FILTER (WHERE email IS NULL) AS VARCHAR),
+  CAST(count(*) FILTER (WHERE list_contains(completeness_codes, 'completeness:customers.email')) AS VARCHAR) FROM silver_customers
 UNION ALL SELECT 'silver.orders.null_fk_not_orphan', CAST(count(*) AS VARCHAR), CAST(count(*) FILTER (WHERE NOT
   list_contains(failed_checks, 'ri:orders.customer_id_orphan')) AS VARCHAR) FROM silver_orders WHERE customer_id IS NULL
 UNION ALL SELECT 'silver.orders.customer_id_orphan', CAST(count(*) AS VARCHAR), CAST(count(*) AS VARCHAR)
@@ -215,6 +218,9 @@ _SERVING_SQL = " UNION ALL ".join(
     [
         "SELECT 'serving.top.at_most_n' AS check_name, 'true' AS expected, 'true' AS actual",
         "SELECT 'serving.top.order', 'true', 'true'",
+        "SELECT 'serving.segment_types', 'High-Value,Inactive,One-Time,Repeat', string_agg(segment_type, ',' ORDER BY segment_type) "
+        "FROM gold_segments",
+        _check("serving.category_values", *["(SELECT count(DISTINCT category) FROM gold_sales)"] * 2),
         _check("serving.distribution.population", _CUSTOMERS, _CUSTOMERS),
         _check("serving.histogram.population", _CUSTOMERS, _CUSTOMERS),
         _check("serving.segments.rows", "4", "(SELECT count(*) FROM gold_segments)"),

@@ -1,10 +1,13 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from saleslake.operators.metrics import silver_metrics
+from saleslake.operators.quality import QUALITY_COLUMNS
 from saleslake.operators.canonical import canonical, canonical_by_rank
 from saleslake.plans import checks, gold, serving
+from saleslake.sources.contracts import AUDIT_SCHEMA
 from tests.helpers import D, flag_all, raw_fixture
 
 
@@ -159,3 +162,26 @@ def test_distribution_and_histogram(tables):
 def test_serving_checks(tables):
     found = checks.serving_checks(tables, ("Premium", "Standard", "Basic"), "Home")
     assert rows(found.where("status = 'FAIL'"), "check_name") == []
+
+
+def test_checks_fail_on_a_table_too_many_and_unflagged_emails(spark, silver):
+    names = ("customers", "orders", "products", "returns")
+    at = datetime(2026, 1, 1)
+    frame = spark.createDataFrame([("run", f"{n}.csv", n, 1, at, "SUCCESS", None) for n in names], AUDIT_SCHEMA)
+    counted = spark.createDataFrame([(n, 1) for n in names[:3]], "table_name string, rows long")
+
+    def one(found, name):
+        return found.where(F.col("check_name") == name).first()
+
+    found = one(checks.audit_checks(frame, counted), "bronze.audit.tables")
+    assert (found["status"], found["actual"]) == ("FAIL", "customers,orders,products,returns")
+    assert "latest run" in found["notes"]
+    good = one(checks.audit_checks(frame.where("table_name <> 'returns'"), counted), "bronze.audit.tables")
+    assert good["status"] == "PASS"
+
+    raw = {t: df.drop(*[c for c in df.columns if c in QUALITY_COLUMNS]) for t, df in silver.items()}
+    metrics = silver_metrics(spark, silver)
+    blind = silver | {"customers": silver["customers"].withColumn("completeness_pass", F.lit(True))}
+    name = "silver.customers.email_fail_rows"
+    assert one(checks.silver_checks(raw, silver, metrics), name)["status"] == "PASS"
+    assert one(checks.silver_checks(raw, blind, metrics), name)["status"] == "FAIL"
