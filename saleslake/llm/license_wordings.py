@@ -1,6 +1,7 @@
 """Wordings of common licenses by SPDX identifier: full texts, file headers and short forms.
 
-Full texts lie in ``license_texts``; one with an appendix ("How to apply") is there with and without it. A
+Full texts lie in ``license_texts`` (public texts, verbatim, read from wherever the package is, a zip
+included); one with an appendix ("How to apply") is there with and without it. A
 full text alone doesn't say whether later versions are allowed, so it counts as the identifier with -only.
 Short forms begin at "under" ("under the terms of the GNU LGPL v3 or later"), whatever verb stands before, but
 names alone ("under MIT") need one of a few verbs.
@@ -8,8 +9,8 @@ names alone ("under MIT") need one of a few verbs.
 
 from __future__ import annotations
 
+from importlib.resources import files
 from itertools import product
-from pathlib import Path
 
 _TEXTS = {
     "Apache-2.0": "Apache-2.0", "GPL-1": "GPL-1.0-only", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only",
@@ -22,7 +23,10 @@ _END = "END OF TERMS AND CONDITIONS"
 
 def _full_texts():
     for name, license_id in _TEXTS.items():
-        text = (Path(__file__).parent / "license_texts" / f"{name}.txt").read_text(encoding="utf-8")
+        try:
+            text = (files(__package__) / "license_texts" / f"{name}.txt").read_text(encoding="utf-8")
+        except OSError as error:
+            raise ImportError(f"the text of {license_id} is not part of this installation") from error
         yield license_id, text
         if _END in text:
             yield license_id, text[: text.index(_END)]

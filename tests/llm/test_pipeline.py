@@ -41,3 +41,25 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_the_package_works_from_a_zip(tmp_path):
+    """As with --py-files; without its license texts only the training-data queries are gone."""
+    import subprocess
+    import sys
+    import zipfile
+    from pathlib import Path
+
+    root = Path(__file__).parents[2]
+    for name, without in (("whole.zip", None), ("part.zip", "license_texts")):
+        with zipfile.ZipFile(tmp_path / name, "w") as packed:
+            for file in [root / "__spark_entry__.py", root / "corpus_pipeline.py", *(root / "saleslake").rglob("*")]:
+                if file.suffix in (".py", ".txt") and (without is None or without not in file.parts):
+                    packed.write(file, file.relative_to(root))
+        code = "import __spark_entry__ as e; print(len(e.queries()), 'op1_license_scan' in e.queries())"
+        found = subprocess.run(
+            [sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": str(tmp_path / name), "PATH": ""},
+            capture_output=True, text=True, check=True,
+        )
+        n, has = found.stdout.split()
+        assert int(n) > 180 and has == str(without is None)
