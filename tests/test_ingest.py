@@ -163,7 +163,7 @@ def test_a_failed_guard_leaves_the_old_silver_table(spark, config, monkeypatch):
     silver.build_silver(spark, config)
     before = sorted(map(str, lake.read_table(spark, config, "silver", "orders").collect()))
 
-    def broken(raw, new, what):
+    def broken(raw, new, what, exact_share):
         raise QualityError(what)
 
     monkeypatch.setattr(silver, "assert_same_rows", broken)
