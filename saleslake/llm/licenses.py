@@ -1,14 +1,23 @@
 """License scans by conditional compression.
 
 A document is read as lower-case words. A template of n words that appears with at most d differing words has
-one of d + 1 pieces of it unchanged, so every place where a piece appears proposes a stretch: as long as the
-template with room for d words on both sides, whatever stands around it. The template is aligned with that
-stretch and the differences are counted exactly: at most MAX_DIFFERENT of its words may differ, and no version
-number or other word that tells licenses apart (a template without that much tolerance has to appear word for
-word). A confirmed stretch is compressed alone and with the template as a raw zstandard dictionary; the bytes
-saved, as a share of what the template saves on itself, are its gain. Stretches are never longer than the
-template and its room, so the gain doesn't depend on the length of the document. Of confirmed templates whose
-stretches overlap, the one with most words stays, then the one with fewest differences, then most gain.
+one of d + 1 pieces of it unchanged, so every place where a piece appears proposes a block: as long as the
+template with room for d words on both sides, whatever stands around it (places of one template at most d words
+apart are one block). Each block is compressed alone and with the proposed template as a raw zstandard
+dictionary, both with the same parameters. Blocks are taken in the order of the bytes that the dictionary saves,
+and in this order confirmed by exact wording differences: at most MAX_DIFFERENT of the template's words may
+differ, and no version number or other word that tells licenses apart (a template without that much tolerance has
+to appear word for word). A confirmed stretch keeps its words: a block with a smaller reduction whose stretch
+meets it finds nothing there. So of templates that share their wording the one that explains most bytes of the
+text wins, and one that doesn't hold word by word gives way to the next. A winner is compared with the confirmed
+stretches that meet it and come within CLOSE bytes, which is what the coding of sizes alone may account for: of these
+the one with fewest differences stays, then the one with most words, then the first in rank. Equal reductions rank
+by more words, then by license and place. The rank never rejects a block, it only orders them; a block is never longer than the
+template and its room, so neither rank nor gain depends on the length of the document. The gain of a confirmed
+stretch is the bytes saved on it, as a share of what the template saves on itself.
+
+In a template of more than LONG words (a full text) only the first TITLE words are held to the rule for telling
+words. So a full text without its title is told from its kin by the number of differences alone.
 
 Nothing is shuffled; templates are fixed, small and sent with the task.
 
@@ -23,9 +32,10 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import re
-from bisect import bisect
+from bisect import bisect, bisect_left
 from collections import Counter
 from functools import cached_property
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +47,8 @@ from saleslake.llm.superkmers import Rows, columns
 
 MAX_DIFFERENT = 0.1
 LEVEL = 12
+#: Bytes of reduction that don't tell two templates apart.
+CLOSE = 8
 #: Words by which pieces are looked up; no template is shorter.
 HEAD = 3
 
@@ -179,13 +191,6 @@ def _telling(word: str) -> bool:
     return word in TELLING or not word.isalpha()
 
 
-_alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
-
-
-def size_alone(text: bytes) -> int:
-    return len(_alone.compress(text))
-
-
 class Template:
     def __init__(self, license_id: str, text: str) -> None:
         self.license, self.words = license_id, normal_words(text)
@@ -198,14 +203,21 @@ class Template:
         return [(a, tuple(self.words[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
 
     @cached_property
-    def compressor(self) -> zstandard.ZstdCompressor:
+    def compressors(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
+        """Without and with the template as dictionary; the parameters are the same, so sizes compare."""
         normal = " ".join(self.words).encode()
         content = zstandard.ZstdCompressionDict(normal, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        return zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False)
+        same = zstandard.ZstdCompressionParameters.from_level(
+            LEVEL, source_size=2 * len(normal), dict_size=len(normal), write_content_size=False
+        )
+        alone = zstandard.ZstdCompressor(compression_params=same)
+        return alone, zstandard.ZstdCompressor(compression_params=same, dict_data=content)
 
     def saved(self, words: list[str]) -> int:
+        """Bytes by which the template as dictionary makes the compressed words smaller."""
         normal = " ".join(words).encode()
-        return size_alone(normal) - len(self.compressor.compress(normal))
+        alone, given = self.compressors
+        return len(alone.compress(normal)) - len(given.compress(normal))
 
     @cached_property
     def own_gain(self) -> int:
@@ -285,6 +297,18 @@ def align(
     return different, j, end, bool(differs)
 
 
+class Block(NamedTuple):
+    """A block of a text, proposed by the pieces of a template found in it."""
+
+    saved: int
+    template: int
+    #: Least and greatest place of the template's first word.
+    first: int
+    last: int
+    low: int
+    high: int
+
+
 class Scanner:
     def __init__(self, templates=TEMPLATES) -> None:
         self.templates = [Template(*t) for t in templates]
@@ -304,37 +328,79 @@ class Scanner:
                 for k, at in self.pieces.get(tuple(words[i : i + size]), ()):
                     yield k, i - at
 
+    def blocks(self, words: list[str]) -> list[Block]:
+        """Bounded blocks that may hold a template, the one whose bytes its template saves most of first."""
+        places: dict[int, set[int]] = {}
+        for k, at in self.proposed(words):
+            places.setdefault(k, set()).add(at)
+        out = []
+        for k, found in places.items():
+            t = self.templates[k]
+            groups: list[list[int]] = []
+            for at in sorted(found):
+                if groups and at - groups[-1][0] <= t.most:
+                    groups[-1].append(at)
+                else:
+                    groups.append([at])
+            for group in groups:
+                low = max(0, group[0] - t.most)
+                high = min(len(words), group[-1] + len(t.words) + t.most)
+                part = words[low:high]
+                if sum((Counter(t.words) - Counter(part)).values()) <= t.most:
+                    out.append(Block(t.saved(part), k, group[0], group[-1], low, high))
+        out.sort(key=lambda x: (-x.saved, -len(self.templates[x.template].words), self.templates[x.template].license, x))
+        return out
+
+    def size(self, block: Block) -> int:
+        return len(self.templates[block.template].words)
+
+    def core(self, block: Block) -> int:
+        return self.size(block) - self.templates[block.template].most
+
+    def confirmed(self, words: list[str], block: Block) -> tuple[int, int, int] | None:
+        """Differences, begin and end of the block's nearest stretch, if it is near enough."""
+        t = self.templates[block.template]
+        if not t.most:
+            return 0, block.low, block.high
+        band = (block.first - block.low - t.most, block.last - block.low + t.most)
+        different, a, b, told = align(t.words, words[block.low : block.high], band, t.most)
+        return None if told or different > t.most or a >= b else (different, block.low + a, block.low + b)
+
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """(license, gain, differences, begin, end) of what a text has, by position in its words."""
         words = normal_words(text)
-        hits = set()
-        tried = set()
-        for k, at in self.proposed(words):
-            t = self.templates[k]
-            if not t.most:
-                hits.add((k, 0, at, at + len(t.words)))
-            elif (k, at) not in tried:
-                tried.add((k, at))
-                low = max(0, at - t.most)
-                part = words[low : max(0, at + len(t.words) + t.most)]
-                if sum((Counter(t.words) - Counter(part)).values()) > t.most:
-                    continue
-                band = (at - low - t.most, at - low + t.most)
-                different, a, b, told = align(t.words, part, band, t.most)
-                if not told and different <= t.most and a < b:
-                    hits.add((k, different, low + a, low + b))
-        found = [
-            (self.templates[k].license, self.templates[k].gain(words[a:b]), different, a, b)
-            for k, different, a, b in hits
-        ]
-        found.sort(key=lambda x: (-(x[4] - x[3]), x[2], -x[1], x[0], x[3]))
         kept: list[tuple[str, float, int, int, int]] = []
         begins: list[int] = []
-        for hit in found:
-            k = bisect(begins, hit[3])
-            if (not k or kept[k - 1][4] <= hit[3]) and (k == len(kept) or hit[4] <= begins[k]):
-                kept.insert(k, hit)
-                begins.insert(k, hit[3])
+
+        def free(begin: int, end: int) -> bool:
+            k = bisect_left(begins, end)
+            return not k or kept[k - 1][4] <= begin
+
+        def found_in(block: Block) -> tuple[int, int, int] | None:
+            # whatever is confirmed in the block has these words
+            sure = block.last + self.templates[block.template].most, block.first + self.core(block)
+            found = self.confirmed(words, block) if free(*sure) else None
+            return found if found and free(*found[1:]) else None
+
+        ranked = self.blocks(words)
+        places = sorted((block.first, k) for k, block in enumerate(ranked))
+        for block in ranked:
+            found = found_in(block)
+            if not found:
+                continue
+            best = (found[0], -self.size(block), 0, block, found)
+            near = places[bisect_left(places, (block.low - self.size(block),)) : bisect_left(places, (block.high,))]
+            for _, k in near:
+                other = ranked[k]
+                if other is not block and 0 <= block.saved - other.saved <= CLOSE:
+                    meets = found_in(other)
+                    if meets and meets[1] < found[2] and found[1] < meets[2]:
+                        best = min(best, (meets[0], -self.size(other), k + 1, other, meets))
+            _, _, _, block, (different, a, b) = best
+            t = self.templates[block.template]
+            k = bisect(begins, a)
+            kept.insert(k, (t.license, t.gain(words[a:b]), different, a, b))
+            begins.insert(k, a)
         return sorted(kept + spdx_tags(text), key=lambda x: x[3])
 
 

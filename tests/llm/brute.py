@@ -11,6 +11,7 @@ from math import log10
 import numpy as np
 import public_tokenizers
 import xxhash
+import zstandard
 from tokenizers import Tokenizer
 
 from saleslake.llm.quality_rules import STOP_WORDS
@@ -173,3 +174,51 @@ def mix(rows):
         full = int(target[source] // sizes[source]) if sizes[source] else 0
         out.append((doc_id, len(words(text)), sizes[source], target[source], full + (h in once[source])))
     return out
+
+
+def edits(a, b):
+    """Insertions, deletions and replacements between two lists."""
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        before = row
+    return before[-1]
+
+
+def licenses_in(words, templates, share, level, margin):
+    """(license, begin, end, differences) by every template on every stretch of a short text, most bytes saved first."""
+    found = []
+    for name, text in templates:
+        template = text.split()
+        most = int(share * len(template))
+        same = zstandard.ZstdCompressionParameters.from_level(
+            level, source_size=2 * len(text), dict_size=len(text), write_content_size=False
+        )
+        known = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        for begin in range(len(words)):
+            near = []
+            for size in range(len(template) - most, len(template) + most + 1):
+                if begin + size <= len(words):
+                    near.append((edits(template, words[begin : begin + size]), begin + size))
+            different, end = min(near, default=(most + 1, 0))
+            if different > most:
+                continue
+            block = " ".join(words[max(0, begin - most) : begin + len(template) + most]).encode()
+            alone = len(zstandard.ZstdCompressor(compression_params=same).compress(block))
+            given = len(zstandard.ZstdCompressor(compression_params=same, dict_data=known).compress(block))
+            found.append((given - alone, -len(template), name, different, begin, end))
+    found.sort(key=lambda x: (x[3], x[4]))
+    nearest = []  # of the stretches of one template that meet, the nearest stands for all
+    for hit in found:
+        if all(hit[2] != other[2] or hit[5] <= other[4] or other[5] <= hit[4] for other in nearest):
+            nearest.append(hit)
+    kept = []
+    for first in sorted(nearest):
+        free = [x for x in nearest if all(x[5] <= a or b <= x[4] for _, a, b, _ in kept)]
+        if first in free:
+            close = [x for x in free if 0 <= x[0] - first[0] <= margin and x[4] < first[5] and first[4] < x[5]]
+            _, _, name, different, begin, end = min(close, key=lambda x: (x[3], x[1], x[0]))
+            kept.append((name, begin, end, different))
+    return sorted(kept, key=lambda x: x[1])

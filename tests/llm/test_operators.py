@@ -1,6 +1,7 @@
 """Each operator against its plain version: NULLs, empty and long texts, ties, repeats, clashing names."""
 
 import math
+from importlib import resources
 
 import numpy as np
 import public_tokenizers
@@ -111,7 +112,7 @@ def test_common_wordings_of_licenses():
 
 @pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0"])
 def test_full_license_texts(name):
-    file = license_wordings.Path(license_wordings.__file__).parent / "license_texts" / f"{name}.txt"
+    file = resources.files("saleslake.llm") / "license_texts" / f"{name}.txt"
     words = file.read_text(encoding="utf-8").split()
     words[200::40] = ["changed"] * len(words[200::40])
     found = licenses._scanner(licenses.TEMPLATES).scan(" ".join(["before"] * 300 + words + ["after"] * 300))
@@ -119,6 +120,53 @@ def test_full_license_texts(name):
     assert best[0] == license_wordings._TEXTS[name] and best[2] > 0 and best[4] - best[3] > 0.9 * len(words)
 
 
+def test_the_size_reduction_picks_the_winner(monkeypatch):
+    first = [f"word{chr(97 + k)}" for k in range(20)]
+    second = ["other" if k in (4, 14) else word for k, word in enumerate(first)]
+    templates = (("First", " ".join(first)), ("Second", " ".join(second)))
+    assert [hit[0] for hit in licenses.Scanner(templates).scan("x " + " ".join(first))] == ["First"]
+    assert [hit[0] for hit in licenses.Scanner(templates).scan(" ".join(second) + " x")] == ["Second"]
+    saved = licenses.Template.saved
+    monkeypatch.setattr(licenses.Template, "saved", lambda self, words: -10 * saved(self, words))
+    # both are confirmed word by word; the rank alone decides
+    assert [hit[:1] + hit[2:3] for hit in licenses.Scanner(templates).scan(" ".join(first))] == [("Second", 2)]
+
+
+def test_license_scan_equals_every_template_on_every_stretch():
+    rng = np.random.default_rng(7)
+    stock = [chr(97 + k // 26) + chr(97 + k % 26) + "x" for k in range(300)]
+    base = [stock[k] for k in rng.integers(0, 300, 34)]
+    variant = [*base[:9], "changed", *base[10:24], "also", *base[25:]]
+    texts = [base[:24], base, variant, [stock[k] for k in rng.integers(0, 300, 12)], ["three", "plain", "words"]]
+    templates = tuple((f"L{k}", " ".join(words)) for k, words in enumerate(texts))
+    scanner = licenses.Scanner(templates)
+    for _ in range(60):
+        words: list[str] = []
+        for k in rng.integers(0, len(texts), 3):
+            words += [stock[x] for x in rng.integers(0, 300, rng.integers(0, 6))]
+            copy = list(texts[k])
+            for _ in range(rng.integers(0, 5)):
+                at = rng.integers(0, len(copy))
+                copy[at : at + rng.integers(0, 2)] = ["edit"] * rng.integers(0, 2)
+            words += copy
+        found = [(hit[0], hit[3], hit[4], hit[2]) for hit in scanner.scan(" ".join(words))]
+        wanted = brute.licenses_in(words, templates, licenses.MAX_DIFFERENT, licenses.LEVEL, licenses.CLOSE)
+        assert [(name, different) for name, _, _, different in found] == [(name, different) for name, _, _, different in wanted]
+        assert all(a < end and begin < b for (_, a, b, _), (_, begin, end, _) in zip(found, wanted, strict=True))
+
+
+def test_a_text_of_many_licenses_is_scanned_block_by_block(monkeypatch):
+    gpl = resources.files("saleslake.llm") / "license_texts" / "GPL-3.txt"
+    words = licenses.normal_words(gpl.read_text(encoding="utf-8"))
+    words[100::25] = ["changed"] * len(words[100::25])
+    aligned = []
+    align = licenses.align
+    monkeypatch.setattr(licenses, "align", lambda *a: aligned.append(1) or align(*a))
+    found = licenses.Scanner().scan(" ".join((words + ["between"] * 50) * 5))
+    assert [hit[0] for hit in found] == ["GPL-3.0-only"] * 5
+    assert len(aligned) < 100
+
+
 def test_bpe_equals_the_library(table, messy):
     long = [(200, "a" * 9_000, "x"), (201, "<|endoftext|>'re " * 900 + "!" * 5_000, "x"), (200, "a" * 9_000, "x")]
     rows = messy + long
