@@ -9,6 +9,11 @@ Two plans, chosen by a checked size:
   that heavy. So what is broadcast has a fixed bound and is copied at most twice that often, however big
   the data is. NULL keys, which can never match, are spread.
 
+Whether a key is duplicated is asked of every row, and almost none has such a key. Where the duplicated keys
+are too many to broadcast, a bitmap of their hashes is not (BITMAP_WORDS rows of two fixed-width columns, whatever
+the data): rows whose bit is not set are done without a shuffle, and only the others meet the exact keys in
+the shuffle join. For that the rows are read twice, once for each kind.
+
 What has to be known of the keys for several lookups (totals, duplicated and heavy keys) comes from one
 aggregate over the key columns, ``key_statistics``, before any join.
 """
@@ -26,6 +31,9 @@ MAX_BROADCAST_ROWS = 1_000_000
 SLICES = 2_000
 HEAVY_KEYS = 100_000
 ROWS_PER_TASK = 1_000_000
+#: Words of 64 bits of the bitmap of key hashes; with more than BITMAP_KEYS keys too many bits are set to be of use.
+BITMAP_WORDS = 1 << 19
+BITMAP_KEYS = BITMAP_WORDS * 64 // 2
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -169,19 +177,54 @@ def orphan_counts(df: DataFrame, key: str, parents: DataFrame, parent_key: str)
     return counts.join(known.distinct(), F.col(key) == F.col("_parent"), "left_anti")
 
 
+def _bit(key: str) -> str:
+    return f"pmod(xxhash64(`{key}`), {BITMAP_WORDS * 64}L)"
+
+
+def key_bitmap(keys: DataFrame, key: str) -> DataFrame:
+    """_word, _bits: the bits that the hashes of ``keys`` set, at most BITMAP_WORDS rows."""
+    bit = _bit(key)
+    words = keys.selectExpr(f"CAST({bit} DIV 64 AS int) AS _word", f"shiftleft(1L, CAST({bit} % 64 AS int)) AS _one")
+    return words.groupBy("_word").agg(F.bit_or("_one").alias("_bits"))
+
+
+def split_by_bitmap(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose key may be one of ``keys``, and those whose key is none (or NULL). No row is shuffled."""
+    bit = _bit(key)
+    bitmap = F.broadcast(key_bitmap(keys, key))
+    asked = df.join(bitmap, F.expr(f"CAST({bit} DIV 64 AS int) = _word"), "left")
+    seen = F.expr(f"`{key}` IS NOT NULL AND coalesce(shiftright(_bits, CAST({bit} % 64 AS int)) & 1L, 0L) = 1L")
+    return asked.where(seen).select(*df.columns), asked.where(~seen).select(*df.columns)
+
+
 def is_duplicated(
-    df: DataFrame, key: str, name: str, statistics: KeyStatistics | None = None, **options
+    df: DataFrame,
+    key: str,
+    name: str,
+    statistics: KeyStatistics | None = None,
+    *,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    **options,
 ) -> DataFrame:
     """Add boolean ``name``: the non-null key occurs on more than one row.
 
     Counting per key combines map-side, so no task ever holds all copies of a key. The duplicated
-    keys are checkpointed once and their number decides how they are attached.
+    keys are checkpointed once and their number decides how they are attached: broadcast, or by the salted join
+    for the rows that a bitmap of the keys lets through.
     """
     statistics = statistics or key_statistics(df, [key])
     copies = statistics.copies(key)
+    known = statistics.known[key]
     marks = copies.select(F.col(key).alias("_dup_key"))
-    marked = lookup(
-        df, marks, key, "_dup_key", other_rows=statistics.known[key], counts=copies,
-        total=statistics.total, **options,
-    )
-    return marked.withColumn(name, F.col("_dup_key").isNotNull()).drop("_dup_key")
+
+    def marked(rows: DataFrame) -> DataFrame:
+        met = lookup(
+            rows, marks, key, "_dup_key", other_rows=known, counts=copies, total=statistics.total,
+            max_broadcast_rows=max_broadcast_rows, **options,
+        )
+        return met.withColumn(name, F.col("_dup_key").isNotNull()).drop("_dup_key")
+
+    if known <= max_broadcast_rows or known > BITMAP_KEYS:
+        return marked(df)
+    candidates, others = split_by_bitmap(df, key, copies)
+    return marked(candidates).unionByName(others.withColumn(name, F.lit(False)))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from saleslake.operators import compare, lookup
-from saleslake.operators.canonical import canonical
+from saleslake.operators.canonical import canonical, canonical_by_rank
 from saleslake.sources.contracts import ROW_ID
 
 ROWS = 30_000
@@ -114,3 +114,27 @@ def test_cut_lineage_reads_the_reliable_checkpoint(spark):
     lineage = kept._jdf.queryExecution().toRdd().toDebugString()
     assert "ReliableCheckpointRDD" in lineage and "ShuffledRowRDD" not in lineage
     assert sorted(r["k"] for r in kept.collect()) == list(range(10))
+
+
+def test_canonical_rows_of_texts_equal_the_ranking_window(spark):
+    rows = [(None, "n", 1, 0), (1, None, 5, 3), (1, "later", 6, 9), (2, "b", None, 8), (2, "a", 7, 7), (3, "", 2, 4)]
+    rows += [(7, f"copy {k}", k, 100 - k) for k in range(50)]
+    df = spark.createDataFrame(rows, f"k int, name string, amount int, {ROW_ID} long")
+    for attributes in (["name"], ["name", "amount"], ["amount"], []):
+        found = sorted(map(str, canonical(df, "k", attributes).collect()))
+        assert found == sorted(map(str, canonical_by_rank(df, "k", attributes).collect()))
+    assert canonical(df.limit(0), "k", ["name"]).count() == 0
+
+
+def test_bitmap_lets_every_duplicated_key_through(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BITMAP_WORDS", 4)  # so few bits that unique keys share them
+    df = spark.range(2_000).select(
+        F.when(F.col("id") < 40, F.col("id") % 20).when(F.col("id") % 9 > 0, F.col("id")).alias("k"), F.col("id").alias(ROW_ID)
+    )
+    candidates, others = lookup.split_by_bitmap(df, "k", lookup.duplicated_keys(df, "k"))
+    assert 40 < candidates.count() < 400 and candidates.count() + others.count() == 2_000
+    assert others.where("k < 20").count() == 0
+    marked = lookup.is_duplicated(df, "k", "dup", max_broadcast_rows=0)
+    assert marked.columns == [*df.columns, "dup"]
+    assert marked.where("dup").count() == 40 and marked.where("NOT dup").count() == 1_960
+    assert lookup.is_duplicated(df.limit(0), "k", "dup", max_broadcast_rows=0).count() == 0

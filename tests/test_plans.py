@@ -4,8 +4,11 @@ import io
 from contextlib import redirect_stdout
 
 import pytest
+from pyspark.sql import functions as F
 
 from saleslake.operators import metrics
+from saleslake.operators.canonical import canonical
+from saleslake.operators.lookup import duplicated_keys, split_by_bitmap
 from saleslake.operators.quality import flag
 from saleslake.plans import gold, serving
 from saleslake.sources import lake, testdata as td
@@ -51,11 +54,35 @@ def test_big_parents_are_not_broadcast(written):
     text = plan(flagged)
     assert "_salt" in text
     assert flagged.count() == bronze["orders"].count()
-    # the statistics are checkpointed before, so the plan scans the fact once and joins it three times
-    assert text.count("plan_raw/orders") + text.count("plan_raw.db/orders") == 1
+    # the statistics are checkpointed before; the fact is read once for rows whose key may be duplicated, once for others
+    assert text.count("plan_raw/orders") + text.count("plan_raw.db/orders") == 2
     assert text.count("_salt#") and text.count(") SortMergeJoin") <= 2 * 4
 
 
+def test_rows_without_a_duplicated_key_are_not_shuffled(spark, written):
+    bronze, _ = written
+    orders = bronze["orders"]
+    copies = duplicated_keys(orders, "order_id")
+    candidates, others = split_by_bitmap(orders, "order_id", copies)
+    text = plan(others)
+    # the one exchange of rows is that of the bitmap's own keys; the orders meet it by a broadcast join
+    assert "BroadcastHashJoin LeftOuter" in text and "SortMergeJoin" not in text and "Python" not in text
+    duplicated = copies.agg(F.sum("copies")).first()[0]
+    assert duplicated <= candidates.count() <= duplicated + orders.count() // 100
+    assert candidates.count() + others.count() == orders.count()
+
+
+def test_canonical_rows_need_no_sort_aggregate(written):
+    bronze, _ = written
+    for table, key, attributes in (
+        ("customers", "customer_id", ["signup_date"]),
+        ("customers", "customer_id", ["customer_name", "signup_date"]),
+        ("products", "product_id", ["category"]),
+    ):
+        text = plan(canonical(bronze[table], key, attributes))
+        assert "HashAggregate" in text and "SortAggregate" not in text and "Window" not in text
+
+
 def test_aggregates_read_only_their_columns(written):
     _, silver = written
     text = plan(gold.daily_trends(silver["orders"]))
@@ -91,13 +118,14 @@ def test_top_products_need_no_global_sort(written):
 
 
 def test_category_filter_stands_below_the_top_n(written):
-    """The category is an output of the canonical aggregate, so the filter stops above that."""
+    """It reaches the scan that fetches the texts of canonical rows, but not the one that finds out which rows these are."""
     _, silver = written
     text = plan(serving.top_products(gold.sales_by_product(silver["orders"], silver["products"]), "PROMO"))
     assert text.index("TakeOrderedAndProject") < text.index("Filter")
     assert "PROMO" in text[text.index("Filter") :]
     scans = [line for line in text.splitlines() if line.startswith("PushedFilters")]
-    assert scans and not any("PROMO" in line for line in scans)
+    assert sum("PROMO" in line for line in scans) == 1
+    assert any("IsNotNull(product_id)" in line and "PROMO" not in line for line in scans)
 
 
 def test_row_metrics_are_one_aggregate(written):
