@@ -30,22 +30,33 @@ from saleslake.llm.superkmers import Rows, columns
 
 #: Share of a host's votes that a winning path has at least.
 SHARE = 0.1
+#: Parts of an article have at least PART of the text of the largest, and all parts NEARLY_ALL of that around them.
+PART, NEARLY_ALL = 0.3, 0.8
+#: Containers so far above a text that less than this part of it counts are not scored by it.
+LEAST_PART = 1e-12
 
 #: Tags whose content is never read (fixed values).
 RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "object", "canvas")
 #: Tags that are no part of an article.
-OUTSIDE = frozenset("head nav footer aside form menu dialog button select".split())
+OUTSIDE = frozenset("head title nav footer aside form menu dialog button select".split())
 #: Words of a class or id that name something that is no part of an article.
 OUTSIDE_WORDS = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising alert banner breadcrumb breadcrumbs "
     "comment comments consent cookie cookies copyright discussion disqus footer form gdpr legal login "
     "menu modal nav navbar navigation newsletter notice notices notification pagination pager popup "
-    "promo promoted promotion recommended recommendations related replies reply respond search share "
+    "promo promoted promotion recommended recommendations related replies reply respond responses search share "
     "sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget "
     "widgets".split()
 )
 #: Those of readers' texts; such a container is never taken for a wrapper of the article.
-READERS = frozenset("comment comments discussion disqus replies reply respond".split())
+READERS = frozenset("comment comments discussion disqus replies reply respond responses".split())
+#: Words beside those of readers' texts that only say that a page has or had some (comments-open).
+STATES = frozenset("open closed on off enabled disabled allowed with without has no".split())
+#: Words that mark any tag, also a paragraph or a span, as an advert or notice.
+NOTICES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "newsletter".split()
+)
 #: Words of a class or id of a page header; inside an article a header belongs to it.
 HEADER_WORDS = frozenset("header masthead topbar".split())
 #: Tags that make a path; other tags only end blocks or stand inside them.
@@ -59,37 +70,76 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
+#: Tags without an end, and those that end where the next one of their kind begins.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+CLOSES_ITSELF = frozenset("p li dt dd option".split())
 ARTICLE_WORDS = frozenset("article content entry main post story text".split())
 
+#: Inside a tag; a quote begins a value only after an equals sign.
+_REST = r"(?:[^>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[=\"'])*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<svg(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>"
+    r"|<svg(?=[\s/>])" + _REST + r"(?<=/)>"
     r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>"
+    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>" + _REST + r")>"
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
-_NAMES = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"(?<![\w-])(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_CUT = re.compile(r"<[/!?A-Za-z][^>]*\Z")
 _NUMBER = re.compile(r"\d+")
 
 
-#: SOFT: may be a wrapper of the whole page (has-sidebar, form); HARD: named as a part outside and nothing else.
-SOFT, HARD = 1, 2
+#: SOFT: may be a wrapper of the whole page (has-sidebar, form); HARD: named as a part outside and nothing else;
+#: TAG: a tag of such a part, whose text is never the article (an aside is, where a page has nothing else).
+SOFT, HARD, TAG = 1, 2, 3
 
 
 class Container:
-    """An open or closed element: its path, where its blocks begin and end, its score.
+    """An open or closed element: its place in the page, where its blocks begin and end, its score.
 
-    mark: what its tag, class or id says (nothing, SOFT or HARD); outside: whether it or one around it is no
-    part of an article.
+    mark: what its tag, class or id says (nothing, SOFT, HARD or TAG); weight: the highest mark of it and those
+    around it; outside: whether it or one around it is no part of an article. key: same for elements of one path.
     """
 
-    __slots__ = ("tag", "path", "parent", "first", "end", "score", "outside", "bonus", "mark")
-
-    def __init__(self, tag: str, path: str, parent: Container | None, first: int) -> None:
-        self.tag, self.path, self.parent, self.first, self.end = tag, path, parent, first, -1
-        self.score, self.outside, self.bonus, self.mark = 0.0, False, 1.0, 0
+    __slots__ = (
+        "tag", "label", "key", "parent", "first", "end", "score", "total", "outside", "bonus", "mark", "weight",
+        "article", "inner",
+    )
+
+    def __init__(self, tag: str, label: str, key: int, parent: Container | None, first: int) -> None:
+        self.tag, self.label, self.key, self.parent, self.first, self.end = tag, label, key, parent, first, -1
+        self.score, self.total, self.outside, self.bonus, self.mark, self.weight = 0.0, 0.0, False, 1.0, 0, 0
+        self.article = tag in ("article", "main") or bool(parent and parent.article)
+        self.inner = 0
+
+    def path(self) -> str:
+        """Generalised tags and classes from the body down."""
+        labels, node = [], self
+        while node.parent is not None:
+            labels.append(node.label)
+            node = node.parent
+        return "".join("/" + label for label in reversed(labels))
+
+
+def _said(rest: str) -> tuple[str, set[str], bool, bool, bool]:
+    """What the class and id of a tag say: generalised label, words, and whether a token names nothing but parts
+    outside, readers' texts, or an advert or notice."""
+    label, words = "", set()
+    only = readers = notice = False
+    for name, *values in _NAMES.findall(rest):
+        tokens = next((v for v in values if v), "").split()
+        for token in tokens:
+            said = {w.lower() for w in _WORD.findall(token)}
+            outside = bool(said) and said <= OUTSIDE_WORDS
+            only |= outside
+            notice |= outside and not said.isdisjoint(NOTICES)
+            readers |= not said.isdisjoint(READERS) and said.isdisjoint(STATES)
+            words |= said
+        mark = "." if name.lower() == "class" else "#"
+        label += "".join(mark + v for v in sorted({_NUMBER.sub("#", v) for v in tokens}))
+    return label, words, only, readers, notice
 
 
 class Page:
@@ -101,33 +151,27 @@ class Page:
         self.links: list[int] = []
         self.containers: list[Container] = []
         self.nodes: list[Container] = []
+        self.keys: dict[tuple[int, str], int] = {}
         self._parse(html)
         self._judge()
 
     def _open(self, tag: str, rest: str, top: Container) -> Container:
-        words: set[str] = set()
-        only = False
-        label = tag
-        for name, *values in _NAMES.findall(rest):
-            value = next((v for v in values if v), "")
-            for token in value.split():
-                said = {w.lower() for w in _WORD.findall(token)}
-                only |= bool(said) and said <= OUTSIDE_WORDS
-                words |= said
-            kinds = sorted({_NUMBER.sub("#", v) for v in value.split()})
-            label += "".join(("." if name.lower() == "class" else "#") + v for v in kinds)
-        node = Container(tag, f"{top.path}/{label}", top, len(self.texts))
-        within = top
-        while within is not None and within.tag not in ("article", "main"):
-            within = within.parent
+        label, words, only, readers, notice = _said(rest)
+        label = tag + label
+        key = self.keys.setdefault((top.key, label), len(self.keys) + 1)
+        node = Container(tag, label, key, top, len(self.texts))
         header = tag == "header" or not words.isdisjoint(HEADER_WORDS)
-        named = tag not in ("body", "article", "main")
         if tag in OUTSIDE:
-            node.mark = SOFT if tag == "form" else HARD
-        elif named and not words.isdisjoint(OUTSIDE_WORDS):
-            node.mark = HARD if only or not words.isdisjoint(READERS) else SOFT
-        elif named and header and within is None:
-            node.mark = HARD if tag == "header" else SOFT
+            node.mark = SOFT if tag == "form" else HARD if tag == "aside" else TAG
+        elif tag not in STRUCTURE:
+            node.mark = HARD if notice else 0
+        elif tag == "article":
+            # a class of an article tells more often what it is about; readers' texts are articles as well
+            node.mark = HARD if readers else SOFT if only else 0
+        elif tag not in ("body", "main") and not words.isdisjoint(OUTSIDE_WORDS):
+            node.mark = HARD if only or readers else SOFT
+        elif tag not in ("body", "main") and header and not top.article:
+            node.mark = TAG if tag == "header" else SOFT
         self.nodes.append(node)
         if tag in ("article", "main") or not words.isdisjoint(ARTICLE_WORDS):
             node.bonus = 1.5
@@ -136,12 +180,14 @@ class Page:
         return node
 
     def _parse(self, html: str) -> None:
-        root = top = Container("body", "", None, 0)
+        root = top = Container("body", "", 0, None, 0)
         self.containers.append(root)
         held: list[str] = []
         linked = 0
         link = False
         at = 0
+        opened: dict[str, list[Container]] = {}  # by tag, the innermost last
+        pre = 0
 
         def settle():
             nonlocal linked
@@ -170,81 +216,125 @@ class Page:
             tag = tag.lower()
             if tag == "a":
                 link = not m["close"]
-            if tag in INLINE:
-                continue
-            settle()
-            link = link and tag in ("br", "p")
+            elif tag == "pre":
+                pre = max(0, pre + (-1 if m["close"] else 1))
+            inside = opened.get(tag)
             if tag not in STRUCTURE:
+                # Kept open only if its class names an advert or notice; code has classes of its own kind.
+                marked = False
+                if m["close"]:
+                    if inside and inside[-1].inner:
+                        inside[-1].inner -= 1
+                    else:
+                        marked = bool(inside)
+                elif not m["rest"].endswith("/") and tag not in VOID and not pre:
+                    marked = "=" in m["rest"] and _said(m["rest"])[4]
+                    if inside and tag not in CLOSES_ITSELF and not marked:
+                        inside[-1].inner += 1
+                if tag in INLINE and not marked:
+                    continue
+                settle()
+                link = link and tag in ("br", "p")
+                if not m["close"] and inside and tag in CLOSES_ITSELF:
+                    top = self._close(inside[-1], top, opened)
+                if marked:
+                    if m["close"]:
+                        top = self._close(inside[-1], top, opened)
+                    else:
+                        top = self._open(tag, m["rest"], top)
+                        opened.setdefault(tag, []).append(top)
                 continue
+            settle()
+            link = False
+            if not m["close"] and top.tag == "p":
+                top = self._close(top, top, opened)  # a paragraph ends where such a tag begins
             if tag == "body":
                 # The root is the body; what was open before it (the head) ends.
                 while top is not root:
-                    top.end = len(self.texts)
-                    top = top.parent
+                    top = self._close(top, top, opened)
             elif not m["close"]:
                 if not m["rest"].endswith("/"):
                     top = self._open(tag, m["rest"], top)
-            else:
-                node = top
-                while node is not root and node.tag != tag:
-                    node = node.parent
-                if node is not root:
-                    while True:
-                        closed, top = top, top.parent
-                        closed.end = len(self.texts)
-                        if closed is node:
-                            break
-        if at < len(html) and not html.startswith("<", at):
-            say(html[at:])
+                    opened.setdefault(tag, []).append(top)
+            elif inside:
+                top = self._close(inside[-1], top, opened)
+        tail = html[at:]
+        cut = tail.rfind("<")
+        if cut >= 0 and _CUT.match(tail, cut):
+            tail = tail[:cut]  # a tag that the end of the page cuts
+        say(tail)
         settle()
         while top is not None:
             top.end = len(self.texts)
             top = top.parent
 
+    def _close(self, node: Container, top: Container, opened: dict[str, list[Container]]) -> Container:
+        """Close an open element and all in it; returns what is open then."""
+        while True:
+            closed, top = top, top.parent
+            closed.end = len(self.texts)
+            opened[closed.tag].pop()
+            if closed is node:
+                return top
+
+    def _plain(self, k: int) -> float:
+        return max(0.0, len(self.texts[k]) - 2.0 * self.links[k])
+
     def _judge(self) -> None:
         """A SOFT container with most of the text of articles (of the page, if it has none) is a wrapper."""
         if not any(node.mark for node in self.nodes):
             return
-        plain: dict[Container, float] = {}
-        of_articles: dict[Container, float] = {}
-        for text, owner, linked in zip(self.texts, self.owners, self.links, strict=True):
-            around, node = [], owner
-            while node is not None:
-                around.append(node)
-                node = node.parent
-            if any(n.mark == HARD for n in around):
-                continue
-            value = max(0.0, len(text) - 2.0 * linked)
-            article = any(n.tag in ("article", "main") for n in around)
-            for n in around:
-                if n.mark == SOFT or n.parent is None:
-                    plain[n] = plain.get(n, 0.0) + value
-                    if article:
-                        of_articles[n] = of_articles.get(n, 0.0) + value
-        share = of_articles if any(of_articles.values()) else plain
-        most = max(share.values(), default=0.0) / 2  # the root has all
+        for node in self.nodes:  # those around come first
+            node.weight = max(node.mark, node.parent.weight)
+        root = self.containers[0]
+        plain, of_articles = {root: 0.0}, {root: 0.0}
+        for k, owner in enumerate(self.owners):
+            if owner.weight < HARD:
+                plain[owner] = plain.get(owner, 0.0) + self._plain(k)
+                if owner.article:
+                    of_articles[owner] = of_articles.get(owner, 0.0) + self._plain(k)
+        for sums in (plain, of_articles):
+            for node in reversed(self.nodes):
+                if node in sums:
+                    sums[node.parent] = sums.get(node.parent, 0.0) + sums[node]
+        share = of_articles if of_articles[root] else plain
         for node in self.nodes:
-            wrapper = node.mark == SOFT and share.get(node, 0.0) > most
+            wrapper = node.mark == SOFT and share.get(node, 0.0) > share[root] / 2
             node.outside = node.parent.outside or bool(node.mark and not wrapper)
 
     def score(self) -> Container | None:
-        """The best container: own text without links counts whole, that of inner elements less."""
-        for text, owner, linked in zip(self.texts, self.owners, self.links, strict=True):
+        """The best container: own text without links counts whole, that of inner elements less.
+
+        Where containers of one tag beside it have nearly as much, and together they have nearly all
+        text of the one around them, the article is in parts and that one is taken.
+        """
+        for k, owner in enumerate(self.owners):
             if owner.outside:
                 continue
-            value = max(0.0, len(text) - 2.0 * linked)
+            value = self._plain(k)
+            owner.total += value
             node, part = owner, 1.0
-            while node is not None:
+            while node is not None and part > LEAST_PART:
                 if node.tag in CONTAINERS:
                     node.score += value * part
                     part /= 2
                 node = node.parent
+        for node in reversed(self.nodes):
+            node.parent.total += node.total
         best = None
         for node in self.containers:
             value = node.score * node.bonus
             if value > 0 and (best is None or value > best.score * best.bonus):
                 best = node
-        return best
+        if best is None or best.parent is None:
+            return best
+        around = best.parent
+        parts = [
+            n for n in self.containers
+            if n.parent is around and n.tag == best.tag and not n.outside and n.total >= PART * best.total
+        ]
+        whole = len(parts) > 1 and around.tag in CONTAINERS
+        return around if whole and sum(n.total for n in parts) >= NEARLY_ALL * around.total else best
 
     def text_of(self, nodes: list[Container]) -> str:
         """The blocks in any of the containers, in page order, each once."""
@@ -256,29 +346,28 @@ class Page:
             done = max(done, node.end)
         return " ".join(out)
 
+    def at_path(self, path: str) -> list[Container]:
+        """The containers of a path; it is built once for all that share it, and only where its end fits."""
+        same: dict[int, bool] = {}
+        for node in self.containers:
+            if node.key not in same:
+                same[node.key] = path.endswith(node.label) and node.path() == path
+        return [node for node in self.containers if same[node.key]]
+
     def main_text(self, winners: list[str]) -> str:
         for path in winners:
-            found = self.text_of([n for n in self.containers if n.path == path])
+            found = self.text_of(self.at_path(path))
             if found:
                 return found
         best = self.score()
         found = self.text_of([best]) if best else self.text_of(self.containers[:1])
-        # A page that has nothing else gives its parts outside, those that may be wrappers first.
-        for least in (HARD, HARD + 1):
+        # A page that has nothing else gives its parts outside, those that may be wrappers first, but no menus.
+        for least in (HARD, TAG):
             if not found:
-                found = " ".join(t for t, n in zip(self.texts, self.owners, strict=True) if _weight(n) < least)
+                found = " ".join(t for t, n in zip(self.texts, self.owners, strict=True) if n.weight < least)
         return found
 
 
-def _weight(node: Container | None) -> int:
-    """The highest mark of a container and those around it; the head is never text."""
-    most = 0
-    while node is not None:
-        most = max(most, HARD + 1 if node.tag == "head" else node.mark)
-        node = node.parent
-    return most
-
-
 def host(url: Column) -> Column:
     """The host of a URL in lower case; the empty string if there is none."""
     found = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
@@ -292,7 +381,7 @@ def _vote(batches):
             best = Page(html or "").score()
             if best is not None:
                 hosts.append(name)
-                paths.append(best.path)
+                paths.append(best.path())
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string())], ["host", "path"])
 
 
