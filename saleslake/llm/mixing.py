@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every document gets a fixed hash of its id, cut into LEVELS digits. A source that has to give ``r``
+Every document gets a fixed hash of its id and text, cut into LEVELS digits. A source that has to give ``r``
 words more than ``full`` whole repeats of itself takes the documents whose hash lies below a threshold.
 The threshold is found digit by digit: sum words by source and digit, run a total over the digits of
 each source, keep the digit in which the budget ends, and look at that bucket alone with the next
@@ -10,8 +10,9 @@ digit. The rule is nested: a larger target takes a superset, and reruns agree.
 Sources in code-point order (NULL last) weigh 1, 2, 3, 1, ...; targets share all words by weight, stop
 at MAX_REPEATS times the source, and what is cut is shared again by weight.
 
-Edge cases: a NULL text or one without words has size 0 and gives nothing; a NULL doc_id hashes like
-the empty string; rows with the same doc_id are taken together; a source without words has target 0;
+Edge cases: a NULL text or one without words has size 0 and gives nothing; a NULL doc_id or text hashes
+like the empty string, so rows without an id are told apart by their texts; rows with the same id and text are taken
+together; a source without words has target 0;
 an empty table gives an empty result; other columns pass through.
 """
 
@@ -30,9 +31,10 @@ DIGIT = 3
 LEVELS = 3
 
 
-def digits() -> list[Column]:
-    """d0, d1, ...: the digits of the hash of doc_id."""
-    code = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+def digits(text: str = "text") -> list[Column]:
+    """d0, d1, ...: the digits of the hash of doc_id and text."""
+    named = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    code = F.md5(F.concat(named, F.lit("\n"), F.coalesce(F.col(text), F.lit(""))).cast("binary"))
     return [
         F.conv(F.substring(code, 1 + DIGIT * k, DIGIT), 16, 10).cast("int").alias(f"d{k}")
         for k in range(LEVELS)
@@ -42,7 +44,7 @@ def digits() -> list[Column]:
 def sized(df: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, source, size in words and the digits of the hash."""
     return df.select(
-        "doc_id", "source", F.size(words(F.col(text))).cast("long").alias("size"), *digits()
+        "doc_id", "source", F.size(words(F.col(text))).cast("long").alias("size"), *digits(text)
     )
 
 
@@ -162,7 +164,7 @@ def mix(df: DataFrame, text: str = "text", weights=WEIGHTS, max_repeats: int = M
 def mixed(df: DataFrame, text: str = "text", weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The rows of ``df`` as often as the mix takes them, with their own columns."""
     rule = _rule(written(sized(df, text), "mixing-sizes"), weights, max_repeats)
-    rows = boxed(df, F.col("source").alias("_own"), *digits())
+    rows = boxed(df, F.col("source").alias("_own"), *digits(text))
     return (
         rows.join(rule, F.col("_own").eqNullSafe(F.col("_plan")))
         .select("_row", F.explode(F.array_repeat(F.lit(0), _repeats().cast("int"))))

@@ -43,7 +43,7 @@ FROM counts
 MIXING = f"""
 WITH sized AS (
   SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 9))::BIGINT AS h
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, 9))::BIGINT AS h
   FROM {{docs}}),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 ranked AS (

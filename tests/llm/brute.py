@@ -155,7 +155,7 @@ def targets(sizes):
 def mix(rows):
     """(doc_id, size, source_size, target, repeats) by row."""
     sizes, cells = Counter(), defaultdict(Counter)
-    code = [int(hashlib.md5(("" if d is None else str(d)).encode()).hexdigest()[:9], 16) for d, _, _ in rows]
+    code = [int(hashlib.md5(f"{'' if d is None else d}\n{t or ''}".encode()).hexdigest()[:9], 16) for d, t, _ in rows]
     for h, (_, text, source) in zip(code, rows, strict=True):
         sizes[source] += len(words(text))
         cells[source][h] += len(words(text))

@@ -450,6 +450,13 @@ def test_mixing(table, messy):
     assert mixing.mix(table([])).count() == 0
 
 
+def test_mixing_tells_rows_without_an_id_apart(table):
+    rows = [(None, f"no id {k} " + "w " * (k % 50), "b") for k in range(400)]
+    rows += [(7, f"one id {k} " + "w " * (k % 50), "c") for k in range(400)] + [(k, "a b c", "a") for k in range(3_000)]
+    found = mixing.mix(table(rows)).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"))
+    assert all(abs(r["taken"] - r["target"]) <= 53 for r in found.collect())  # the longest document
+
+
 def test_components_of_a_path(spark):
     from saleslake.llm.components import components
 
