@@ -138,3 +138,26 @@ def test_bitmap_lets_every_duplicated_key_through(spark, monkeypatch):
     assert marked.columns == [*df.columns, "dup"]
     assert marked.where("dup").count() == 40 and marked.where("NOT dup").count() == 1_960
     assert lookup.is_duplicated(df.limit(0), "k", "dup", max_broadcast_rows=0).count() == 0
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    """Shuffles of known size: their tasks hold so many rows at most, whatever spark.sql.shuffle.partitions (8) is."""
+    assert lookup.partitions(spark, 10 * lookup.PARTITION_ROWS + 1) == 11
+    assert lookup.partitions(spark, 0) == 1
+    monkeypatch.setattr(lookup, "PARTITION_ROWS", 20)
+    rows = spark.range(400).selectExpr("id AS _ingest_row_id", "id % 100 AS k")
+    known = spark.range(50).withColumnRenamed("id", "parent")
+    joined = lookup.lookup(rows, known, "k", "parent", other_rows=50, max_broadcast_rows=0, sized=True)
+    assert joined.rdd.getNumPartitions() == 20
+    assert (joined.count(), joined.where("parent IS NULL").count()) == (400, 200)
+
+
+def test_statistics_group_keys_in_their_own_type(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1L, 7L, 'x'), (1L, NULL, 'x'), (2L, 7L, 'y') AS t(a, b, c)")
+    same = lookup.key_statistics(rows, ["a", "b"])
+    assert dict(same.repeated.dtypes)["key"] == "bigint"
+    mixed = lookup.key_statistics(rows, ["a", "c"])
+    assert dict(mixed.repeated.dtypes)["key"] == "string"
+    for found, column, key in ((same, "a", 1), (same, "b", 7), (mixed, "a", 1), (mixed, "c", "x")):
+        assert [tuple(r) for r in found.copies(column).collect()] == [(key, 2)]
+        assert (found.total, found.known[column]) == (3, 1)
