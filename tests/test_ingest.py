@@ -193,6 +193,21 @@ def test_layers_end_to_end(spark, fixtures, config):
     }
 
 
+def test_a_run_profiles_its_sources_once(spark, fixtures, config, monkeypatch):
+    scanned = []
+    scan = staged.scan_csv
+    monkeypatch.setattr(staged, "scan_csv", lambda *a: scanned.append(a[2].table) or scan(*a))
+    full = LakeConfig(f"{fixtures}/gold", bronze=config.bronze)
+    numbers = {"orders.rows": 26, "customers.duplicate_rows": 2}
+    found = staged.run(spark, full, stages=("source", "bronze"), expected_profile=numbers)
+    assert scanned == ["customers", "orders", "products"]
+    assert found.where("status = 'FAIL'").count() == 0
+    both = found.where("check_name IN ('source.orders.rows', 'bronze.orders.rows')").collect()
+    assert [(r["expected"], r["actual"]) for r in both] == [("26", "26")] * 2
+    assert staged.run(spark, full, stages=("bronze",)).where("status = 'FAIL'").count() == 0
+    assert len(scanned) == 6
+
+
 def test_critical_failures_stop_the_run(spark, fixtures, config):
     with pytest.raises(QualityError, match="silver"):
         staged.run(spark, config, stages=("bronze", "silver", "gold"), expected={("orders", "type"): 5})

@@ -161,3 +161,17 @@ def test_statistics_group_keys_in_their_own_type(spark):
     for found, column, key in ((same, "a", 1), (same, "b", 7), (mixed, "a", 1), (mixed, "c", "x")):
         assert [tuple(r) for r in found.copies(column).collect()] == [(key, 2)]
         assert (found.total, found.known[column]) == (3, 1)
+
+
+def test_a_kept_result_is_computed_once(spark):
+    """The job that writes the checkpoint is the only one that computes the rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def noted(k):
+        seen.add(1)
+        return k
+
+    kept, rows = lookup.cut_lineage(spark.range(10).select(noted("id").alias("k")))
+    assert rows == 10 and seen.value == 10
+    assert sorted(r["k"] for r in kept.collect()) == list(range(10)) and seen.value == 10
