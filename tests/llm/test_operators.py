@@ -404,6 +404,47 @@ def test_rare_ids_depend_on_the_context():
     assert math.isclose((10 ** (np.array(each) - log10(1))).sum(), 1, rel_tol=1e-4)
 
 
+def test_a_training_step_takes_no_softmax_per_class_or_group(monkeypatch):
+    counts = np.array([500] * 16 + [1] * 84)
+    vocab = attention.vocabulary(counts, 4)
+    p = {k: a.astype(np.float32) for k, a in attention.initial(vocab).items()}
+    rng = np.random.default_rng(3)
+    for name in ("class_w", "slot_w", "group_w", "inner_w"):
+        p[name] += rng.normal(0, 0.3, p[name].shape).astype(np.float32)
+    h, targets = rng.normal(0, 1, (300, attention.WIDTH)).astype(np.float32), vocab.slot[rng.integers(0, 100, 300)]
+    calls, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda *a, **k: calls.append(1) or exp(*a, **k))
+    found, g, back = attention.log_probabilities(p, h, targets, gradient=True)
+    assert len(calls) == 4  # classes, slots, groups, their slots; the last two have 4 and 17 parts here
+    assert np.allclose(found, attention.log_probabilities(p, h, targets), rtol=1e-5)
+    each = len(p["slot_b"]) // 4
+    for k in range(0, 300, 7):  # a row by itself, in double precision
+        x, t = h[k].astype(float), int(targets[k])
+        kind = min(t // each, 4)
+        parts = [(p["class_w"], p["class_b"], kind)]
+        if kind < 4:
+            own = slice(kind * each, (kind + 1) * each)
+            parts.append((p["slot_w"][own], p["slot_b"][own], t - kind * each))
+        else:
+            group, place = divmod(t - len(p["slot_b"]), p["inner_b"].shape[1])
+            parts += [(p["group_w"], p["group_b"], group), (p["inner_w"][group], p["inner_b"][group], place)]
+        z = [(w.astype(float) @ x + b, at) for w, b, at in parts]
+        assert math.isclose(sum(y[at] - np.logaddexp.reduce(y) for y, at in z), found[k], rel_tol=1e-4)
+        dh = sum(exp(y - np.logaddexp.reduce(y)) @ w - w[at] for (y, at), (w, _, _) in zip(z, parts, strict=True))
+        assert np.allclose(dh / 300, back[k], rtol=1e-3, atol=1e-6)
+    loss = lambda: -attention.log_probabilities(p, h, targets).mean()
+    for name in ("class_w", "class_b", "slot_w", "slot_b", "group_w", "group_b", "inner_w", "inner_b"):
+        rows, d = g[name] if isinstance(g[name], tuple) else (np.arange(len(p[name])), g[name])
+        for at in zip(*np.unravel_index(np.argsort(-np.abs(d), axis=None)[[0, 3, 9 % d.size]], d.shape), strict=True):
+            place, old = (rows[at[0]], *at[1:]), p[name][(rows[at[0]], *at[1:])]
+            p[name][place] = old + 0.05
+            up = loss()
+            p[name][place] = old - 0.05
+            down = loss()
+            p[name][place] = old
+            assert math.isclose((up - down) / 0.1, d[at], rel_tol=0.02, abs_tol=1e-6), (name, at)
+
+
 def _chain(n, seed):
     rng = np.random.default_rng(seed)
     ids = [0]
