@@ -415,7 +415,7 @@ def test_a_training_step_takes_no_softmax_per_class_or_group(monkeypatch):
     calls, exp = [], np.exp
     monkeypatch.setattr(np, "exp", lambda *a, **k: calls.append(1) or exp(*a, **k))
     found, g, back = attention.log_probabilities(p, h, targets, gradient=True)
-    assert len(calls) == 4  # classes, slots, groups, their slots; the last two have 4 and 17 parts here
+    assert len(calls) == 8  # two each for classes, their slots, groups and their slots, however many parts these have
     assert np.allclose(found, attention.log_probabilities(p, h, targets), rtol=1e-5)
     each = len(p["slot_b"]) // 4
     for k in range(0, 300, 7):  # a row by itself, in double precision
