@@ -174,8 +174,9 @@ def _gold(spark, d):
     place = scratch(spark, "checks")
     mark = place[-8:]
     config = LakeConfig(silver=f"flagged_{mark}", gold=f"business_{mark}", location=place)
-    frames = {"orders": td.silver(spark, d, "orders"), "customers": td.customers(spark, d)}
-    for table, frame in (frames | {"products": td.products(spark, d)}).items():
+    raw = td.raw(spark, d)
+    raw["orders"] = landed(spark, raw["orders"], "orders")  # the key statistics and both kinds of rows are read from it
+    for table, frame in (raw | {"orders": td.silver(spark, d, "orders", raw)}).items():
         lake.overwrite_table(spark, frame, config, "silver", table)
     gold.build_gold(spark, config)
     tables = {t: lake.read_table(spark, config, "gold", t) for t in gold.TABLES}

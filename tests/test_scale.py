@@ -77,6 +77,13 @@ def test_metrics_read_flags_that_were_written_once(spark, tables, name, monkeypa
     assert len(flags) == 3 and found.count() == 58
 
 
+def test_gold_checks_flag_landed_orders(spark, tables, monkeypatch):
+    seen, made = [], td.flag
+    monkeypatch.setattr(td, "flag", lambda df, table, **k: seen.append(df.inputFiles()) or made(df, table, **k))
+    assert registry.all_queries()["v_serving_checks"](spark, tables).count() == 10
+    assert len(seen) == 1 and not any("lineitem" in path for path in seen[0])
+
+
 def test_rows_with_a_product_are_not_shuffled_for_it(spark):
     """Products too many to broadcast: rows meet the keys without a product, and flags are those of the plain join."""
     parents = {
