@@ -154,3 +154,9 @@ def test_join_sides_are_not_shuffled_twice(spark):
     """Fewer partitions than the session's are raised by Spark, in a second shuffle if the first one is done."""
     assert lookup.join_partitions(spark, 0) == 8
     assert lookup.join_partitions(spark, 10 * lookup.PARTITION_ROWS + 1) == 11
+
+
+def test_tables_are_written_with_zstandard(spark):
+    name = lake.stage_table(spark, spark.range(10).toDF("a"), LakeConfig(silver="packed"), "silver", "t")
+    assert all(".zstd." in path for path in spark.table(name).inputFiles())
+    assert spark.table(name).count() == 10
