@@ -160,3 +160,19 @@ def test_tables_are_written_with_zstandard(spark):
     name = lake.stage_table(spark, spark.range(10).toDF("a"), LakeConfig(silver="packed"), "silver", "t")
     assert all(".zstd." in path for path in spark.table(name).inputFiles())
     assert spark.table(name).count() == 10
+
+
+def test_only_what_is_asked_for_is_shuffled(spark):
+    """Conditions over the row itself are met before rows are shuffled: their columns stay behind, and flags are the same."""
+    parents = {"customers": helpers.customers(spark, helpers.good_customer()), "products": helpers.products(spark, 100)}
+    changes = [{}, {"quantity": -1}, {"payment_date": None}, {"order_status": "Lost"}, {"unit_price": None}, {"total_amount": helpers.D("-5")}]
+    rows = [helpers.good_order(k % 9, k % 2 + 1, 100 + k % 3, **c) for k, c in enumerate(changes * 3)]
+    orders = helpers.orders(spark, *rows)
+    plain, bounded = flag(orders, "orders", **parents), flag(orders, "orders", max_broadcast_rows=0, **parents)
+    assert bounded.columns == plain.columns
+    assert sorted(map(str, bounded.collect())) == sorted(map(str, plain.collect()))
+    asked = bounded.select("order_id", "failed_checks")._jdf.queryExecution().executedPlan().toString()
+    first, last = (f(i for i, line in enumerate(asked.splitlines()) if "SortMergeJoin" in line) for f in (min, max))
+    over = [line for line in asked.splitlines()[: last + 1] if "Project" in line]
+    assert first < last and all("_broken#" in line for line in over)
+    assert not any(f"{column}#" in line for line in over for column in ("unit_price", "payment_date", "order_status"))
